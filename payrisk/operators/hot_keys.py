@@ -1,0 +1,103 @@
+"""Find keys that hold too many rows for one task, and join around them."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# A key with fewer rows than this is left to one task: a group of a few hundred MB that spills.
+HOT_ROWS = 1_000_000
+# Upper bound on the hot keys per column. A hot key holds at least 1/MAX_HOT_KEYS of all rows, so
+# there cannot be more of them; the lists stay a few MB at any table size and may be broadcast.
+MAX_HOT_KEYS = 50_000
+
+HotKeys = DataFrame | None
+
+
+def find_hot_keys(
+    rows: DataFrame, columns: Sequence[str], hot_rows: int = HOT_ROWS
+) -> dict[str, HotKeys]:
+    """For each column, a small table (key, copies) of its hot keys, or None if it has none.
+
+    ``copies`` says into how many parts the key has to be split. Tables below ``hot_rows`` need no
+    look at the keys at all; others cost one scan of these columns with map-side counts. The null
+    key counts as a key, as windows and grouping treat it as one group.
+    """
+    total = rows.count()
+    found: dict[str, HotKeys] = dict.fromkeys(columns)
+    threshold = max(hot_rows, -(-total // MAX_HOT_KEYS))
+    if total < threshold:
+        return found
+    tagged = F.explode(
+        F.array(
+            *[
+                F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("key"))
+                for c in columns
+            ]
+        )
+    )
+    counts = (
+        rows.select(tagged.alias("k"))
+        .groupBy("k.column", "k.key")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .filter(F.col("n") >= threshold)
+    )
+    hot = counts.collect()  # at most MAX_HOT_KEYS rows per column, see above
+    schema = T.StructType(
+        [
+            T.StructField("key", T.StringType()),
+            T.StructField("copies", T.IntegerType(), False),
+        ]
+    )
+    for column in columns:
+        keys = [(r["key"], 1 + r["n"] // threshold) for r in hot if r["column"] == column]
+        if keys:
+            found[column] = rows.sparkSession.createDataFrame(keys, schema)
+    return found
+
+
+def split_by_heat(rows: DataFrame, column: str, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows of other keys, rows of hot keys). The hot list is bounded, so it is broadcast."""
+    match = F.col(column).eqNullSafe(F.col("hot_key"))
+    listed = F.broadcast(hot.select(F.col("key").alias("hot_key")))
+    return rows.join(listed, match, "left_anti"), rows.join(listed, match, "left_semi")
+
+
+def lookup_join(
+    rows: DataFrame,
+    facts: DataFrame,
+    column: str,
+    hot: HotKeys,
+    spread_by: Column,
+) -> DataFrame:
+    """Left join of ``rows`` to ``facts`` (one row per key) on ``column``; null matches null.
+
+    Without hot keys this is a plain join: Spark broadcasts ``facts`` when it measures it as small
+    and sorts and merges otherwise. The rows of a hot key are spread over ``copies`` sub-keys by a
+    hash of ``spread_by``, with one copy of its single fact row for each.
+    """
+    fact_names = [c for c in facts.columns if c != column]
+    if hot is None:
+        right = facts.withColumnRenamed(column, "fact_key")
+        joined = rows.join(right, rows[column].eqNullSafe(F.col("fact_key")), "left")
+        return joined.drop("fact_key")
+
+    listed = F.broadcast(hot.select(F.col("key").alias("hot_key"), "copies"))
+    copies = F.coalesce("copies", F.lit(1))
+    left = (
+        rows.join(listed, F.col(column).eqNullSafe(F.col("hot_key")), "left")
+        .withColumn("part", F.pmod(F.xxhash64(spread_by), copies).cast("int"))
+        .drop("hot_key", "copies")
+    )
+    right = (
+        facts.withColumnRenamed(column, "fact_key")
+        .join(listed, F.col("fact_key").eqNullSafe(F.col("hot_key")), "left")
+        .select(
+            "fact_key", *fact_names, F.explode(F.sequence(F.lit(0), copies - 1)).alias("fact_part")
+        )
+    )
+    match = F.col(column).eqNullSafe(F.col("fact_key")) & (F.col("part") == F.col("fact_part"))
+    return left.join(right, match, "left").drop("fact_key", "fact_part", "part")
