@@ -260,14 +260,14 @@ def high_risk_top50(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _activity(by: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = reports.activity(_report(spark, sf_dir), by)
-        return comparable(_rounded(rows, monto_promedio=6))
+        return comparable(_rounded(rows, monto_promedio=9))
 
     return query
 
 
 def geo_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = reports.geo_patterns(_report(spark, sf_dir))
-    return _rounded(rows, capital_en_riesgo=2, riesgo_medio=6)
+    return _rounded(rows, capital_en_riesgo=2, riesgo_medio=9)
 
 
 def dashboard_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -282,7 +282,7 @@ def alerts_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _top_risk(by: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = reports.top_risk(_relations(spark, sf_dir), by)
-        return comparable(_rounded(rows, mean_score=6))
+        return comparable(_rounded(rows, mean_score=9))
 
     return query
 

@@ -16,6 +16,7 @@ FEATURE_NAMES = {"transaction_id": "payment_id", "user_id": "customer_id"}
 
 def normalize(df: DataFrame) -> DataFrame:
     """Apply each field's rule where the field exists; nulls stay null. One projection."""
+    scores_are_text = dict(df.dtypes).get("puntuacion_riesgo") == "string"
     rules = {
         "payment_id": stripped,
         "card_id": lambda c: F.upper(stripped(c)),
@@ -23,7 +24,7 @@ def normalize(df: DataFrame) -> DataFrame:
         "event_time": event_instant,
         "country": country_code,
         "status": lambda c: F.lower(stripped(c)),
-        "puntuacion_riesgo": number_or_null,
+        "puntuacion_riesgo": number_or_null if scores_are_text else lambda c: c,
     }
     return df.select(
         *[rules[c](F.col(c)).alias(c) if c in rules else F.col(c) for c in df.columns]

@@ -5,35 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from payrisk.operators.hot_keys import HOT_ROWS
 from payrisk.session import stage
 
 MAX_ROUNDS = 100
 
 
-def _hang_on(links: DataFrame, lowest: DataFrame) -> DataFrame:
+def _hang_on(links: DataFrame, lowest: DataFrame, many: bool) -> DataFrame:
     """Join each link (u, v) with the lowest node known to u.
 
-    ``lowest`` is stored first: then both sides of the join are plain shuffles, and AQE can split
-    the links of a node that holds a large share of them.
+    With many links ``lowest`` is stored first: then both sides of the join are plain shuffles, and
+    AQE can split the links of a node that holds a large share of them.
     """
-    return links.join(stage(lowest, "lowest"), "u")
+    return links.join(stage(lowest, "lowest") if many else lowest, "u")
 
 
-def _large_star(links: DataFrame) -> DataFrame:
+def _large_star(links: DataFrame, many: bool) -> DataFrame:
     """Move every neighbour above u to the lowest node around u."""
     both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
     lowest = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
     return (
-        _hang_on(both.filter(F.col("v") > F.col("u")), lowest)
+        _hang_on(both.filter(F.col("v") > F.col("u")), lowest, many)
         .select(F.col("v").alias("u"), F.col("m").alias("v"))
         .distinct()
     )
 
 
-def _small_star(links: DataFrame) -> DataFrame:
+def _small_star(links: DataFrame, many: bool) -> DataFrame:
     """Move u and every neighbour below it to the lowest of them. Links come as u > v."""
     lowest = links.groupBy("u").agg(F.min("v").alias("m"))
-    moved = _hang_on(links, lowest).select(
+    moved = _hang_on(links, lowest, many).select(
         F.explode(
             F.array(
                 F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
@@ -51,7 +52,7 @@ def _fingerprint(links: DataFrame) -> tuple[int, int]:
     return row["n"], row["x"] or 0
 
 
-def connected_components(pairs: DataFrame) -> DataFrame:
+def connected_components(pairs: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """(node, component) for the graph of the two columns of ``pairs``; a component's name is its
     lowest node.
 
@@ -67,9 +68,10 @@ def connected_components(pairs: DataFrame) -> DataFrame:
         "links",
     )
     before = _fingerprint(links)
+    many = before[0] >= hot_rows
     for _ in range(MAX_ROUNDS):
-        large = stage(_large_star(links), "large-star")
-        links = stage(_small_star(large), "small-star")
+        large = stage(_large_star(links, many), "large-star")
+        links = stage(_small_star(large, many), "small-star")
         after = _fingerprint(links)
         if after == before:
             break

@@ -161,7 +161,7 @@ def _activity(key: str) -> str:
     return _with(
         RELATIONS,
         f"""SELECT {key}, count(payment_id) AS total_transacciones,
-  round(avg(amount), 6) AS monto_promedio,
+  round(avg(amount), 9) AS monto_promedio,
   CAST(sum(CASE WHEN status = 'declined' THEN 1 ELSE 0 END) AS BIGINT) AS alertas_confirmadas,
   max(risk_score) AS max_puntuacion
 FROM relations GROUP BY {key}
@@ -174,7 +174,7 @@ def _top_risk(key: str) -> str:
     return _with(
         RELATIONS,
         f"""SELECT {key}, count(*) FILTER (WHERE risk_score >= 20) AS alerts,
-  round(avg(risk_score), 6) AS mean_score, max(risk_score) AS max_score, count(*) AS transactions
+  round(avg(risk_score), 9) AS mean_score, max(risk_score) AS max_score, count(*) AS transactions
 FROM relations GROUP BY {key} ORDER BY alerts DESC, avg(risk_score) DESC, {key} LIMIT 10""",
     )
 
@@ -277,7 +277,8 @@ FROM loaded l LEFT JOIN batch n ON n.transaction_id = l.transaction_id""",
         FUSED,
         f"""SELECT payment_id, {TIME_TEXT} AS event_time, customer_id, card_id, merchant_id, device_id,
   country, amount, currency, status, mcc, {FEATURES}, puntuacion_riesgo,
-  CAST(NULL AS VARCHAR) AS reasons, reasons_text, device_type, risk_score FROM suspicious""",
+  CAST(NULL AS VARCHAR) AS reasons, nullif(reasons_text, '') AS reasons_text, device_type, risk_score
+FROM suspicious""",
     ),
     "high_risk_top50": _with(
         RELATIONS,
@@ -291,7 +292,7 @@ ORDER BY amount DESC, risk_score DESC, payment_id LIMIT 50""",
     "geo_patterns": _with(
         RELATIONS,
         """SELECT country, count(payment_id) AS volumen, round(sum(amount), 2) AS capital_en_riesgo,
-  round(avg(risk_score), 6) AS riesgo_medio,
+  round(avg(risk_score), 9) AS riesgo_medio,
   round(sum(CASE WHEN status = 'declined' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)
     / count(payment_id) * 100, 2) AS tasa_fraude_pct
 FROM relations GROUP BY country ORDER BY capital_en_riesgo DESC, tasa_fraude_pct DESC, country""",

@@ -8,6 +8,9 @@ from pyspark.sql import types as T
 
 from payrisk.functions.values import event_instant, time_parts
 from payrisk.schemas import with_partitions
+from payrisk.session import setting
+
+SMALLEST_TASK = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
 
 
 def export_by_time(
@@ -26,17 +29,18 @@ def export_by_time(
     """
     moment = event_instant(F.col(column))
     parts = time_parts(moment, granularity)
-    (
-        df.filter(moment.isNotNull())
-        .withColumns(parts)
-        .hint("rebalance", *[F.col(p) for p in parts])
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", max_records_per_file)
-        .partitionBy(*parts)
-        .format(provider)
-        .save(path)
-    )
+    rows = df.filter(moment.isNotNull()).withColumns(parts)
+    # Few bytes can still be many files to create, so small inputs keep several writers.
+    with setting(df.sparkSession, SMALLEST_TASK, "64k"):
+        (
+            rows.hint("rebalance", *[F.col(p) for p in parts])
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .option("maxRecordsPerFile", max_records_per_file)
+            .partitionBy(*parts)
+            .format(provider)
+            .save(path)
+        )
 
 
 def read_export(
