@@ -1,0 +1,67 @@
+from __future__ import annotations
+
+import duckdb
+import pytest
+
+from payrisk.session import build_session
+
+SF = "/root/testdata/sf0.001"
+SF_NEXT = "/root/testdata/sf0.01"
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = build_session(
+        "tests",
+        "local[4]",
+        **{
+            "spark.sql.shuffle.partitions": "4",
+            "spark.driver.memory": "4g",
+            "spark.ui.showConsoleProgress": "false",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+            "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+        },
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture(scope="session")
+def duck():
+    connection = duckdb.connect()
+    for table in TABLES:
+        connection.sql(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
+    return connection
+
+
+@pytest.fixture
+def event(spark):
+    """Build bronze rows from partial dicts."""
+    from payrisk.schemas import EVENT
+
+    defaults = {
+        "event_time": "2024-01-01T00:00:00",
+        "customer_id": "CUST-1",
+        "card_id": "CARD-1",
+        "merchant_id": "MERCH-1",
+        "device_id": "DEV-1",
+        "ip": "192.168.1.1",
+        "country": "ES",
+        "amount": 10.0,
+        "currency": "EUR",
+        "status": "approved",
+        "mcc": "5411",
+    }
+
+    def build(*rows: dict):
+        filled = [
+            {"payment_id": f"PAY-{i}", **defaults, **row} for i, row in enumerate(rows)
+        ]
+        return spark.createDataFrame([tuple(r[c] for c in EVENT.names) for r in filled], EVENT)
+
+    return build
