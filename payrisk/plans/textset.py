@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from payrisk.functions.rules import risky
 from payrisk.functions.values import is_train
+from payrisk.session import scratch_path
 
 # Fixed value: tokens kept per text.
 MAX_TOKENS = 128
@@ -72,7 +73,14 @@ def baseline(features: int = 1 << 14, iterations: int = 20) -> Pipeline:
 
 
 def train(rows: DataFrame) -> PipelineModel:
-    return baseline().fit(rows)
+    """Fit the baseline. ``rows`` are read once per iteration, so give a stored or cached table.
+
+    The model is stored and read back: a freshly fitted one holds on to the session, and cannot be
+    sent to executors once the session has observed row counts.
+    """
+    path = scratch_path(rows.sparkSession, "model")
+    save(baseline().fit(rows), path)
+    return PipelineModel.load(path)
 
 
 def accuracy(model: Transformer, rows: DataFrame) -> float:

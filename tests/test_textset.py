@@ -1,0 +1,58 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.ml import PipelineModel
+
+from payrisk.plans import textset
+
+ROWS = "payment_id string, country string, amount double, status string, puntuacion_riesgo int"
+
+
+def test_sentence_and_label(spark):
+    rows = spark.createDataFrame(
+        [("A", "ES", 12.5, "declined", 0), ("B", None, None, None, None), ("C", "FR", 1.0, "approved", 11), ("D", "FR", 1.0, "approved", 10)],
+        ROWS,
+    )
+    got = textset.text_set(rows).collect()
+    assert got[0]["text"] == "Transaction from country ES with amount 12.5 EUR. Status: declined. Risk score evaluation: 0."
+    assert got[1]["text"] == "Transaction from country UNKNOWN with amount 0.0 EUR. Status: unknown. Risk score evaluation: 0."
+    assert [r["label"] for r in got] == [1, 0, 1, 0]
+    free = textset.text_set(rows, leak_free=True).first()["text"]
+    assert free == "Transaction from country ES with amount 12.5 EUR."
+
+
+def test_split_is_disjoint_complete_and_stable(spark):
+    rows = spark.range(2000).selectExpr("concat('PAY-', id) AS payment_id").unionByName(
+        spark.sql("SELECT CAST(NULL AS STRING) AS payment_id")
+    )
+    train, validation = textset.split(rows)
+    assert train.unionByName(validation).exceptAll(rows).count() == 0
+    assert train.count() + validation.count() == 2001
+    assert 0.75 < train.count() / 2001 < 0.85
+    again, _ = textset.split(rows.repartition(7))
+    assert again.exceptAll(train).count() == 0
+
+
+@pytest.fixture(scope="module")
+def labelled(spark):
+    rows = spark.range(400).selectExpr(
+        "concat('PAY-', id) AS payment_id", "if(id % 2 = 0, 'ES', 'FR') AS country", "id * 1.0D AS amount",
+        "if(id % 3 = 0, 'declined', 'approved') AS status", "CAST(id % 20 AS INT) AS puntuacion_riesgo",
+    )
+    return textset.text_set(rows, keep_id=True).cache()
+
+
+def test_model_learns_evaluates_and_survives_saving(labelled, tmp_path):
+    train, validation = textset.split(labelled)
+    model = textset.train(train)
+    score = textset.accuracy(model, validation)
+    assert score > 0.9
+    textset.save(model, str(tmp_path / "model"))
+    textset.save(model, str(tmp_path / "model"))
+    assert textset.accuracy(PipelineModel.load(str(tmp_path / "model")), validation) == score
+
+
+def test_tokens_are_cut(spark):
+    rows = spark.createDataFrame([("word " * 300, 1), ("other", 0)], "text string, label int")
+    model = textset.train(rows)
+    assert len(model.transform(rows).first()["tokens"]) == textset.MAX_TOKENS
