@@ -303,11 +303,7 @@ def nlp_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def train_val_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = textset.text_set(_report(spark, sf_dir), keep_id=True)
-    train, validation = textset.split(rows)
-    both = train.withColumn("part", F.lit("train")).unionByName(
-        validation.withColumn("part", F.lit("validation"))
-    )
-    return both.select("payment_id", "part")
+    return textset.with_part(rows).select("payment_id", "part")
 
 
 def classifier_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:

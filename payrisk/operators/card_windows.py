@@ -14,7 +14,7 @@ The work is linear in the rows of a card after sorting, whatever the frame holds
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from payrisk.functions.rules import declined
@@ -39,55 +39,60 @@ CARD_FEATURES = [
 ]
 
 
-def _run_edges(value: str, group: list[str], span: Column | int) -> tuple[Column, Column]:
+def _run_edges(value: str, group: str, span: str | int) -> tuple[Column, Column]:
     """(opens, closes): 1 where a run of sightings of ``value`` starts or ends, else 0."""
-    window = Window.partitionBy(*group, value).orderBy("at_s")
-    at = F.col("at_s")
-    continues = at - F.lag("at_s").over(window) <= span
-    continued = F.lead("at_s").over(window) - at <= span
-    seen = F.col(value).isNotNull()
+    over = f"OVER (PARTITION BY {group}, {value} ORDER BY at_s)"
 
-    def edge(inside: Column) -> Column:
-        return (seen & ~F.coalesce(inside, F.lit(False))).cast("int")
+    def edge(gap: str) -> Column:
+        return F.expr(f"CAST({value} IS NOT NULL AND NOT coalesce({gap} <= {span}, false) AS INT)")
 
-    return edge(continues), edge(continued)
+    return edge(f"at_s - lag(at_s) {over}"), edge(f"lead(at_s) {over} - at_s")
 
 
-def _features(group: list[str]) -> dict[str, Column]:
-    """Feature columns from n, n_declined and the run edges, per ``group`` ordered by at_s."""
-    ordered = Window.partitionBy(*group).orderBy("at_s")
+def _with_features(per_time: DataFrame, group: str, keep: list[str]) -> DataFrame:
+    """``keep`` and the features, from n, n_declined and the run edges ordered by at_s."""
 
-    def up_to(column: str, seconds_ago: int) -> Column:
-        frame = ordered.rangeBetween(Window.unboundedPreceding, -seconds_ago)
-        return F.coalesce(F.sum(column).over(frame), F.lit(0))
-
-    def within(seconds: int, enter: str, leave: str) -> Column:
-        return up_to(enter, 0) - up_to(leave, seconds + 1)
+    def up_to(column: str, seconds_ago: int) -> str:
+        end = f"{seconds_ago} PRECEDING" if seconds_ago else "CURRENT ROW"
+        return (
+            f"coalesce(sum({column}) OVER (PARTITION BY {group} ORDER BY at_s "
+            f"RANGE BETWEEN UNBOUNDED PRECEDING AND {end}), 0L)"
+        )
 
-    payments_1h = within(DECLINED_S, "n", "n")
-    declined_1h = within(DECLINED_S, "n_declined", "n_declined")
-    return {
-        "tx_by_card_5m": within(VELOCITY_S, "n", "n").cast("int"),
-        "distinct_merchants_10m": within(MERCHANTS_S, "merchant_opens", "merchant_closes").cast("int"),
-        "distinct_countries_1h": within(COUNTRIES_S, "country_opens", "country_closes").cast("int"),
-        "declined_ratio_1h": F.round(declined_1h / payments_1h, 4),
-    }
+    totals = per_time.selectExpr(
+        *keep,
+        f"{up_to('n', 0)} AS n_now",
+        f"{up_to('n', VELOCITY_S + 1)} AS n_before_5m",
+        f"{up_to('n', DECLINED_S + 1)} AS n_before_1h",
+        f"{up_to('n_declined', 0)} AS declined_now",
+        f"{up_to('n_declined', DECLINED_S + 1)} AS declined_before_1h",
+        f"{up_to('merchant_opens', 0)} AS merchants_opened",
+        f"{up_to('merchant_closes', MERCHANTS_S + 1)} AS merchants_over",
+        f"{up_to('country_opens', 0)} AS countries_opened",
+        f"{up_to('country_closes', COUNTRIES_S + 1)} AS countries_over",
+    )
+    return totals.selectExpr(
+        *keep,
+        "CAST(n_now - n_before_5m AS INT) AS tx_by_card_5m",
+        "CAST(merchants_opened - merchants_over AS INT) AS distinct_merchants_10m",
+        "CAST(countries_opened - countries_over AS INT) AS distinct_countries_1h",
+        "round((declined_now - declined_before_1h) / (n_now - n_before_1h), 4) AS declined_ratio_1h",
+    )
 
 
 def card_features(rows: DataFrame) -> DataFrame:
     """Add the card features to deduplicated payments. One shuffle by card serves all of them."""
-    merchant_opens, merchant_closes = _run_edges("merchant_id", ["card_id"], MERCHANTS_S)
-    country_opens, country_closes = _run_edges("country", ["card_id"], COUNTRIES_S)
-    features = _features(["card_id"])
-    return (
-        rows.withColumn("at_s", epoch_second(F.col("event_time")))
+    merchant_opens, merchant_closes = _run_edges("merchant_id", "card_id", MERCHANTS_S)
+    country_opens, country_closes = _run_edges("country", "card_id", COUNTRIES_S)
+    marked = (
+        rows.select("*", epoch_second(F.col("event_time")).alias("at_s"))
         # Ask for the card alone: the finer (card, value) windows are then already co-located.
         .repartition("card_id")
         .withColumns({"merchant_opens": merchant_opens, "merchant_closes": merchant_closes})
         .withColumns({"country_opens": country_opens, "country_closes": country_closes})
         .withColumns({"n": F.lit(1), "n_declined": declined()})
-        .select(*rows.columns, *[c.alias(name) for name, c in features.items()])
     )
+    return _with_features(marked, "card_id", rows.columns)
 
 
 def hot_card_features(rows: DataFrame) -> DataFrame:
@@ -118,8 +123,8 @@ def hot_card_features(rows: DataFrame) -> DataFrame:
     next_slice = F.floor((F.col("at_s") + LONGEST_S) / SLICE_S)
     sliced = per_value.withColumn("slice", F.explode(F.array_distinct(F.array(own_slice, next_slice))))
 
-    span = F.when(F.col("what") == "merchant", F.lit(MERCHANTS_S)).otherwise(F.lit(COUNTRIES_S))
-    opens, closes = _run_edges("value", ["card_id", "slice", "what"], span)
+    span = f"if(what = 'merchant', {MERCHANTS_S}, {COUNTRIES_S})"
+    opens, closes = _run_edges("value", "card_id, slice, what", span)
     edges = sliced.withColumns({"opens": opens, "closes": closes})
 
     def total(column: str, what: str) -> Column:
@@ -133,17 +138,14 @@ def hot_card_features(rows: DataFrame) -> DataFrame:
         total("opens", "country").alias("country_opens"),
         total("closes", "country").alias("country_closes"),
     )
-    features = _features(["card_id", "slice"])
     ready = (
-        per_second.select(
-            "card_id", "at_s", "slice", *[c.alias(name) for name, c in features.items()]
-        )
+        _with_features(per_second, "card_id, slice", ["card_id", "at_s", "slice"])
         .filter(F.col("slice") == own_slice)
-        .select(F.col("card_id").alias("hot_card"), F.col("at_s").alias("hot_at"), *features)
+        .select(F.col("card_id").alias("hot_card"), F.col("at_s").alias("hot_at"), *CARD_FEATURES)
     )
     at = epoch_second(F.col("event_time"))
     match = F.col("card_id").eqNullSafe(F.col("hot_card")) & (at == F.col("hot_at"))
     # Stored first, so that both join sides are plain shuffles, which AQE can split when one
     # second of one card is itself hot.
     joined = rows.join(stage(ready, "hot-card-seconds"), match, "left")
-    return joined.select(*rows.columns, *features)
+    return joined.select(*rows.columns, *CARD_FEATURES)

@@ -15,6 +15,7 @@ from payrisk.session import scratch_path
 
 # Fixed value: tokens kept per text.
 MAX_TOKENS = 128
+TRAIN, VALIDATION = "train", "validation"
 
 
 def sentence(leak_free: bool = False) -> Column:
@@ -52,10 +53,16 @@ def text_set(report: DataFrame, leak_free: bool = False, keep_id: bool = False)
     return report.select(*columns).dropna(subset=["text", "label"])
 
 
-def split(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(train, validation), about 80 to 20, disjoint and complete. A filter each, no shuffle."""
+def with_part(rows: DataFrame) -> DataFrame:
+    """Add ``part``, 'train' for about 80 % of the payments and 'validation' for the others."""
     chosen = is_train(F.coalesce("payment_id", F.lit("")))
-    return rows.filter(chosen), rows.filter(~chosen)
+    return rows.withColumn("part", F.when(chosen, TRAIN).otherwise(VALIDATION))
+
+
+def split(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(train, validation), disjoint and complete. A filter each, no shuffle."""
+    parts = with_part(rows)
+    return tuple(parts.filter(F.col("part") == p).drop("part") for p in (TRAIN, VALIDATION))
 
 
 def baseline(features: int = 1 << 14, iterations: int = 20) -> Pipeline:
