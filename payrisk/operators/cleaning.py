@@ -37,7 +37,7 @@ def clean_payments(df: DataFrame, read_order: Sequence[str] = ("event_time",)) -
     Duplicates go first, so an unusable first copy hides a usable later one.
     """
     first = first_per_key(normalize(df), ["payment_id"], read_order)
-    return first.dropna(subset=["amount", "card_id"]).filter(F.col("amount") > 0)
+    return first.filter(F.col("card_id").isNotNull() & (F.col("amount") > 0))
 
 
 def clean_features(df: DataFrame, read_order: Sequence[str] = ("event_time",)) -> DataFrame:

@@ -57,8 +57,8 @@ def connected_components(pairs: DataFrame, hot_rows: int = HOT_ROWS) -> DataFram
     lowest node.
 
     Needs a number of rounds that grows with the logarithm of the component size, not with its
-    diameter, and never more links than the input has. Each half round is a stored table, so a
-    lost executor costs one step, and plans stay short.
+    diameter, and never more links than the input has. Each round ends in a stored table, and with
+    many links each half of it, so a lost executor costs one step and plans stay short.
     """
     a, b = (F.col(c) for c in pairs.columns)
     links = stage(
@@ -70,7 +70,8 @@ def connected_components(pairs: DataFrame, hot_rows: int = HOT_ROWS) -> DataFram
     before = _fingerprint(links)
     many = before[0] >= hot_rows
     for _ in range(MAX_ROUNDS):
-        large = stage(_large_star(links, many), "large-star")
+        large = _large_star(links, many)
+        large = stage(large, "large-star") if many else large
         links = stage(_small_star(large, many), "small-star")
         after = _fingerprint(links)
         if after == before:

@@ -64,12 +64,12 @@ def edges(relations: DataFrame) -> DataFrame:
     per_payment = (
         relations.select(F.explode(F.array(*[F.struct(*ends(n)) for n in single])).alias("e"))
         .select("e.type", "e.src", "e.dst", F.lit(1).cast("long").alias("n_payments"))
-        .dropna()
+        .filter("src IS NOT NULL AND dst IS NOT NULL")
     )
     grouped = (
         relations.select(F.explode(F.array(*[F.struct(*ends(n)) for n in repeating])).alias("e"))
         .select("e.type", "e.src", "e.dst")
-        .dropna()
+        .filter("src IS NOT NULL AND dst IS NOT NULL")
         .groupBy("type", "src", "dst")
         .agg(F.count(F.lit(1)).alias("n_payments"))
     )
@@ -118,7 +118,7 @@ def anomaly_components(relations: DataFrame) -> DataFrame:
             F.concat(F.lit("card:"), "card_id").alias("a"),
             F.concat(F.lit("device:"), "device_id").alias("b"),
         )
-        .dropna()
+        .filter("a IS NOT NULL AND b IS NOT NULL")
         .distinct()
     )
     return connected_components(pairs)

@@ -50,7 +50,7 @@ def text_set(report: DataFrame, leak_free: bool = False, keep_id: bool = False)
     ]
     if keep_id:
         columns.insert(0, F.col("payment_id"))
-    return report.select(*columns).dropna(subset=["text", "label"])
+    return report.select(*columns).filter("text IS NOT NULL AND label IS NOT NULL")
 
 
 def with_part(rows: DataFrame) -> DataFrame:
