@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from payrisk import fixtures
 from payrisk.functions.rules import scored
-from payrisk.operators.card_windows import card_features
+from payrisk.operators.card_windows import CARD_FEATURES
 from payrisk.operators.cleaning import clean_payments
 from payrisk.operators.device_sharing import with_cards_per_device
 from payrisk.operators.fusion import suspicious
@@ -19,7 +19,7 @@ from payrisk.operators.hot_keys import find_hot_keys
 from payrisk.plans import gold, graph, reports, silver, textset
 from payrisk.plans.features import feature_rows
 from payrisk.plans.insights import fused_payments, insights_report, report_view
-from payrisk.schemas import EVENT, EVENT_COLUMNS, FEATURE_COLUMNS, REPORT
+from payrisk.schemas import EVENT, EVENT_COLUMNS, REPORT
 from payrisk.session import scratch_path, stage
 from payrisk.sinks import compaction, exports, tables, upsert
 from payrisk.sources.tables import external_csv_table, read_csv, read_mixed
@@ -117,7 +117,7 @@ def silver_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _card_feature(name: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        features = card_features(_deduplicated(spark, sf_dir))
+        features = silver.card_behaviour(_bronze(spark, sf_dir))
         return comparable(features.select("payment_id", name))
 
     return query
@@ -314,14 +314,12 @@ def classifier_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted.agg(F.count(F.lit(1)).alias("n_rows"), F.avg(right).alias("accuracy"))
 
 
-CARD_KEYS = {n: n for n in FEATURE_COLUMNS if n != "distinct_cards_per_device"}
-
 QUERIES: dict[str, Query] = {
     "bronze_parse": bronze_parse,
     "stream_bronze": stream_bronze,
     "publish_json": publish_json,
     "silver_typed": silver_typed,
-    **{key: _card_feature(name) for key, name in CARD_KEYS.items()},
+    **{name: _card_feature(name) for name in CARD_FEATURES},
     "cards_per_device": cards_per_device,
     "silver": silver_table,
     "reasons": reasons,

@@ -139,3 +139,11 @@ def test_silver_contract(event):
     assert table.columns == SILVER_COLUMNS
     assert dict(table.dtypes)["tx_by_card_5m"] == "int"
     assert dict(table.dtypes)["event_time"] == "timestamp"
+
+
+def test_card_behaviour_is_the_card_part_of_silver(event):
+    rows = event(*_random_feed(5, 80))
+    names = [n for n in FEATURE_COLUMNS if n != "distinct_cards_per_device"]
+    want = _features(silver.silver(rows), *names)
+    for hot_rows in (10**6, 20):
+        assert _features(silver.card_behaviour(rows, hot_rows), *names) == want

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from payrisk.plans import silver
 from payrisk.plans.features import feature_rows
 from payrisk.schemas import FEATURE_TABLE
+from payrisk.session import setting
 from payrisk.sinks import compaction, exports, tables, upsert
 
 
@@ -34,6 +35,17 @@ def test_export_is_repeatable_and_replaces_only_its_partitions(spark, event, tmp
     assert len(list(Path(path).rglob("*.json"))) == 4
 
 
+def test_a_day_with_most_rows_is_written_by_several_tasks(spark, tmp_path):
+    rows = spark.range(0, 60_000, 1, 6).selectExpr(
+        "if(id % 10 = 0, '2024-01-02T00:00:00', '2024-01-01T00:00:00') AS event_time", "uuid() AS payment_id"
+    )
+    with setting(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k"):
+        exports.export_by_time(rows, str(tmp_path / "e"), "day")
+    files = {p.name: len(list(p.rglob("*.json"))) for p in (tmp_path / "e").rglob("day=*")}
+    assert files["day=01"] > 1
+    assert exports.read_export(spark, str(tmp_path / "e"), rows.schema, "day").count() == 60_000
+
+
 def test_export_by_day_as_parquet(spark, event, tmp_path):
     rows = silver.silver(event({}, {"event_time": "2024-01-02T00:00:00"}))
     exports.export_by_time(rows, str(tmp_path / "s"), "day", "parquet")
