@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from payrisk.functions.rules import ALERT_SCORE, DECLINED, RISKY_SCORE, declined, risky
 
-# Fixed value: length of the high-risk report.
+# Fixed value: length of the high-risk report. The result column names of the three report queries
+# are fixed too, as their readers know them.
 HIGH_RISK_ROWS = 50
 TOP_ROWS = 10
 
