@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from payrisk.llm import decontam, lm, packing, simhash
+from payrisk.llm import decontam, lm, packing, quality, simhash, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,21 @@ def _fold(folds: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % folds == 1
 
 
+def _predicted(scored: DataFrame, least: float) -> DataFrame:
+    return scored.select(
+        "doc_id",
+        F.coalesce(_fold(3), F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= least).cast("int").alias("predicted"),
+    )
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"), _fold(3))
+    return _predicted(toxicity.score(docs, model), 0.7)
+
+
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
     return decontam.contaminated(docs, items).select(
@@ -37,6 +52,12 @@ def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(_table(spark, sf_dir, "documents"), _fold(5))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, _table(spark, sf_dir, "labels"), _fold(3))
+    return _predicted(quality.score(docs, model), 0.5)
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack(_table(spark, sf_dir, "documents"), path)
@@ -49,8 +70,10 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_toxicity": op2_toxicity,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op5_lm_scoring": op5_lm_scoring,
+    "op6_quality_classifier": op6_quality_classifier,
     "op9_packing": op9_packing,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }

@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Text bytes handled at once in a task; bounds the working memory of the array code.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 _CHUNK = 1 << 20
 _MULTIPLIER = 0x9E3779B97F4A7C15
 
