@@ -100,6 +100,22 @@ def _g2(p: np.ndarray, q: np.ndarray, n_p: int, n_q: int) -> np.ndarray:
     return np.where(p * n_q > q * n_p, g, 0.0)
 
 
+def _apart(sample: Sample, which: np.ndarray, bands: int = 12, per_band: int = 8) -> np.ndarray:
+    """``which`` without near copies, whose shared words would pass for signs of the class."""
+    seen: set[tuple[int, bytes]] = set()
+    keep = which.copy()
+    salts = mix(np.arange(1, bands * per_band + 1, dtype=np.uint64))[:, None]
+    for i in np.flatnonzero(which).tolist():
+        ids = sample.of(i).astype(np.uint64)
+        if not len(ids):
+            continue
+        least = mix(ids[None, :] * np.uint64(0x9E3779B97F4A7C15) ^ salts).min(axis=1)
+        keys = {(k, least[k * per_band : (k + 1) * per_band].tobytes()) for k in range(bands)}
+        keep[i] = not keys & seen
+        seen |= keys
+    return keep
+
+
 def lexicon(sample: Sample, size: int = LEXICON) -> np.ndarray:
     """Features that mark toxic texts more surely than chance over all features allows, strongest
     first, then the general lexicon."""
@@ -107,10 +123,10 @@ def lexicon(sample: Sample, size: int = LEXICON) -> np.ndarray:
     toxic = sample.labels > 0
     if not toxic.any() or toxic.all():
         return general
-    p = sample.counts(toxic, 1 << BITS)
+    apart = _apart(sample, toxic)
+    p = sample.counts(apart, 1 << BITS)
     q = sample.counts(~toxic, 1 << BITS)
-    g = _g2(p, q, int(toxic.sum()), int((~toxic).sum()))
-    # A feature of k toxic texts and no other one: odds of its kind, not of its single copy.
+    g = _g2(p, q, int(apart.sum()), int((~toxic).sum()))
     least = 10 + 2 * np.log(max(np.count_nonzero(p + q >= 3), 1))
     strong = np.argsort(-g, kind="stable")[:size]
     strong = strong[(g[strong] >= least) & (p[strong] >= 10 * q[strong])]
