@@ -361,3 +361,21 @@ def contaminated(
 ) -> DataFrame:
     """Index ``docs`` (doc_id, text) and find the windows of ``items`` (item_id, text) in them."""
     return find_items(build_index(docs), items, window=window, block_chars=block_chars)
+
+
+def keep_clean(
+    docs: DataFrame,
+    items: DataFrame,
+    id_column: str = "doc_id",
+    text: str = "text",
+    window: int = WINDOW,
+) -> DataFrame:
+    """The rows of ``docs``, columns unchanged, in whose text no window of ``items`` occurs.
+
+    Rows are told apart by id and text, so an id that several texts share loses only those hit."""
+    key = F.struct(F.col(id_column).cast("string").alias("i"), F.xxhash64(text).alias("h"))
+    number = F.xxhash64(key, F.crc32(F.col(text)))
+    index = build_index(docs.select(number.alias("n"), F.col(text)), "n", text)
+    hit = find_items(index, items, window=window).filter("n_hit > 0")
+    hit = stage(hit.select(F.col("doc_id").alias("__hit")).distinct(), "hit")
+    return docs.join(hit, number == F.col("__hit"), "left_anti").select(*docs.columns)

@@ -8,6 +8,7 @@ together) in which a word that repeats its forerunner is marked, so that junk in
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,7 +25,16 @@ from payrisk.llm.classify import (
     score_texts,
     sigmoid,
 )
-from payrisk.llm.text import EXACT, FOLDED, NOT_SPACE, Words, chain, mix, span_hashes
+from payrisk.llm.text import (
+    EXACT,
+    FOLDED,
+    NOT_SPACE,
+    Words,
+    chain,
+    mix,
+    row_slices,
+    span_hashes,
+)
 
 BITS = 20
 #: Labelled texts that the model is fitted to, at most.
@@ -207,3 +217,21 @@ def score(docs: DataFrame, model: Model, text: str = "text", into: str = "score"
     """``docs`` without the text and with a score from 0 to 1; every row stays."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     return score_texts(docs, extract, lambda i, r: shared.value.score(i, r), text, into)
+
+
+def keep(docs: DataFrame, model: Model, least: float, text: str = "text") -> DataFrame:
+    """The rows of ``docs``, columns unchanged, whose score is ``least`` or more."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    names = docs.columns
+    place = names.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column(place)
+            for a, b in row_slices(column):
+                pairs = extract(column.slice(a, b - a))
+                rows = np.searchsorted(pairs, np.arange(b - a + 1) << 32)
+                good = shared.value.score(pairs & 0xFFFFFFFF, rows) >= least
+                yield batch.slice(a, b - a).filter(pa.array(good))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -9,7 +9,18 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from payrisk.llm import decontam, lm, packing, quality, simhash, toxicity
+from payrisk.llm import (
+    ann,
+    decontam,
+    html,
+    lm,
+    packing,
+    pii,
+    quality,
+    secrets,
+    simhash,
+    toxicity,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +41,11 @@ def _predicted(scored: DataFrame, least: float) -> DataFrame:
     )
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html.extract_pages(pages).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, _table(spark, sf_dir, "labels"), _fold(3))
@@ -48,6 +64,32 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def _listed(spans: str) -> Column:
+    """kind:start:end of each span, comma-joined."""
+    return F.array_join(
+        F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ","
+    )
+
+
+def _span_digest(found: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
+    """Counts of the base kinds, the digest of ``base`` and the list of ``spans``."""
+    counts = [
+        F.size(F.filter("base", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{k}")
+        for k in kinds
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(_listed("base"), 256).alias("base_sha256"),
+        _listed("spans").alias("spans"),
+    )
+
+
+def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return _span_digest(secrets.find(docs), secrets.KINDS)
+
+
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(_table(spark, sf_dir, "documents"), _fold(5))
 
@@ -58,6 +100,17 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _predicted(quality.score(docs, model), 0.5)
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.learn_patterns(docs.select("text")))
+    base = F.filter("spans", lambda x: x["kind"] != pii.FOUND)
+    return _span_digest(found.withColumn("base", base), pii.KINDS)
+
+
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack(_table(spark, sf_dir, "documents"), path)
@@ -70,10 +123,14 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_toxicity": op2_toxicity,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op4_secret_scans": op4_secret_scans,
     "op5_lm_scoring": op5_lm_scoring,
     "op6_quality_classifier": op6_quality_classifier,
+    "op7_pii": op7_pii,
+    "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_packing": op9_packing,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
