@@ -15,7 +15,6 @@ from payrisk.operators.card_windows import CARD_FEATURES
 from payrisk.operators.cleaning import clean_payments
 from payrisk.operators.device_sharing import with_cards_per_device
 from payrisk.operators.fusion import suspicious
-from payrisk.operators.hot_keys import find_hot_keys
 from payrisk.plans import gold, graph, reports, silver, textset
 from payrisk.plans.features import feature_rows
 from payrisk.plans.insights import fused_payments, insights_report, report_view
@@ -124,10 +123,8 @@ def _card_feature(name: str) -> Query:
 
 
 def cards_per_device(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bronze = _bronze(spark, sf_dir)
-    rows = silver.deduplicated(bronze)
-    hot = find_hot_keys(bronze, ["device_id"])["device_id"]
-    counted = with_cards_per_device(rows, rows, hot)
+    rows = silver.stored(_bronze(spark, sf_dir))
+    counted = with_cards_per_device(rows, rows)
     return comparable(counted.select("payment_id", "distinct_cards_per_device"))
 
 

@@ -9,7 +9,7 @@ costs rows x frame size on a busy card, every feature is a difference of two run
   at most s apart belong to one run. So distinct values in the frame = runs opened up to t - runs
   whose last sighting is at most t - s - 1.
 
-The work is linear in the rows of a card after sorting, whatever the frame holds.
+The work is linear in a card's seconds after sorting, whatever the frame holds.
 """
 
 from __future__ import annotations
@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 from payrisk.functions.rules import declined
 from payrisk.functions.values import epoch_second
-from payrisk.session import stage
 
 # Frame lengths in seconds.
 VELOCITY_S = 300
@@ -28,7 +27,7 @@ COUNTRIES_S = 3600
 DECLINED_S = 3600
 LONGEST_S = max(VELOCITY_S, MERCHANTS_S, COUNTRIES_S, DECLINED_S)
 
-# Width of the time slices into which the per-second totals of a hot card are cut.
+# Width of the time slices into which a card's per-second totals are cut.
 SLICE_S = 86_400
 
 CARD_FEATURES = [
@@ -81,27 +80,14 @@ def _with_features(per_time: DataFrame, group: str, keep: list[str]) -> DataFram
 
 
 def card_features(rows: DataFrame) -> DataFrame:
-    """Add the card features to deduplicated payments. One shuffle by card serves all of them."""
-    merchant_opens, merchant_closes = _run_edges("merchant_id", "card_id", MERCHANTS_S)
-    country_opens, country_closes = _run_edges("country", "card_id", COUNTRIES_S)
-    marked = (
-        rows.select("*", epoch_second(F.col("event_time")).alias("at_s"))
-        # Ask for the card alone: the finer (card, value) windows are then already co-located.
-        .repartition("card_id")
-        .withColumns({"merchant_opens": merchant_opens, "merchant_closes": merchant_closes})
-        .withColumns({"country_opens": country_opens, "country_closes": country_closes})
-        .withColumns({"n": F.lit(1), "n_declined": declined()})
-    )
-    return _with_features(marked, "card_id", rows.columns)
-
-
-def hot_card_features(rows: DataFrame) -> DataFrame:
-    """The same for cards with too many payments for one task.
+    """Add the card features to deduplicated payments.
 
     The payments are first added up per card and second (and merchant or country), so what is left
     of a card is bounded by the seconds of the time span, not by its payments. These totals are cut
-    into slices of a day; each slice also gets the last hour before it, so no frame is cut short.
-    The finished values go back to the payments by card and second.
+    into slices of a day; each slice also gets the last hour before it, so no frame is cut short,
+    and no task holds more than a day of one card's seconds. The finished values go back to the
+    payments by card and second: that key is not the windows', so both sides of the join are plain
+    shuffles, which AQE can split when one second of one card is itself hot.
     """
     narrow = rows.select(
         "card_id",
@@ -141,11 +127,8 @@ def hot_card_features(rows: DataFrame) -> DataFrame:
     ready = (
         _with_features(per_second, "card_id, slice", ["card_id", "at_s", "slice"])
         .filter(F.col("slice") == own_slice)
-        .select(F.col("card_id").alias("hot_card"), F.col("at_s").alias("hot_at"), *CARD_FEATURES)
+        .select(F.col("card_id").alias("key_card"), F.col("at_s").alias("key_at"), *CARD_FEATURES)
     )
     at = epoch_second(F.col("event_time"))
-    match = F.col("card_id").eqNullSafe(F.col("hot_card")) & (at == F.col("hot_at"))
-    # Stored first, so that both join sides are plain shuffles, which AQE can split when one
-    # second of one card is itself hot.
-    joined = rows.join(stage(ready, "hot-card-seconds"), match, "left")
-    return joined.select(*rows.columns, *CARD_FEATURES)
+    match = F.col("card_id").eqNullSafe(F.col("key_card")) & (at == F.col("key_at"))
+    return rows.join(ready, match, "left").select(*rows.columns, *CARD_FEATURES)

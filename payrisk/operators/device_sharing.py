@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from payrisk.operators.hot_keys import HotKeys, lookup_join
-
 
 def cards_per_device(rows: DataFrame) -> DataFrame:
     """(device_id, distinct_cards_per_device) over all time; payments without device are one group.
@@ -19,8 +17,9 @@ def cards_per_device(rows: DataFrame) -> DataFrame:
     )
 
 
-def with_cards_per_device(rows: DataFrame, source: DataFrame, hot_devices: HotKeys) -> DataFrame:
-    """Add the count, taken over ``source``, to ``rows``."""
-    return lookup_join(
-        rows, cards_per_device(source), "device_id", hot_devices, F.col("payment_id")
-    )
+def with_cards_per_device(rows: DataFrame, source: DataFrame) -> DataFrame:
+    """Add the count, taken over ``source``, to ``rows``: a plain join to one row per device, whose
+    busy devices AQE splits."""
+    counts = cards_per_device(source).withColumnRenamed("device_id", "key_device")
+    match = F.col("device_id").eqNullSafe(F.col("key_device"))
+    return rows.join(counts, match, "left").drop("key_device")

@@ -6,10 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from payrisk.functions.values import event_instant
-from payrisk.operators.card_windows import card_features, hot_card_features
+from payrisk.operators.card_windows import card_features
 from payrisk.operators.dedup import first_per_key
 from payrisk.operators.device_sharing import with_cards_per_device
-from payrisk.operators.hot_keys import HOT_ROWS, HotKeys, find_hot_keys, split_by_heat
 from payrisk.schemas import EVENT_COLUMNS, SILVER_COLUMNS
 from payrisk.session import stage
 
@@ -28,35 +27,17 @@ def deduplicated(bronze: DataFrame) -> DataFrame:
     return first_per_key(typed(bronze), ["payment_id"], ["event_time"])
 
 
-def _rows_and_hot_keys(
-    bronze: DataFrame, columns: list[str], hot_rows: int
-) -> tuple[DataFrame, dict[str, HotKeys]]:
-    """Deduplicated rows and the hot keys; with a hot card the rows are stored, as they are read
-    several times then."""
-    rows = deduplicated(bronze)
-    hot = find_hot_keys(bronze, columns, hot_rows)
-    return (rows if hot["card_id"] is None else stage(rows, "deduplicated")), hot
+def stored(bronze: DataFrame) -> DataFrame:
+    """The deduplicated rows as a stored table: features read them several times."""
+    return stage(deduplicated(bronze), "deduplicated")
 
 
-def _with_card_features(rows: DataFrame, hot_cards: HotKeys) -> DataFrame:
-    if hot_cards is None:
-        return card_features(rows)
-    other, busy = split_by_heat(rows, "card_id", hot_cards)
-    return card_features(other).unionByName(hot_card_features(busy))
-
-
-def card_behaviour(bronze: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def card_behaviour(bronze: DataFrame) -> DataFrame:
     """Deduplicated payments with the four card features only."""
-    rows, hot = _rows_and_hot_keys(bronze, ["card_id"], hot_rows)
-    return _with_card_features(rows, hot["card_id"])
-
+    return card_features(stored(bronze))
 
-def silver(bronze: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The silver table: 12 event columns and 5 features.
 
-    Usually one lazy plan. If a card is too big for one task, the deduplicated rows are stored once
-    in the scratch folder, and that card takes the per-second path.
-    """
-    rows, hot = _rows_and_hot_keys(bronze, ["card_id", "device_id"], hot_rows)
-    enriched = _with_card_features(rows, hot["card_id"])
-    return with_cards_per_device(enriched, rows, hot["device_id"]).select(*SILVER_COLUMNS)
+def silver(bronze: DataFrame) -> DataFrame:
+    """The silver table: 12 event columns and 5 features. One way for every size of table and key."""
+    rows = stored(bronze)
+    return with_cards_per_device(card_features(rows), rows).select(*SILVER_COLUMNS)

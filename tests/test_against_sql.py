@@ -53,12 +53,11 @@ def test_entry_and_classifier(spark):
         (SF_NEXT, 10_000, (9500, 2064, 22014, 31806, 17840, 20190, 1920.9564, 144986, 76)),
     ],
 )
-@pytest.mark.parametrize("hot_rows", [10**6, 100])
-def test_golden_features_and_scores(spark, folder, events, golden, hot_rows):
+def test_golden_features_and_scores(spark, folder, events, golden):
     feed = fixtures.payments(spark, folder)
     assert feed.count() == events
     row = (
-        gold.relations(silver.silver(feed, hot_rows))
+        gold.relations(silver.silver(feed))
         .agg(
             F.count("*"),
             F.count_if(F.col("risk_score") >= 20),

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import random
+import re
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from payrisk.operators.hot_keys import find_hot_keys, lookup_join
 from payrisk.plans import silver
 from payrisk.schemas import FEATURE_COLUMNS, SILVER_COLUMNS
 
@@ -46,15 +47,14 @@ def test_deduplication_does_not_depend_on_partitioning(spark, event):
     assert survivors == {0.0}
 
 
-@pytest.mark.parametrize("hot_rows", [10**6, 1])
-def test_nulls(event, hot_rows):
+def test_nulls(event):
     rows = event(
         {"merchant_id": None, "status": None},
         {"merchant_id": "M", "status": "declined"},
         {"card_id": None, "country": None, "device_id": None},
         {"card_id": None, "country": "FR", "device_id": None},
     )
-    got = _features(silver.silver(rows, hot_rows), *FEATURE_COLUMNS)
+    got = _features(silver.silver(rows), *FEATURE_COLUMNS)
     assert got["PAY-0"] == (2, 1, 1, 1, 0.5)
     # Payments without a card count as one card's in the windows, and as no card on the device.
     assert got["PAY-2"] == (2, 1, 1, 0, 0.0)
@@ -104,34 +104,46 @@ def _brute_force(feed: list[dict]) -> dict[str, tuple]:
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-@pytest.mark.parametrize("hot_rows", [10**6, 60, 1])
-def test_features_equal_brute_force(event, seed, hot_rows):
-    """The feed crosses midnight, where the hot path cuts its slices."""
+def test_features_equal_brute_force(event, seed):
+    """The feed crosses midnight, where a card's totals are cut into slices."""
     feed = _random_feed(seed, 300)
-    got = _features(silver.silver(event(*feed), hot_rows), *FEATURE_COLUMNS)
+    got = _features(silver.silver(event(*feed)), *FEATURE_COLUMNS)
     assert got == _brute_force(feed)
 
 
-def test_hot_keys_are_found_with_null_and_copies(event):
-    rows = event(*[{"card_id": None} for _ in range(30)], *[{"card_id": f"C{i}"} for i in range(60)])
-    assert find_hot_keys(rows, ["card_id", "device_id"], 1000) == {"card_id": None, "device_id": None}
-    found = find_hot_keys(rows, ["card_id", "device_id"], 20)
-    assert [tuple(r) for r in found["card_id"].collect()] == [(None, 2)]
-    assert [tuple(r) for r in found["device_id"].collect()] == [("DEV-1", 5)]
-
-
-def test_lookup_join_with_hot_keys_changes_nothing(spark):
-    rows = spark.createDataFrame(
-        [("hot" if i % 3 == 0 else None if i % 3 == 1 else f"k{i % 5}", i) for i in range(90)], "k string, i int"
-    )
-    facts = rows.groupBy("k").agg(F.count("*").alias("n")).filter("k is null or k <> 'k2'")
-    hot = spark.createDataFrame([("hot", 7), (None, 3)], "key string, copies int")
-    plain = lookup_join(rows, facts, "k", None, F.col("i"))
-    salted = lookup_join(rows, facts, "k", hot, F.col("i"))
-    assert plain.columns == salted.columns == ["k", "i", "n"]
-    key = lambda r: r["i"]
-    assert sorted(plain.collect(), key=key) == sorted(salted.collect(), key=key)
-    assert len(salted.collect()) == 90
+def test_one_second_holds_most_payments_of_a_card_over_several_days(event):
+    """A null card, a card with a hot second, and a card whose payments span days."""
+    pick = random.Random(4)
+    feed = [
+        {"event_time": START.isoformat(), "card_id": card, "merchant_id": f"m{i % 7}"}
+        for i in range(120)
+        for card in ("HOT", None)
+    ]
+    feed += [
+        {
+            "event_time": (START + timedelta(seconds=pick.randrange(4 * 86_400))).isoformat(),
+            "card_id": pick.choice(["HOT", "LONG", None]),
+            "status": pick.choice(["approved", "declined"]),
+        }
+        for _ in range(80)
+    ]
+    defaults = {"merchant_id": "MERCH-1", "country": "ES", "device_id": "DEV-1", "status": "approved"}
+    full = [{**defaults, **row} for row in feed]
+    got = _features(silver.silver(event(*feed)), *FEATURE_COLUMNS)
+    assert got == _brute_force(full)
+
+
+def test_plan_has_no_window_over_a_whole_card(event):
+    plan = silver.silver(event({}))._jdf.queryExecution().optimizedPlan().toString()
+    windows = re.findall(r"Window \[[^\n]*", plan)
+    assert windows
+    for line in windows:
+        keys = line.split("], [")[1]
+        assert "slice" in keys and "card_id" in keys
+    source = Path(silver.__file__).parents[1]
+    for path in source.rglob("*.py"):
+        if "llm" not in path.parts and path.name != "components.py":
+            assert not re.search(r"\.collect\(|repartition\(\"card_id", path.read_text()), path
 
 
 def test_silver_contract(event):
@@ -145,5 +157,4 @@ def test_card_behaviour_is_the_card_part_of_silver(event):
     rows = event(*_random_feed(5, 80))
     names = [n for n in FEATURE_COLUMNS if n != "distinct_cards_per_device"]
     want = _features(silver.silver(rows), *names)
-    for hot_rows in (10**6, 20):
-        assert _features(silver.card_behaviour(rows, hot_rows), *names) == want
+    assert _features(silver.card_behaviour(rows), *names) == want
