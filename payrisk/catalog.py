@@ -17,7 +17,7 @@ from payrisk.operators.device_sharing import with_cards_per_device
 from payrisk.operators.fusion import suspicious
 from payrisk.plans import gold, graph, reports, silver, textset
 from payrisk.plans.features import feature_rows
-from payrisk.plans.insights import fused_payments, insights_report, report_view
+from payrisk.plans.insights import fused_payments, insights_report
 from payrisk.schemas import EVENT, EVENT_COLUMNS, REPORT
 from payrisk.session import scratch_path, stage
 from payrisk.sinks import compaction, exports, tables, upsert
@@ -79,11 +79,19 @@ def _load_time():
 
 def _second_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feature rows of the cleaned second feed; it shares only part of its ids with silver."""
-    return feature_rows(_cleaned(spark, sf_dir), _load_time())
+    return feature_rows(stage(_cleaned(spark, sf_dir), "cleaned"), _load_time())
+
+
+def _stored_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stage(_relations(spark, sf_dir), "relations")
 
 
 def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report_view(_relations(spark, sf_dir))
+    """The stored insights report, as the jobs hand it on."""
+    relations = _relations(spark, sf_dir, keep_reasons=True)
+    path = scratch_path(spark, "insights")
+    tables.write_csv(insights_report(relations, _second_feed(spark, sf_dir)), path)
+    return read_csv(spark, path, REPORT)
 
 
 # Ingest.
@@ -107,6 +115,11 @@ def publish_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.as_messages(_bronze(spark, sf_dir))
 
 
+def publish_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of rows with real timestamps."""
+    return tables.as_messages(_relations(spark, sf_dir))
+
+
 # Silver.
 
 
@@ -182,8 +195,16 @@ def _exported(df: DataFrame, granularity: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, f"export-{granularity}")
     exports.export_by_time(df, path, granularity)
-    stored = exports.read_export(spark, path, df.schema, granularity)
-    return exports.partition_counts(stored, granularity)
+    return comparable(exports.read_export(spark, path, df.schema, granularity))
+
+
+def export_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per exported minute of the alerts."""
+    rows = gold.alerts(_silver(spark, sf_dir))
+    path = scratch_path(spark, "export-alerts")
+    exports.export_by_time(rows, path, "minute")
+    stored = exports.read_export(spark, path, rows.schema, "minute")
+    return exports.partition_counts(stored, "minute")
 
 
 def export_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -196,15 +217,21 @@ def export_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def features_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(feature_rows(_silver(spark, sf_dir), _load_time()))
+    return comparable(feature_rows(stage(_silver(spark, sf_dir), "silver"), _load_time()))
 
 
 def features_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second feed is the loaded table; the silver rows are the new batch."""
-    batch = feature_rows(_silver(spark, sf_dir), _load_time())
+    batch = feature_rows(stage(_silver(spark, sf_dir), "silver"), _load_time())
     return comparable(upsert.upserted(_second_feed(spark, sf_dir), batch))
 
 
+def features_upsert_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch is the feed before deduplication: some payments come twice."""
+    batch = feature_rows(stage(silver.typed(_bronze(spark, sf_dir)), "typed"), _load_time())
+    return comparable(upsert.upserted(_second_feed(spark, sf_dir), upsert.as_one_batch(batch)))
+
+
 def compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_files = scratch_path(spark, "small-files")
     _relations(spark, sf_dir).repartition(40).write.parquet(small_files)
@@ -238,10 +265,35 @@ def suspicious_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def insights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    report = insights_report(_relations(spark, sf_dir), _second_feed(spark, sf_dir))
-    path = scratch_path(spark, "insights")
-    tables.write_csv(report, path)
-    return comparable(read_csv(spark, path, REPORT))
+    return comparable(_report(spark, sf_dir))
+
+
+def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The defective feed with text that CSV files are bad at, written and read back."""
+    rows = fixtures.payments_dirty(spark, sf_dir).withColumns(
+        {
+            "status": F.expr("if(event_id % 3 = 0, concat(' \"', status, '\" '), status)"),
+            "currency": F.expr(
+                "CASE event_id % 4 WHEN 0 THEN '' WHEN 1 THEN NULL WHEN 2 THEN 'a,b' ELSE ' ' END"
+            ),
+            "mcc": F.expr(r"concat_ws('\n', mcc, if(event_id % 2 = 0, 'x\\ny', 'z\r\\'))"),
+        }
+    )
+    path = scratch_path(spark, "csv")
+    tables.write_csv(rows, path)
+    stored = read_csv(spark, path, rows.schema)
+    breaks = F.length("mcc") - F.length(F.replace("mcc", F.lit("\n"), F.lit("")))
+    return stored.select(
+        "event_id",
+        "payment_id",
+        "card_id",
+        "amount",
+        "country",
+        "currency",
+        "status",
+        F.md5(F.col("mcc").cast("binary")).alias("mcc_md5"),
+        breaks.cast("long").alias("line_breaks"),
+    )
 
 
 # Reports and dashboards.
@@ -250,8 +302,11 @@ def insights(spark: SparkSession, sf_dir: str) -> DataFrame:
 def high_risk_top50(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "report")
     tables.write_csv(_report(spark, sf_dir), path)
-    stored = external_csv_table(spark, f"payrisk_report_{uuid.uuid4().hex}", path, REPORT)
-    return comparable(reports.high_risk(stored))
+    name = f"payrisk_report_{uuid.uuid4().hex}"
+    # The rows are kept, the catalog entry is not: the files below it stay until the session ends.
+    found = stage(reports.high_risk(external_csv_table(spark, name, path, REPORT)), "high-risk")
+    tables.drop_table(spark, name)
+    return comparable(found.orderBy(F.desc("amount"), F.desc("puntuacion_riesgo"), "payment_id"))
 
 
 def _activity(by: str) -> Query:
@@ -284,7 +339,7 @@ def _top_risk(by: str) -> Query:
     return query
 
 
-# Graph. Nodes, edges and the two sharing queries read ids only, so unscored payments will do.
+# Graph.
 
 
 def anomaly_components(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -307,14 +362,14 @@ def classifier_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stage(textset.text_set(_report(spark, sf_dir), keep_id=True), "text-set")
     train, validation = textset.split(rows)
     predicted = textset.train(train).transform(validation)
-    right = (F.col("prediction") == F.col("label")).cast("double")
-    return predicted.agg(F.count(F.lit(1)).alias("n_rows"), F.avg(right).alias("accuracy"))
+    return textset.evaluation(predicted)
 
 
 QUERIES: dict[str, Query] = {
     "bronze_parse": bronze_parse,
     "stream_bronze": stream_bronze,
     "publish_json": publish_json,
+    "publish_typed": publish_typed,
     "silver_typed": silver_typed,
     **{name: _card_feature(name) for name in CARD_FEATURES},
     "cards_per_device": cards_per_device,
@@ -325,16 +380,19 @@ QUERIES: dict[str, Query] = {
     "relations": relations,
     "recompute_risk": recompute_risk,
     "time_slice": time_slice,
+    "export_counts": export_counts,
     "export_minute": export_minute,
     "export_day": export_day,
     "features_map": features_map,
     "features_upsert": features_upsert,
+    "features_upsert_repeats": features_upsert_repeats,
     "compaction": compacted,
     "mixed_source_union": mixed_source_union,
     "clean": clean,
     "fused_join": fused_join,
     "suspicious": suspicious_payments,
     "insights_report": insights,
+    "csv_round_trip": csv_round_trip,
     "high_risk_top50": high_risk_top50,
     "customer_activity": _activity("customer_id"),
     "card_activity": _activity("card_id"),
@@ -343,11 +401,11 @@ QUERIES: dict[str, Query] = {
     "alerts_timeline": alerts_timeline,
     "top_risk_merchants": _top_risk("merchant_id"),
     "top_risk_cards": _top_risk("card_id"),
-    "graph_nodes": lambda spark, sf_dir: graph.nodes(_deduplicated(spark, sf_dir)),
-    "graph_edges": lambda spark, sf_dir: graph.edges(_deduplicated(spark, sf_dir)),
-    "shared_devices": lambda spark, sf_dir: graph.shared_devices(_deduplicated(spark, sf_dir)),
+    "graph_nodes": lambda spark, sf_dir: graph.nodes(_stored_relations(spark, sf_dir)),
+    "graph_edges": lambda spark, sf_dir: graph.edges(_stored_relations(spark, sf_dir)),
+    "shared_devices": lambda spark, sf_dir: graph.shared_devices(_relations(spark, sf_dir)),
     "multi_country_cards": lambda spark, sf_dir: graph.multi_country_cards(
-        _deduplicated(spark, sf_dir)
+        _relations(spark, sf_dir)
     ),
     "suspicious_merchants": lambda spark, sf_dir: graph.suspicious_merchants(
         _relations(spark, sf_dir)

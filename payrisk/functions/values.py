@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The characters a text trim removes (all Unicode whitespace).
 WHITESPACE = (
@@ -15,7 +16,7 @@ WHITESPACE = (
 COUNTRY_ALIASES = {"ESPAÑA": "ES", "SPAIN": "ES", "ES": "ES"}
 UNKNOWN_COUNTRY = "UNKNOWN"
 
-# Fixed value: the share of train rows, as the first two hex digits of the id's MD5 (0xcd / 256).
+# The share of train rows, as the first two hex digits of the id's MD5 (0xcd / 256).
 TRAIN_BELOW_HEX = "cd"
 
 
@@ -24,9 +25,16 @@ def stripped(column: Column) -> Column:
     return F.btrim(column.cast("string"), F.lit(WHITESPACE))
 
 
-def event_instant(column: Column) -> Column:
-    """Time from ISO text (or a timestamp); unreadable text gives null instead of an error."""
-    return F.try_to_timestamp(column.cast("string"))
+#: How times are written into JSON: every microsecond, with the zone.
+TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
+
+def event_instant(df: DataFrame, name: str) -> Column:
+    """Time from a column of ISO text; unreadable text gives null instead of an error. A column of
+    timestamps stays as it is, so filters on it reach the scan."""
+    if isinstance(df.schema[name].dataType, T.TimestampType):
+        return F.col(name)
+    return F.try_to_timestamp(F.col(name).cast("string"))
 
 
 def epoch_second(column: Column) -> Column:

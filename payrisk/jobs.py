@@ -25,37 +25,70 @@ from payrisk.plans.silver import silver  # noqa: E402
 from payrisk.schemas import GOLD_COLUMNS, REPORT  # noqa: E402
 from payrisk.session import build_session, release_stages, stage  # noqa: E402
 from payrisk.sinks import compaction, exports, tables, upsert  # noqa: E402
-from payrisk.sources.tables import external_csv_table, read_csv, read_table, require_rows  # noqa: E402
+from payrisk.sources.tables import (  # noqa: E402
+    external_csv_table,
+    read_csv,
+    read_jdbc,
+    read_table,
+    require_rows,
+)
 from payrisk.streaming.ingest import kafka_options, message_stream, start_bronze  # noqa: E402
 
 
+def _yes(value: str) -> bool:
+    return value.lower() in ("yes", "true", "1")
+
+
 def _source(spark: SparkSession, name: str) -> DataFrame:
     return require_rows(read_table(spark, name), name)
 
 
 def bronze(
-    spark: SparkSession, servers: str, topic: str, table: str, checkpoint: str, provider: str = "iceberg"
+    spark: SparkSession,
+    servers: str,
+    topic: str,
+    table: str,
+    checkpoint: str,
+    provider: str = "iceberg",
+    max_offsets: str = "1000000",
 ) -> None:
-    """Follow a topic into a bronze table until the job is stopped."""
+    """Follow a topic into a bronze table until the job is stopped, that many messages a batch."""
     if "." in table:
         tables.create_namespace(spark, table.rsplit(".", 1)[0])
-    stream = message_stream(spark, "kafka", **kafka_options(servers, topic))
+    stream = message_stream(spark, "kafka", **kafka_options(servers, topic, max_offsets))
     start_bronze(stream, checkpoint, table=table, provider=provider).awaitTermination()
 
 
 def silver_table(spark: SparkSession, source: str, target: str, provider: str = "parquet") -> None:
     """Bronze table to silver table, replacing it."""
-    tables.replace_table(silver(_source(spark, source)), target, provider)
+    rows, seen = tables.counted(silver(_source(spark, source)), "silver")
+    tables.replace_table(rows, target, provider)
+    print(f"{target}: {seen.get['rows']} rows")
 
 
 def gold_tables(
-    spark: SparkSession, source: str, relations: str, alerts: str, provider: str = "parquet"
+    spark: SparkSession,
+    source: str,
+    relations: str,
+    alerts: str,
+    provider: str = "parquet",
+    keep_reasons: str = "no",
 ) -> None:
-    """Silver table to relations and alerts. Alerts are filtered out of the stored relations."""
-    scored = tables.replace_table(gold.relations(_source(spark, source)), relations, provider)
+    """Silver table to relations and alerts, with the list of reasons if keep_reasons is yes.
+    Alerts are filtered out of the stored relations."""
+    rows = gold.relations(_source(spark, source), _yes(keep_reasons))
+    rows, seen = tables.counted(rows, "relations")
+    scored = tables.replace_table(rows, relations, provider)
+    print(f"{relations}: {seen.get['rows']} rows")
     tables.replace_table(scored.filter(F.col("risk_score") >= ALERT_SCORE), alerts, provider)
 
 
+def publish(spark: SparkSession, source: str, servers: str, topic: str) -> None:
+    """A table as JSON messages to a topic, keyed by payment."""
+    options = {"kafka.bootstrap.servers": servers, "topic": topic}
+    tables.publish(_source(spark, source), "kafka", **options)
+
+
 def export(
     spark: SparkSession, source: str, path: str, granularity: str = "day", provider: str = "json"
 ) -> None:
@@ -65,7 +98,7 @@ def export(
 
 def features(spark: SparkSession, source: str, new_path: str, target_path: str = "") -> None:
     """Silver table upserted into a feature table on Parquet; the first load has no target yet."""
-    rows = feature_rows(_source(spark, source))
+    rows = upsert.as_one_batch(feature_rows(_source(spark, source)))
     if target_path:
         upsert.write_upsert(spark, target_path, rows, new_path)
     else:
@@ -74,16 +107,41 @@ def features(spark: SparkSession, source: str, new_path: str, target_path: str =
 
 def features_merge(spark: SparkSession, source: str, target: str) -> None:
     """The same into a catalog table that supports MERGE."""
-    rows = feature_rows(_source(spark, source))
+    rows = upsert.as_one_batch(feature_rows(_source(spark, source)))
     rows.createOrReplaceTempView("payrisk_feature_batch")
     spark.sql(upsert.merge_statement(target, "payrisk_feature_batch", rows.columns))
 
 
-def insights(spark: SparkSession, relations: str, features_path: str, path: str) -> None:
-    """Relations and feature table to the insights report."""
-    known = require_rows(spark.read.parquet(features_path), features_path)
-    rows = _source(spark, relations).select(*GOLD_COLUMNS)
-    tables.write_csv(insights_report(rows, known), path)
+def features_jdbc(
+    spark: SparkSession, source: str, url: str, target: str, staging: str, connections: str = "16"
+) -> None:
+    """The same for a database table: executors fill a staging table, and the statement that the
+    database then runs is printed for its own client."""
+    rows = upsert.as_one_batch(feature_rows(_source(spark, source)))
+    upsert.write_jdbc_staging(rows, url, staging, int(connections))
+    print(upsert.mysql_upsert_statement(target, staging, rows.columns))
+
+
+def insights(
+    spark: SparkSession,
+    relations: str,
+    features_path: str,
+    path: str,
+    features_url: str = "",
+    unique: str = "yes",
+) -> None:
+    """Relations and feature table to the insights report. With features_url, features_path names a
+    database table. Give unique no if ids repeat in either."""
+    if features_url:
+        known = read_jdbc(spark, features_url, features_path)
+    else:
+        known = spark.read.parquet(features_path)
+    known = require_rows(known, features_path)
+    rows = _source(spark, relations)
+    rows = rows.select(*GOLD_COLUMNS, *(c for c in ("reasons",) if c in rows.columns))
+    report, seen = tables.counted(insights_report(rows, known, _yes(unique)), "insights")
+    tables.write_csv(report, path)
+    print(f"{path}: {seen.get['rows']} rows")
 
 
 def report_queries(
@@ -112,9 +170,17 @@ def dashboard(spark: SparkSession, relations: str, path: str, provider: str = "c
     tables.write_results(results, path, provider)
 
 
-def compact(spark: SparkSession, source_path: str, new_path: str) -> None:
-    """Rewrite a Parquet folder with fewer files."""
-    compaction.compact(spark, source_path, new_path)
+def compact(
+    spark: SparkSession, source_path: str, new_path: str, partition_columns: str = ""
+) -> None:
+    """Rewrite a Parquet folder with fewer files, below comma-separated partition columns."""
+    columns = [c for c in partition_columns.split(",") if c]
+    compaction.compact(spark, source_path, new_path, partition_columns=columns)
+
+
+def compact_table(spark: SparkSession, catalog: str, table: str) -> None:
+    """Compact a catalog table in place, where the catalog can."""
+    spark.sql(compaction.rewrite_statement(catalog, table))
 
 
 def graph_export(
@@ -146,14 +212,19 @@ def train(spark: SparkSession, report_path: str, dataset_path: str, model_path:
 JOBS = {
     f.__name__.replace("_", "-"): f
     for f in (
-        bronze, silver_table, gold_tables, export, features, features_merge, insights,
-        report_queries, dashboard, compact, graph_export, train,
+        bronze, silver_table, gold_tables, publish, export, features, features_merge,
+        features_jdbc, insights, report_queries, dashboard, compact, compact_table,
+        graph_export, train,
     )
 }
 
 
 def main(arguments: list[str] | None = None, spark: SparkSession | None = None) -> None:
     parser = argparse.ArgumentParser(prog="payrisk", description=__doc__)
+    parser.add_argument(
+        "--partitions",
+        help="shuffle partitions before AQE merges them: about input bytes / 128 MB",
+    )
     commands = parser.add_subparsers(dest="job", required=True)
     for name, job in JOBS.items():
         command = commands.add_parser(name, help=(job.__doc__ or "").strip())
@@ -165,8 +236,10 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
                 default=None if required else parameter.default,
             )
     chosen = vars(parser.parse_args(arguments))
-    name = chosen.pop("job")
+    name, partitions = chosen.pop("job"), chosen.pop("partitions")
     session = spark or build_session(f"payrisk-{name}")
+    if partitions:
+        session.conf.set("spark.sql.shuffle.partitions", partitions)
     try:
         JOBS[name](session, **chosen)
     finally:

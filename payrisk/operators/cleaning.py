@@ -21,7 +21,7 @@ def normalize(df: DataFrame) -> DataFrame:
         "payment_id": stripped,
         "card_id": lambda c: F.upper(stripped(c)),
         "amount": number_or_null,
-        "event_time": event_instant,
+        "event_time": lambda _: event_instant(df, "event_time"),
         "country": country_code,
         "status": lambda c: F.lower(stripped(c)),
         "puntuacion_riesgo": number_or_null if scores_are_text else lambda c: c,
@@ -31,17 +31,22 @@ def normalize(df: DataFrame) -> DataFrame:
     )
 
 
-def clean_payments(df: DataFrame, read_order: Sequence[str] = ("event_time",)) -> DataFrame:
+def clean_payments(
+    df: DataFrame, read_order: Sequence[str] = ("event_time",), unique: bool = False
+) -> DataFrame:
     """Normalized payments, the first of each id in ``read_order``, with a card and an amount > 0.
 
-    Duplicates go first, so an unusable first copy hides a usable later one.
+    Duplicates go first, so an unusable first copy hides a usable later one. ``unique`` declares
+    that normalized ids do not repeat, as in tables made here; that saves a shuffle.
     """
-    first = first_per_key(normalize(df), ["payment_id"], read_order)
+    rows = normalize(df)
+    first = rows if unique else first_per_key(rows, ["payment_id"], read_order)
     return first.filter(F.col("card_id").isNotNull() & (F.col("amount") > 0))
 
 
-def clean_features(df: DataFrame, read_order: Sequence[str] = ("event_time",)) -> DataFrame:
-    """Feature rows under gold's column names, normalized, one per payment."""
-    return first_per_key(
-        normalize(df.withColumnsRenamed(FEATURE_NAMES)), ["payment_id"], read_order
-    )
+def clean_features(
+    df: DataFrame, read_order: Sequence[str] = ("event_time",), unique: bool = False
+) -> DataFrame:
+    """Feature rows under gold's column names, normalized, one per payment (see above)."""
+    rows = normalize(df.withColumnsRenamed(FEATURE_NAMES))
+    return rows if unique else first_per_key(rows, ["payment_id"], read_order)

@@ -61,9 +61,7 @@ def _frame(seconds: int) -> str:
     )
 
 
-SILVER = (
-    TYPED
-    + f""",
+FEATURES_CTE = f""",
 silver AS (
   SELECT event_us, {EVENT},
     count(payment_id) {_frame(300)} AS tx_by_card_5m,
@@ -73,7 +71,7 @@ silver AS (
     round(avg(CASE WHEN status = 'declined' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) {_frame(3600)}, 4)
       AS declined_ratio_1h
   FROM typed)"""
-)
+SILVER = TYPED + FEATURES_CTE
 RELATIONS = (
     SILVER
     + """,
@@ -134,6 +132,16 @@ def _feature_rows(name: str, source: str, ratio: str) -> str:
 
 
 BATCH = _feature_rows("batch", "silver", "declined_ratio_1h")
+# The feed one row after the other: the first of an id inserts it, later ones change two columns.
+REPEATS = _feature_rows("all_rows", "feed", "0.0::DOUBLE") + """,
+batch AS (
+  SELECT transaction_id, min_by(user_id, o) AS user_id, max_by(amount, o) AS amount,
+    min_by(is_fraud, o) AS is_fraud, min_by(risk_score, o) AS risk_score,
+    min_by(event_us, o) AS event_us, max_by(country, o) AS country,
+    min_by(device_type, o) AS device_type, min(ingestion_us) AS ingestion_us
+  FROM (SELECT *, row_number() OVER (
+    ORDER BY event_us, user_id, amount, is_fraud, risk_score, country, device_type) AS o FROM all_rows)
+  GROUP BY transaction_id)"""
 LOADED = CLEANED + _feature_rows("loaded", "cleaned", "0.0::DOUBLE")
 FUSED = (
     RELATIONS
@@ -159,13 +167,13 @@ def _with(ctes: str, body: str, recursive: bool = False) -> str:
 
 def _activity(key: str) -> str:
     return _with(
-        RELATIONS,
+        FUSED,
         f"""SELECT {key}, count(payment_id) AS total_transacciones,
   round(avg(amount), 9) AS monto_promedio,
   CAST(sum(CASE WHEN status = 'declined' THEN 1 ELSE 0 END) AS BIGINT) AS alertas_confirmadas,
-  max(risk_score) AS max_puntuacion
-FROM relations GROUP BY {key}
-HAVING count(payment_id) > 1 OR max(risk_score) > 10
+  max(puntuacion_riesgo) AS max_puntuacion
+FROM suspicious GROUP BY {key}
+HAVING count(payment_id) > 1 OR max(puntuacion_riesgo) > 10
 ORDER BY alertas_confirmadas DESC, total_transacciones DESC, {key}""",
     )
 
@@ -181,7 +189,7 @@ FROM relations GROUP BY {key} ORDER BY alerts DESC, avg(risk_score) DESC, {key}
 
 def _export(ctes: str, source: str, parts: dict[str, str]) -> str:
     columns = ", ".join(f"strftime(make_timestamp(event_us), '{f}') AS {n}" for n, f in parts.items())
-    return _with(ctes, f"SELECT {columns}, count(*) AS n_rows FROM {source} GROUP BY ALL")
+    return _with(ctes, f"SELECT *, {columns} FROM {source}")
 
 
 DAY_PARTS = {"year": "%Y", "month": "%m", "day": "%d"}
@@ -194,9 +202,13 @@ BRONZE = _with(
 )
 TEXT = (
     "'Transaction from country ' || country || ' with amount ' || CAST(amount AS VARCHAR) || "
-    "' EUR. Status: ' || status || '. Risk score evaluation: ' || CAST(risk_score AS VARCHAR) || '.'"
+    "' EUR. Status: ' || status || '. Risk score evaluation: ' || "
+    "CAST(puntuacion_riesgo AS VARCHAR) || '.'"
 )
 
+LABEL = "CAST(CASE WHEN status = 'declined' OR puntuacion_riesgo > 10 THEN 1 ELSE 0 END AS BIGINT)"
+PART = "CASE WHEN substr(md5(payment_id), 1, 2) < 'cd' THEN 'train' ELSE 'validation' END"
+
 COMPONENTS = (
     RELATIONS
     + """,
@@ -219,6 +231,14 @@ ORACLE: dict[str, str] = {
   'event_time': strftime(make_timestamp(event_us), {ISO}),
   {", ".join(f"'{c.strip()}': {c.strip()}" for c in EVENT.split(","))}}}) AS VARCHAR) AS value
 FROM feed""",
+    ),
+    "publish_typed": _with(
+        RELATIONS,
+        f"""SELECT payment_id AS key, CAST(to_json({{
+  'event_time': strftime(make_timestamp(event_us), {ISO}) || 'Z',
+  {", ".join(f"'{c.strip()}': {c.strip()}" for c in (EVENT + ", " + FEATURES).split(","))},
+  'risk_score': risk_score, 'reasons_text': reasons_text}}) AS VARCHAR) AS value
+FROM relations""",
     ),
     "silver_typed": _with(TYPED, f"SELECT event_us, {EVENT} FROM typed"),
     "tx_by_card_5m": _with(SILVER, "SELECT payment_id, tx_by_card_5m FROM silver"),
@@ -250,8 +270,14 @@ FROM feed""",
 WHERE event_us >= epoch_us(TIMESTAMP '2024-01-01 01:00:00')
   AND event_us < epoch_us(TIMESTAMP '2024-01-01 03:00:00')""",
     ),
-    "export_minute": _export(TYPED, "typed", MINUTE_PARTS),
-    "export_day": _export(MONTH_FEED, "typed", DAY_PARTS),
+    "export_counts": _with(
+        RELATIONS,
+        "SELECT "
+        + ", ".join(f"strftime(make_timestamp(event_us), '{f}') AS {n}" for n, f in MINUTE_PARTS.items())
+        + ", count(*) AS n_rows FROM relations WHERE risk_score >= 20 GROUP BY ALL",
+    ),
+    "export_minute": _export(RELATIONS, "relations", MINUTE_PARTS),
+    "export_day": _export(MONTH_FEED + FEATURES_CTE, "silver", DAY_PARTS),
     "features_map": _with(SILVER + BATCH, "SELECT * FROM batch"),
     "features_upsert": _with(
         SILVER + BATCH + LOADED,
@@ -262,6 +288,37 @@ SELECT l.transaction_id, l.user_id,
   l.event_us, CASE WHEN n.transaction_id IS NULL THEN l.country ELSE n.country END,
   l.device_type, l.ingestion_us
 FROM loaded l LEFT JOIN batch n ON n.transaction_id = l.transaction_id""",
+    ),
+    "features_upsert_repeats": _with(
+        FEED + REPEATS + LOADED,
+        """SELECT * FROM batch WHERE transaction_id NOT IN (SELECT transaction_id FROM loaded)
+UNION ALL
+SELECT l.transaction_id, l.user_id,
+  CASE WHEN n.transaction_id IS NULL THEN l.amount ELSE n.amount END, l.is_fraud, l.risk_score,
+  l.event_us, CASE WHEN n.transaction_id IS NULL THEN l.country ELSE n.country END,
+  l.device_type, l.ingestion_us
+FROM loaded l LEFT JOIN batch n ON n.transaction_id = l.transaction_id""",
+    ),
+    "csv_round_trip": _with(
+        BASE,
+        """SELECT event_id,
+  CASE WHEN event_id % 7 = 0 THEN '  PAY-' || CAST(event_id AS VARCHAR) || ' '
+    WHEN event_id % 20 = 19 THEN 'PAY-' || CAST(event_id - 1 AS VARCHAR)
+    ELSE 'PAY-' || CAST(event_id AS VARCHAR) END AS payment_id,
+  CASE WHEN event_id % 53 = 0 THEN NULL WHEN event_id % 5 = 0 THEN ' card-' || CAST(k AS VARCHAR)
+    ELSE 'CARD-' || CAST(k AS VARCHAR) END AS card_id,
+  CASE WHEN event_id % 50 = 1 THEN 'abc' WHEN event_id % 41 = 0 THEN '-5.0'
+    WHEN event_id % 43 = 0 THEN NULL ELSE CAST(k + 0.5 AS VARCHAR) END AS amount,
+  CASE WHEN k < 40 THEN 'ES' WHEN k < 55 THEN 'es' WHEN k < 65 THEN ' España '
+    WHEN k < 70 THEN 'Spain' WHEN k < 75 THEN 'unknown' WHEN k < 80 THEN NULL ELSE 'FR' END
+    AS country,
+  CASE event_id % 4 WHEN 0 THEN '' WHEN 1 THEN NULL WHEN 2 THEN 'a,b' ELSE ' ' END AS currency,
+  CASE WHEN event_id % 3 = 0 THEN ' "' || s || '" ' ELSE s END AS status,
+  md5(CASE k % 3 WHEN 0 THEN '5411' WHEN 1 THEN '5812' ELSE '5311' END || chr(10) ||
+    CASE WHEN event_id % 2 = 0 THEN 'x' || chr(92) || 'ny' ELSE 'z' || chr(13) || chr(92) END)
+    AS mcc_md5,
+  CAST(1 AS BIGINT) AS line_breaks
+FROM (SELECT *, CASE WHEN event_type = 'error' THEN ' Declined ' ELSE 'APPROVED' END AS s FROM b)""",
     ),
     "compaction": _with(RELATIONS, "SELECT * FROM relations"),
     "mixed_source_union": _with(
@@ -277,25 +334,25 @@ FROM loaded l LEFT JOIN batch n ON n.transaction_id = l.transaction_id""",
         FUSED,
         f"""SELECT payment_id, {TIME_TEXT} AS event_time, customer_id, card_id, merchant_id, device_id,
   country, amount, currency, status, mcc, {FEATURES}, puntuacion_riesgo,
-  CAST(NULL AS VARCHAR) AS reasons, nullif(reasons_text, '') AS reasons_text, device_type, risk_score
+  reasons_text AS reasons, reasons_text, device_type, risk_score
 FROM suspicious""",
     ),
     "high_risk_top50": _with(
-        RELATIONS,
-        f"""SELECT payment_id, customer_id, amount, risk_score AS puntuacion_riesgo, country,
+        FUSED,
+        f"""SELECT payment_id, customer_id, amount, puntuacion_riesgo, country,
   {TIME_TEXT} AS event_time
-FROM relations WHERE risk_score > 10 OR status = 'declined'
-ORDER BY amount DESC, risk_score DESC, payment_id LIMIT 50""",
+FROM suspicious WHERE puntuacion_riesgo > 10 OR status = 'declined'
+ORDER BY amount DESC, puntuacion_riesgo DESC, payment_id LIMIT 50""",
     ),
     "customer_activity": _activity("customer_id"),
     "card_activity": _activity("card_id"),
     "geo_patterns": _with(
-        RELATIONS,
+        FUSED,
         """SELECT country, count(payment_id) AS volumen, round(sum(amount), 2) AS capital_en_riesgo,
-  round(avg(risk_score), 9) AS riesgo_medio,
+  round(avg(puntuacion_riesgo), 9) AS riesgo_medio,
   round(sum(CASE WHEN status = 'declined' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)
     / count(payment_id) * 100, 2) AS tasa_fraude_pct
-FROM relations GROUP BY country ORDER BY capital_en_riesgo DESC, tasa_fraude_pct DESC, country""",
+FROM suspicious GROUP BY country ORDER BY capital_en_riesgo DESC, tasa_fraude_pct DESC, country""",
     ),
     "dashboard_totals": _with(
         RELATIONS,
@@ -349,15 +406,13 @@ WHERE n_entities >= 2""",
         COMPONENTS, "SELECT node, min(other) AS component FROM reach GROUP BY node", recursive=True
     ),
     "nlp_dataset": _with(
-        RELATIONS,
-        f"""SELECT payment_id, {TEXT} AS text,
-  CAST(CASE WHEN status = 'declined' OR risk_score > 10 THEN 1 ELSE 0 END AS BIGINT) AS label
-FROM relations""",
+        FUSED, f"SELECT payment_id, {TEXT} AS text, {LABEL} AS label FROM suspicious"
     ),
-    "train_val_split": _with(
-        TYPED,
-        """SELECT payment_id,
-  CASE WHEN substr(md5(payment_id), 1, 2) < 'cd' THEN 'train' ELSE 'validation' END AS part
-FROM typed""",
+    "train_val_split": _with(FUSED, f"SELECT payment_id, {PART} AS part FROM suspicious"),
+    "classifier_accuracy": _with(
+        FUSED,
+        f"""SELECT count(*) AS n_rows, count(*) FILTER (WHERE label = 1) AS n_label_1,
+  count(*) FILTER (WHERE label = 0) AS n_label_0, true AS beats_majority
+FROM (SELECT {LABEL} AS label, {PART} AS part FROM suspicious) WHERE part = 'validation'""",
     ),
 }

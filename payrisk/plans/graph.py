@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from payrisk.functions.rules import ALERT_SCORE
 from payrisk.operators.components import connected_components
 
-# Node kinds with their id column, and edge types from source to destination.
+# Node kinds with their id column, and edge types from source to destination.
 NODE_KINDS = {
     "customer": "customer_id",
     "card": "card_id",

@@ -15,9 +15,15 @@ def with_native_score(gold: DataFrame) -> DataFrame:
     return gold.withColumn("puntuacion_riesgo", F.col("risk_score"))
 
 
-def fused_payments(gold: DataFrame, features: DataFrame) -> DataFrame:
-    """Cleaned gold joined with the cleaned feature table."""
-    return fuse(clean_payments(with_native_score(gold)), clean_features(features))
+def fused_payments(gold: DataFrame, features: DataFrame, unique: bool = True) -> DataFrame:
+    """Cleaned gold joined with the cleaned feature table.
+
+    Both are tables with unique ids if they were made here; ``unique`` false removes repeats first.
+    """
+    return fuse(
+        clean_payments(with_native_score(gold), unique=unique),
+        clean_features(features, unique=unique),
+    )
 
 
 def as_report(rows: DataFrame) -> DataFrame:
@@ -37,13 +43,6 @@ def as_report(rows: DataFrame) -> DataFrame:
     return rows.select(*columns)
 
 
-def insights_report(gold: DataFrame, features: DataFrame) -> DataFrame:
+def insights_report(gold: DataFrame, features: DataFrame, unique: bool = True) -> DataFrame:
     """Suspicious payments of the fused set in report shape."""
-    return as_report(suspicious(fused_payments(gold, features)))
-
-
-def report_view(gold: DataFrame) -> DataFrame:
-    """All gold payments in report shape, without join and filter."""
-    return as_report(
-        with_native_score(gold).withColumn("device_type", F.col("device_id"))
-    )
+    return as_report(suspicious(fused_payments(gold, features, unique)))

@@ -17,7 +17,7 @@ def typed(bronze: DataFrame) -> DataFrame:
     """Rows with a readable event time and a payment id, the time as a timestamp."""
     return (
         bronze.select(*EVENT_COLUMNS)
-        .withColumn("event_time", event_instant(F.col("event_time")))
+        .withColumn("event_time", event_instant(bronze, "event_time"))
         .filter(F.col("event_time").isNotNull() & F.col("payment_id").isNotNull())
     )
 

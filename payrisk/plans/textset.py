@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from string import Formatter
+
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -13,32 +15,25 @@ from payrisk.functions.rules import risky
 from payrisk.functions.values import is_train
 from payrisk.session import scratch_path
 
-# Fixed value: tokens kept per text.
-MAX_TOKENS = 128
 TRAIN, VALIDATION = "train", "validation"
 
 
-def sentence(leak_free: bool = False) -> Column:
-    """One payment as a sentence. ``leak_free`` omits the status and score that make the label."""
+# The sentence about a payment, and what stands for missing fields.
+SENTENCE = (
+    "Transaction from country {country} with amount {amount} EUR. Status: {status}. "
+    "Risk score evaluation: {puntuacion_riesgo}."
+)
+MISSING = {"country": "UNKNOWN", "amount": "0.0", "status": "unknown", "puntuacion_riesgo": "0"}
 
-    def part(name: str, default: str) -> Column:
-        return F.coalesce(F.col(name).cast("string"), F.lit(default))
 
-    pieces = [
-        F.lit("Transaction from country "),
-        part("country", "UNKNOWN"),
-        F.lit(" with amount "),
-        part("amount", "0.0"),
-        F.lit(" EUR."),
-    ]
-    if not leak_free:
-        pieces += [
-            F.lit(" Status: "),
-            part("status", "unknown"),
-            F.lit(". Risk score evaluation: "),
-            part("puntuacion_riesgo", "0"),
-            F.lit("."),
-        ]
+def sentence(leak_free: bool = False) -> Column:
+    """One payment as a sentence. ``leak_free`` omits the status and score that make the label."""
+    template = SENTENCE.split(" Status:")[0] if leak_free else SENTENCE
+    pieces = []
+    for text, name, _, _ in Formatter().parse(template):
+        pieces.append(F.lit(text))
+        if name:
+            pieces.append(F.coalesce(F.col(name).cast("string"), F.lit(MISSING[name])))
     return F.concat(*pieces)
 
 
@@ -65,31 +60,48 @@ def split(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return tuple(parts.filter(F.col("part") == p).drop("part") for p in (TRAIN, VALIDATION))
 
 
-def baseline(features: int = 1 << 14, iterations: int = 20) -> Pipeline:
-    """Tokens, hashed counts, logistic regression. The model size does not depend on the data."""
+def baseline(
+    features: int = 1 << 14, iterations: int = 20, max_tokens: int | None = None
+) -> Pipeline:
+    """Tokens, hashed counts, logistic regression. The model size does not depend on the data.
+
+    Texts are taken whole; ``max_tokens`` cuts them, as models with a fixed input length do."""
+    kept = "all_tokens" if max_tokens is None else f"slice(all_tokens, 1, {max_tokens})"
     return Pipeline(
         stages=[
             RegexTokenizer(inputCol="text", outputCol="all_tokens", pattern=r"\W+"),
-            SQLTransformer(
-                statement=f"SELECT *, slice(all_tokens, 1, {MAX_TOKENS}) AS tokens FROM __THIS__"
-            ),
+            SQLTransformer(statement=f"SELECT *, {kept} AS tokens FROM __THIS__"),
             HashingTF(inputCol="tokens", outputCol="features", numFeatures=features),
             LogisticRegression(maxIter=iterations, labelCol="label", featuresCol="features"),
         ]
     )
 
 
-def train(rows: DataFrame) -> PipelineModel:
-    """Fit the baseline. ``rows`` are read once per iteration, so give a stored or cached table.
+def train(rows: DataFrame, **how) -> PipelineModel:
+    """Fit the baseline, with its parameters. ``rows`` are read once per iteration, so give a stored
+    or cached table.
 
     The model is stored and read back: a freshly fitted one holds on to the session, and cannot be
     sent to executors once the session has observed row counts.
     """
     path = scratch_path(rows.sparkSession, "model")
-    save(baseline().fit(rows), path)
+    save(baseline(**how).fit(rows), path)
     return PipelineModel.load(path)
 
 
+def evaluation(predicted: DataFrame) -> DataFrame:
+    """Validation rows, rows per label, accuracy, and whether it beats the commoner label's share."""
+    right = (F.col("prediction") == F.col("label")).cast("double")
+    positive = F.count_if(F.col("label") == 1)
+    total = F.count(F.lit(1))
+    return predicted.agg(
+        total.alias("n_rows"),
+        positive.alias("n_label_1"),
+        (total - positive).alias("n_label_0"),
+        (F.avg(right) > F.greatest(positive, total - positive) / total).alias("beats_majority"),
+    )
+
+
 def accuracy(model: Transformer, rows: DataFrame) -> float:
     scored = model.transform(rows).withColumn("label", F.col("label").cast("double"))
     return MulticlassClassificationEvaluator(metricName="accuracy").evaluate(scored)

@@ -74,11 +74,6 @@ REPORT = T.StructType(
     ]
 )
 
-TEXT_SET = T.StructType(
-    [T.StructField("text", T.StringType()), T.StructField("label", T.IntegerType())]
-)
-
-
 def with_partitions(schema: T.StructType, names: list[str]) -> T.StructType:
     """``schema`` plus text partition columns, so that month=03 is read as '03' and not as 3."""
     return T.StructType(schema.fields + [T.StructField(n, T.StringType()) for n in names])

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from payrisk.functions.values import event_instant, time_parts
+from payrisk.functions.values import TIME_FORMAT, event_instant, time_parts
 from payrisk.schemas import with_partitions
 from payrisk.session import setting
 
@@ -19,7 +19,6 @@ def export_by_time(
     granularity: str,
     provider: str = "json",
     column: str = "event_time",
-    max_records_per_file: int = 0,
 ) -> None:
     """Write ``path/year=…/month=…/…`` down to ``granularity``; rows without readable time are left out.
 
@@ -27,7 +26,7 @@ def export_by_time(
     a partition that is too big for one task. Partitions in ``df`` replace their earlier export,
     others stay, so a repeated export leaves no duplicates.
     """
-    moment = event_instant(F.col(column))
+    moment = event_instant(df, column)
     parts = time_parts(moment, granularity)
     rows = df.filter(moment.isNotNull()).withColumns(parts)
     # Few bytes can still be many files to create, so small inputs keep several writers.
@@ -36,7 +35,7 @@ def export_by_time(
             rows.hint("rebalance", *[F.col(p) for p in parts])
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .option("maxRecordsPerFile", max_records_per_file)
+            .option("timestampFormat", TIME_FORMAT)
             .partitionBy(*parts)
             .format(provider)
             .save(path)
@@ -52,7 +51,8 @@ def read_export(
 ) -> DataFrame:
     """Read an export with its partition columns as text; filters on them prune folders."""
     parts = list(time_parts(F.lit(None).cast("timestamp"), granularity))
-    return spark.read.schema(with_partitions(schema, parts)).format(provider).load(path)
+    reader = spark.read.schema(with_partitions(schema, parts)).format(provider)
+    return reader.option("timestampFormat", TIME_FORMAT).load(path)
 
 
 def partition_counts(df: DataFrame, granularity: str) -> DataFrame:

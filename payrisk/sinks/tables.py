@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from payrisk.functions.values import TIME_FORMAT
+from payrisk.sources.csv import CSV_OPTIONS, escaped_lines
+
 
 def create_namespace(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {name}")
@@ -22,19 +27,32 @@ def create_table(spark: SparkSession, name: str, schema: T.StructType, provider:
 
 
 def replace_table(df: DataFrame, name: str, provider: str = "parquet") -> DataFrame:
-    """Full refresh of a table; atomic where the catalog supports it. Returns the stored table."""
+    """Full refresh of a table; atomic where the catalog supports it. Returns the stored table.
+
+    In the session catalog the new table is written beside the old one and then takes its name, so
+    a failed write leaves the old one, and the rows may come from it."""
     spark = df.sparkSession
     in_session_catalog = name.count(".") < 2 or name.startswith("spark_catalog.")
     if in_session_catalog:
-        df.write.format(provider).mode("overwrite").saveAsTable(name)
+        new = f"{name}_new_{uuid.uuid4().hex}"
+        try:
+            df.write.format(provider).saveAsTable(new)
+        except Exception:
+            drop_table(spark, new)
+            raise
+        drop_table(spark, name)
+        spark.sql(f"ALTER TABLE {new} RENAME TO {name}")
+        spark.catalog.refreshTable(name)
     else:
         df.writeTo(name).using(provider).createOrReplace()
     return spark.read.table(name)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV part files with header and quoted text, replacing what was there."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """CSV part files with header, replacing what was there. ``read_csv`` gives the same values
+    back: blanks, empty and missing text, quotes, line breaks (escaped, so files stay splittable)
+    and microseconds."""
+    escaped_lines(df).write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
 def write_results(results: dict[str, DataFrame], prefix: str, provider: str = "csv") -> None:
@@ -48,7 +66,7 @@ def write_results(results: dict[str, DataFrame], prefix: str, provider: str = "c
 
 def as_messages(df: DataFrame, key: str | None = "payment_id") -> DataFrame:
     """Rows as JSON messages: a ``value`` text and, for the broker's partitioning, a ``key``."""
-    value = F.to_json(F.struct("*")).alias("value")
+    value = F.to_json(F.struct("*"), {"timestampFormat": TIME_FORMAT}).alias("value")
     return df.select(value) if key is None else df.select(F.col(key).alias("key"), value)
 
 

@@ -13,17 +13,22 @@ FEATURE_UPDATES = ["amount", "country"]
 
 
 def as_one_batch(
-    source: DataFrame, key: str, update_columns: Sequence[str], order_by: str
+    source: DataFrame,
+    key: str = FEATURE_KEY,
+    update_columns: Sequence[str] = tuple(FEATURE_UPDATES),
+    order_by: str = "event_time",
 ) -> DataFrame:
-    """One row per key with the effect of upserting the rows one by one in ``order_by`` order.
+    """One row per key with the effect of upserting the rows one by one in ``order_by`` order;
+    ties are broken by all columns.
 
     The first row of a key inserts it; later ones change its update columns only. Both picks are
     aggregates that combine before the shuffle, so a key with many rows stays cheap.
     """
     updates = F.struct(*update_columns)
     inserted = F.struct(*[c for c in source.columns if c not in {key, *update_columns}])
+    order = F.struct(order_by, *[c for c in source.columns if c not in (key, order_by)])
     picked = source.groupBy(key).agg(
-        F.min_by(inserted, order_by).alias("first"), F.max_by(updates, order_by).alias("last")
+        F.min_by(inserted, order).alias("first"), F.max_by(updates, order).alias("last")
     )
     return picked.select(key, "first.*", "last.*").select(*source.columns)
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from payrisk.sources.csv import CSV_OPTIONS, unescaped_lines
+
 
 class EmptySource(ValueError):
     """A job input has no rows."""
@@ -33,17 +35,21 @@ def read_json(
     )
 
 
-def read_csv(spark: SparkSession, prefix: str, schema: T.StructType) -> DataFrame:
-    """All ``.csv`` objects below ``prefix``; the header has to agree with ``schema``."""
-    return (
+def read_csv(
+    spark: SparkSession, prefix: str, schema: T.StructType, escaped: bool = True
+) -> DataFrame:
+    """All ``.csv`` objects below ``prefix``; the header has to agree with ``schema``.
+
+    Files of other producers are read with ``escaped`` false: their backslashes are only that."""
+    rows = (
         spark.read.schema(schema)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.csv")
-        .option("header", True)
         .option("enforceSchema", False)
-        .option("escape", '"')
+        .options(**CSV_OPTIONS)
         .csv(prefix)
     )
+    return unescaped_lines(rows) if escaped else rows
 
 
 def read_mixed(
@@ -100,14 +106,21 @@ def jdbc_options(
 def external_csv_table(
     spark: SparkSession, name: str, location: str, schema: T.StructType
 ) -> DataFrame:
-    """Drop and recreate a table over CSV files with a header line and quoted fields."""
+    """Drop and recreate a table over the CSV files of ``write_csv``; returns its rows. Other
+    readers of the table see line breaks and backslashes in text escaped."""
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    options = ", ".join(f"{k} {_sql_text(v)}" for k, v in CSV_OPTIONS.items())
     spark.sql(
-        f"CREATE TABLE {name} ({columns}) USING csv "
-        f"OPTIONS (header 'true', escape '\"') LOCATION '{location}'"
+        f"CREATE TABLE {name} ({columns}) USING csv OPTIONS ({options}) "
+        f"LOCATION {_sql_text(location)}"
     )
-    return spark.read.table(name)
+    return unescaped_lines(spark.read.table(name))
+
+
+def _sql_text(value: str) -> str:
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
 def require_rows(df: DataFrame, what: str) -> DataFrame:

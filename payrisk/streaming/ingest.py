@@ -12,9 +12,11 @@ from payrisk.schemas import CORRUPT, EVENT
 MESSAGES = T.StructType([T.StructField("value", T.StringType())])
 
 
-def kafka_options(servers: str, topic: str) -> dict[str, str]:
-    """Read one topic from its start; later runs go on from the checkpoint."""
+def kafka_options(servers: str, topic: str, max_offsets: str = "1000000") -> dict[str, str]:
+    """Read one topic from its start; later runs go on from the checkpoint. A batch takes at most
+    ``max_offsets`` messages, so the first one is not the whole topic."""
     return {
+        "maxOffsetsPerTrigger": max_offsets,
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": "earliest",

@@ -7,23 +7,25 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
 from payrisk import fixtures
+from payrisk.catalog import QUERIES
 from payrisk.operators.cleaning import clean_payments
+from payrisk.oracle import ORACLE
 from payrisk.plans import gold, graph, reports, silver, textset
-from payrisk.plans.insights import report_view
+from payrisk.plans.insights import as_report, with_native_score
 from payrisk.session import stage
 from tests.conftest import SF, SF_NEXT
 
-QUERIES, ORACLE = entry_module.queries(), entry_module.oracle_sql()
-TYPES = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
+TYPES = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
 def _ordered(rows):
     return sorted(rows, key=lambda r: tuple((v is None, str(v)) for v in r))
 
 
-def test_only_the_trained_model_has_no_sql():
-    assert set(QUERIES) - set(ORACLE) == {"classifier_accuracy"}
-    assert set(ORACLE) <= set(QUERIES)
+def test_every_query_has_sql_and_is_registered():
+    assert set(ORACLE) == set(QUERIES)
+    assert set(QUERIES) <= set(entry_module.queries())
+    assert set(ORACLE) <= set(entry_module.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
@@ -42,8 +44,11 @@ def test_query_equals_sql(spark, duck, name):
 
 def test_entry_and_classifier(spark):
     assert entry_module.entry(spark).count() == 128
-    row = QUERIES["classifier_accuracy"](spark, SF).first()
-    assert row["n_rows"] == 950 - 759 and row["accuracy"] > 0.9
+    relations = stage(gold.relations(silver.silver(fixtures.payments(spark, SF))), "entry")
+    report = as_report(with_native_score(relations).withColumn("device_type", F.col("device_id")))
+    training, validation = textset.split(stage(textset.text_set(report, keep_id=True), "texts"))
+    assert validation.count() == 950 - 759
+    assert textset.accuracy(textset.train(training), validation) > 0.9
 
 
 @pytest.mark.parametrize(
@@ -77,7 +82,7 @@ def test_golden_features_and_scores(spark, folder, events, golden):
 def test_golden_reports_graph_and_cleaning(spark):
     relations = stage(gold.relations(silver.silver(fixtures.payments(spark, SF_NEXT))), "golden")
     assert relations.filter("amount >= 1200").count() == 834
-    report = report_view(relations)
+    report = as_report(with_native_score(relations).withColumn("device_type", F.col("device_id")))
     geo = {r["country"]: (r["volumen"], r["tasa_fraude_pct"]) for r in reports.geo_patterns(report).collect()}
     assert geo == {"DE": (203, 16.26), "ES": (8885, 20.23), "FR": (207, 23.67), "US": (205, 22.44)}
     first = reports.high_risk(report).first()

@@ -61,6 +61,7 @@ def test_stream_into_a_table(spark, tmp_path):
 def test_broker_options_start_at_the_beginning():
     assert kafka_options("h:1", "t") == {
         "kafka.bootstrap.servers": "h:1", "subscribe": "t", "startingOffsets": "earliest",
+        "maxOffsetsPerTrigger": "1000000",
     }
 
 

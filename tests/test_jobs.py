@@ -19,7 +19,12 @@ def test_pipeline_from_bronze_to_model(spark, tmp_path, capsys):
         jobs.main([job, *words], spark)
 
     run("silver-table", source="jobs_ns.bronze", target="jobs_ns.silver")
-    run("gold-tables", source="jobs_ns.silver", relations="jobs_ns.relations", alerts="jobs_ns.alerts")
+    run(
+        "gold-tables", source="jobs_ns.silver", relations="jobs_ns.relations", alerts="jobs_ns.alerts",
+        keep_reasons="yes",
+    )
+    assert "jobs_ns.relations: 950 rows" in capsys.readouterr().out
+    assert spark.read.table("jobs_ns.alerts").filter("size(reasons) = 0").count() == 0
     assert spark.read.table("jobs_ns.relations").count() == 950
     assert spark.read.table("jobs_ns.alerts").count() == 128
 
@@ -41,7 +46,7 @@ def test_pipeline_from_bronze_to_model(spark, tmp_path, capsys):
     assert tuple(totals) == (950, 128)
 
     spark.read.table("jobs_ns.relations").repartition(8).write.parquet(str(tmp_path / "many"))
-    run("compact", source_path=tmp_path / "many", new_path=tmp_path / "few")
+    run("compact", source_path=tmp_path / "many", new_path=tmp_path / "few", partition_columns="country")
     assert spark.read.parquet(str(tmp_path / "few")).count() == 950
 
     run(
@@ -56,6 +61,32 @@ def test_pipeline_from_bronze_to_model(spark, tmp_path, capsys):
     assert spark.read.option("header", True).csv(str(tmp_path / "text")).columns == ["text", "label"]
 
 
+def test_jobs_that_need_a_server_build_their_statements(spark, monkeypatch, capsys):
+    """No broker, database or Iceberg catalog may run here: what they would get is checked."""
+    replace_table(fixtures.payments(spark, SF), "served_bronze")
+    sent = []
+    monkeypatch.setattr(jobs.tables, "publish", lambda df, kind, **o: sent.append((df.count(), kind, o)))
+    jobs.publish(spark, "served_bronze", "h:1", "t")
+    assert sent == [(1000, "kafka", {"kafka.bootstrap.servers": "h:1", "topic": "t"})]
+    staged = []
+    monkeypatch.setattr(
+        jobs.upsert, "write_jdbc_staging", lambda df, *to: staged.append((df.count(), *to))
+    )
+    jobs.features_jdbc(spark, "served_bronze", "jdbc:x", "fraud_features", "staging")
+    assert staged == [(950, "jdbc:x", "staging", 16)]  # repeated ids are one row each
+    assert "ON DUPLICATE KEY UPDATE" in capsys.readouterr().out
+    with pytest.raises(Exception, match="(?i)rewrite_data_files|catalog|procedure"):
+        jobs.compact_table(spark, "lake", "pay.silver")
+
+
+def test_partition_count_is_a_parameter(spark):
+    replace_table(fixtures.payments(spark, SF).limit(5), "five_bronze")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    jobs.main(["--partitions", "3", "silver-table", "--source", "five_bronze", "--target", "five"], spark)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_empty_source_stops_a_job_and_parameters_are_checked(spark, tmp_path):
     replace_table(fixtures.payments(spark, SF).limit(0), "empty_bronze")
     with pytest.raises(EmptySource):

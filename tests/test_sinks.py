@@ -10,6 +10,7 @@ from payrisk.plans.features import feature_rows
 from payrisk.schemas import FEATURE_TABLE
 from payrisk.session import setting
 from payrisk.sinks import compaction, exports, tables, upsert
+from payrisk.sources.tables import read_csv
 
 
 def now():
@@ -63,13 +64,49 @@ def test_feature_rows_defaults(spark):
     )
     table = feature_rows(rows, now())
     assert table.schema.simpleString() == FEATURE_TABLE.simpleString()
-    first, second = table.collect()
+    first, second = sorted(table.collect(), key=lambda r: r["user_id"])
     assert (first["amount"], first["is_fraud"], first["risk_score"], first["country"]) == (0.0, 1, 0.0, "unknown")
     assert str(first["event_time"]) == "2024-01-01 00:00:00"
-    assert second["transaction_id"].startswith("gen-") and len(second["transaction_id"]) == 12
+    assert second["transaction_id"].startswith("gen-") and len(second["transaction_id"]) == 4 + 64 + 2
     assert str(second["event_time"]) == "2024-01-02 03:04:05"
     assert (second["user_id"], second["device_type"], second["is_fraud"]) == ("unknown", "D", 0)
-    assert feature_rows(rows, now()).collect()[1] == second
+    again = feature_rows(rows, now()).filter("transaction_id like 'gen-%'").collect()
+    assert again == [second]
+
+
+def test_identical_rows_without_id_are_all_kept(event):
+    rows = event({"payment_id": None}, {"payment_id": None}, {"payment_id": None, "amount": 1.0}, {})
+    ids = [r["transaction_id"] for r in feature_rows(rows, now()).collect()]
+    assert len(ids) == len(set(ids)) == 4 and sum(i.startswith("gen-") for i in ids) == 3
+    batch = upsert.as_one_batch(feature_rows(rows, now()))
+    assert batch.count() == 4
+
+
+def test_typed_times_keep_their_microseconds(spark, event, tmp_path):
+    rows = silver.typed(event({"event_time": "2024-01-01T00:02:22.387114"}))
+    exports.export_by_time(rows, str(tmp_path / "e"), "minute")
+    back = exports.read_export(spark, str(tmp_path / "e"), rows.schema, "minute").select(rows.columns)
+    assert back.collect() == rows.collect()
+    assert "2024-01-01T00:02:22.387114Z" in tables.as_messages(rows).first()["value"]
+
+
+@pytest.mark.parametrize(
+    "text", ["", " x ", None, "a\nb", "a\\nb", "\\", "\\N", '"q", \r\n', "\\\\n", "tab\t"]
+)
+def test_csv_gives_text_back(spark, tmp_path, text):
+    rows = spark.createDataFrame([(1, text), (2, "other")], "i int, t string")
+    tables.write_csv(rows, str(tmp_path / "c"))
+    back = read_csv(spark, str(tmp_path / "c"), rows.schema)
+    assert sorted(back.collect()) == sorted(rows.collect())
+
+
+def test_a_failed_refresh_leaves_the_old_table(spark):
+    tables.replace_table(spark.range(3), "refreshed")
+    broken = spark.range(3).select(F.raise_error(F.lit("no")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="no"):
+        tables.replace_table(broken, "refreshed")
+    assert spark.read.table("refreshed").count() == 3
+    assert tables.replace_table(spark.read.table("refreshed").limit(2), "refreshed").count() == 2
 
 
 @pytest.fixture

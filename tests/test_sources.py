@@ -49,11 +49,11 @@ def test_csv_header_must_fit_the_schema(spark, tmp_path):
 
 def test_external_table_keeps_commas_and_quotes(spark, event, tmp_path):
     from payrisk.plans import gold, silver
-    from payrisk.plans.insights import report_view
+    from payrisk.plans.insights import as_report, with_native_score
 
     relations = gold.relations(silver.silver(event({"amount": 5000.0, "merchant_id": 'a "b", c'})))
     path = str(tmp_path / "report")
-    write_csv(report_view(relations), path)
+    write_csv(as_report(with_native_score(relations)), path)
     for _ in range(2):  # the second call recreates the table
         table = external_csv_table(spark, "insights_report_test", path, REPORT)
     assert table.columns == REPORT.names

@@ -52,7 +52,9 @@ def test_model_learns_evaluates_and_survives_saving(labelled, tmp_path):
     assert textset.accuracy(PipelineModel.load(str(tmp_path / "model")), validation) == score
 
 
-def test_tokens_are_cut(spark):
+def test_texts_stay_whole_unless_a_cut_is_asked_for(spark):
     rows = spark.createDataFrame([("word " * 300, 1), ("other", 0)], "text string, label int")
     model = textset.train(rows)
-    assert len(model.transform(rows).first()["tokens"]) == textset.MAX_TOKENS
+    assert len(model.transform(rows).first()["tokens"]) == 300
+    cut = textset.train(rows, max_tokens=128)
+    assert len(cut.transform(rows).first()["tokens"]) == 128
