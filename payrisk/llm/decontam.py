@@ -378,4 +378,4 @@ def keep_clean(
     index = build_index(docs.select(number.alias("n"), F.col(text)), "n", text)
     hit = find_items(index, items, window=window).filter("n_hit > 0")
     hit = stage(hit.select(F.col("doc_id").alias("__hit")).distinct(), "hit")
-    return docs.join(hit, number == F.col("__hit"), "left_anti").select(*docs.columns)
+    return docs.join(hit, number == hit["__hit"], "left_anti").select(*docs.columns)

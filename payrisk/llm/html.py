@@ -80,6 +80,7 @@ class Element:
     silent: bool
     boilerplate: bool
     content: int = 0
+    titles: int = 0
     inside: bool = False
     heading: bool = False
     children: list[Element] = field(default_factory=list)
@@ -160,6 +161,7 @@ class Lines(HTMLParser):
             self.at.silent or tag in SILENT,
             self.at.boilerplate or _says_boilerplate(tag, attributes),
         )
+        element.titles = int(tag == "h1" and not element.boilerplate)
         element.heading = self.at.heading or tag in ("h1", "h2", "h3")
         self.at.children.append(element)
         self.elements.append(element)
@@ -285,12 +287,17 @@ def main_text(html: str | None, radius: int = RADIUS, sigma: float = SIGMA) -> s
             line.element.content += len(line.text)
     for element in reversed(parser.elements[1:]):
         element.parent.content += element.content
+        element.parent.titles += element.titles
     region = parser.root
-    while True:
+    while region.tag != "article":
+        # A main heading is part of the article, so the region does not shrink below it.
         inner = [
             c
             for c in region.children
-            if c.tag in REGIONS and c.content >= HOLDS * parser.root.content and c.content
+            if c.content >= HOLDS * parser.root.content
+            and c.content
+            and c.tag in (REGIONS if region.tag != "main" else {"article"})
+            and (c.titles or not region.titles)
         ]
         if not inner:
             break
@@ -337,10 +344,9 @@ def extract_pages(
 ) -> DataFrame:
     """All columns of ``pages`` but the markup, and the main text as ``into``.
 
-    A null or empty page has the text "". Rows that repeat keep a row each."""
-    rest = [c for c in pages.columns if c != html]
-    if into in rest:
-        raise ValueError(f"pages already have a column {into}")
+    A null or empty page has the text "". Rows that repeat keep a row each. A column that is named
+    ``into`` already is replaced."""
+    rest = [c for c in pages.columns if c not in (html, into)]
     schema = pages.select(*rest).schema.add(into, "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

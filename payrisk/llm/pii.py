@@ -278,10 +278,9 @@ def all_spans(text: str, patterns: frozenset[str]) -> list[tuple[str, int, int]]
 
 def find(docs: DataFrame, patterns: list[str], text: str = "text", into: str = "spans") -> DataFrame:
     """All columns of ``docs`` but the text, and the spans (kind, start, end) in code points, by
-    start, then kind. Null and empty texts have none; repeated rows keep a row each."""
-    rest = [c for c in docs.columns if c != text]
-    if into in rest:
-        raise ValueError(f"documents already have a column {into}")
+    start, then kind. Null and empty texts have none; repeated rows keep a row each; a column that
+    is named ``into`` already is replaced."""
+    rest = [c for c in docs.columns if c not in (text, into)]
     known = frozenset(patterns)
     kind = pa.list_(
         pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])

@@ -31,7 +31,7 @@ ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 #: Sampled tokens of each class, at most.
 SAMPLE = 20_000
 #: Nats per pair of characters by which the random model has to be better.
-MARGIN = 0.35
+MARGIN = 0.25
 #: Characters of a token that are scored at a time; taking one character costs its place in them.
 PIECE = 256
 
@@ -172,10 +172,14 @@ def scan(docs: DataFrame, ratio: list[float], text: str = "text", margin: float
     """All columns of ``docs`` but the text, and arrays ``base`` and ``spans`` of (start, place of
     the kind, end, kind), sorted: the base kinds, and those with ``random`` ones that touch none.
 
-    Null and empty texts have none; repeated rows keep a row each."""
-    rest = [c for c in docs.columns if c != text]
-    if {"base", "spans"} & set(rest):
-        raise ValueError("documents already have columns base or spans")
+    Null and empty texts have none; repeated rows keep a row each; columns that are named base or
+    spans already are replaced."""
+    rest = [F.col(c) for c in docs.columns if c not in (text, "base", "spans")]
+    # Other columns wait in a struct, where their names cannot meet those made here.
+    docs = docs.select(
+        F.struct(F.lit(0).alias("__none"), *rest).alias("__row"), F.col(text).alias("__text")
+    )
+    text = "__text"
 
     def labelled(name: str, kind: str, place: int) -> Column:
         return F.transform(
@@ -205,10 +209,10 @@ def scan(docs: DataFrame, ratio: list[float], text: str = "text", margin: float
     likely = F.expr(f"filter(__token, m -> {_score('m.value', ratio)} >= {margin}D)")
     found = found.withColumn("__random", likely)
     return found.select(
-        *rest,
+        "__row.*",
         "base",
         F.array_sort(F.concat("base", labelled("__random", RANDOM, len(KINDS)))).alias("spans"),
-    )
+    ).drop("__none")
 
 
 def find(docs: DataFrame, text: str = "text", size: int = SAMPLE, margin: float = MARGIN) -> DataFrame:

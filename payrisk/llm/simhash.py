@@ -72,11 +72,10 @@ def fingerprints(
 ) -> DataFrame:
     """All columns of ``docs`` but the text, and the fingerprint as a long named ``into``.
 
-    Null, empty and blank texts have fingerprint zero. A clashing column is an error.
+    Null, empty and blank texts have fingerprint zero. A column that is named ``into`` already is
+    replaced.
     """
-    rest = [c for c in docs.columns if c != text]
-    if into in rest:
-        raise ValueError(f"documents already have a column {into}")
+    rest = [c for c in docs.columns if c not in (text, into)]
     schema = docs.select(*rest).schema.add(into, "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,5 +258,4 @@ def keep_one(
     left = docs.join(dropped, same(dropped), "left_anti")
     once = left.join(repeated, same(repeated), "left_anti")
     twice = docs.join(repeated, same(repeated), "left_semi")
-    hashed = twice.withColumn("__h", text_hash).dropDuplicates([id_column, "__h"]).drop("__h")
-    return once.unionByName(hashed)
+    return once.unionByName(twice.dropDuplicates([id_column, text]))

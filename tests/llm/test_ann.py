@@ -1,0 +1,99 @@
+"""Nearest neighbours against brute force."""
+
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from payrisk.llm import ann
+from tests.conftest import SF_NEXT
+
+
+def brute_force(rows, is_query, k=10):
+    """{query id: [(vec_id, score)]} by the contract."""
+    good = [
+        (i, np.array(v, dtype=np.float64))
+        for i, v in rows
+        if i is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v)
+    ]
+    ids = np.array([i for i, _ in good])
+    matrix = np.array([v for _, v in good])
+    found = {}
+    for i, v in good:
+        if is_query(i):
+            far = np.sqrt(((matrix - v) ** 2).sum(axis=1))
+            order = [j for j in np.lexsort((ids, far)) if ids[j] != i][:k]
+            found[i] = [(int(ids[j]), float(far[j])) for j in order]
+    return found
+
+
+def measured(rows, want):
+    got = {}
+    for r in rows:
+        got.setdefault(r["query_id"], {})[r["rank"]] = (r["vec_id"], r["score"])
+    assert set(got) == {q for q, near in want.items() if near}
+    hits = total = 0
+    for q, near in want.items():
+        ranks = sorted(got.get(q, {}))
+        assert ranks == list(range(1, len(near) + 1))
+        mine = [got[q][r] for r in ranks]
+        assert mine == sorted(mine, key=lambda x: (x[1], x[0]))
+        hits += len({i for i, _ in mine} & {i for i, _ in near})
+        total += len(near)
+    return hits / max(total, 1)
+
+
+def test_query_equals_brute_force(spark, run_query):
+    rows = spark.read.parquet(f"{SF_NEXT}/embeddings.parquet").collect()
+    want = brute_force([(r["vec_id"], r["embedding"]) for r in rows], lambda i: i % 100 == 0)
+    from payrisk.llm.queries import QUERIES
+
+    got = QUERIES["op8_nearest_neighbours"](spark, SF_NEXT).collect()
+    assert measured(got, want) >= 0.9
+
+
+def test_recall_in_a_tree_of_many_leaves(spark):
+    """Clusters, a third of all rows copies of one vector, and few of many leaves visited."""
+    pick = np.random.default_rng(0)
+    centers = pick.normal(size=(40, 16)) * 4
+    vectors = centers[pick.integers(0, 40, 4000)] + pick.normal(size=(4000, 16))
+    rows = [(i, vectors[i].tolist() if i % 3 else vectors[0].tolist()) for i in range(4000)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = brute_force(rows, lambda i: i % 100 == 0)
+    asked = F.col("vec_id") % 100 == 0
+    got = ann.search(frame, asked, leaf_rows=50, block=64, query_block=8).collect()
+    assert measured(got, want) >= 0.9
+    index = ann.build_index(frame, leaf_rows=50, block=64)
+    visits = ann.calibrate(index, index.located.filter(asked))
+    assert index.tree.leaves > 40 and visits < index.tree.leaves / 2
+    assert index.entries.agg(F.max(F.size("ids"))).first()[0] == ann.NEAREST + 1
+
+
+def test_visits_reach_every_leaf_once_nearest_first():
+    pick = np.random.default_rng(1)
+    tree = ann.fit_tree(pick.normal(size=(500, 4)), 30)
+    query = pick.normal(size=4)
+    order = tree.visits(query, tree.leaves)
+    assert sorted(order) == list(range(tree.leaves))
+    assert order[0] == tree.assign(query[None, :])[0]
+
+
+@pytest.mark.parametrize("n", [0, 1, 3])
+def test_few_and_unusable_vectors(spark, n):
+    rows = [(i * 100, [float(i + 1), -0.0]) for i in range(n)]
+    rows += [
+        (700, None), (800, []), (900, [0.0, 0.0]), (1000, [float("nan"), 1.0]), (1100, [None, 1.0]),
+        (1200, [float("inf"), 1.0]), (None, [1.0, 1.0]),
+    ]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("score", F.lit(1))
+    got = ann.search(frame, F.col("vec_id") % 100 == 0).collect()
+    assert len(got) == n * (n - 1)
+    measured(got, brute_force(rows, lambda i: i % 100 == 0))
+
+
+def test_ties_and_repeated_rows(spark):
+    rows = [(i, [1.0, 0.0]) for i in range(30)] + [(100, [1.0, 0.0])] * 2 + [(200, [0.0, 1.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann.search(frame, F.col("vec_id") == 100).orderBy("rank").collect()
+    assert [r["vec_id"] for r in got] == list(range(10)) and {r["score"] for r in got} == {0.0}
