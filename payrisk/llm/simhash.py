@@ -120,17 +120,15 @@ def _next_masks(spark: SparkSession, fixed: list[int], radius: int) -> DataFrame
     return spark.createDataFrame(sorted(wider), "mask bigint, wider bigint")
 
 
-def _covered(level: DataFrame, fixed: list[int], radius: int) -> DataFrame:
-    """(mask, key, fp) for every row (mask, fp) of ``level`` and each mask of the next level.
+def _keyed(rows: DataFrame) -> DataFrame:
+    """(mask, key, fp). A mask holds all bits that are fixed so far, so (mask, key) is a bucket."""
+    return rows.select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp")
 
-    A mask holds all bits that are fixed so far, so (mask, key) names a bucket.
-    """
+
+def _covered(level: DataFrame, fixed: list[int], radius: int) -> DataFrame:
+    """Buckets of every row (mask, fp) of ``level`` under each mask of the next level."""
     masks = F.broadcast(_next_masks(level.sparkSession, fixed, radius))
-    return (
-        level.join(masks, "mask")
-        .select(F.col("wider").alias("mask"), "fp")
-        .select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp")
-    )
+    return _keyed(level.join(masks, "mask").select(F.col("wider").alias("mask"), "fp"))
 
 
 def _forest(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
@@ -161,8 +159,8 @@ def near_links(fps: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> Da
     within ``radius`` bits, directly or over others. ``bucket`` bounds what one task compares."""
     if bucket < 1 << radius:
         raise ValueError(f"bucket must be {1 << radius} at least, else covering never ends")
-    zero = F.lit(0).cast("long").alias("mask")
-    fixed, rows, links = [0], _covered(fps.select(zero, "fp"), [0], radius), None
+    first = [F.lit(_signed(m)) for m in covering_masks((1 << BITS) - 1, radius)]
+    rows, links = _keyed(fps.select(F.explode(F.array(*first)).alias("mask"), "fp")), None
     while True:
         rows = stage(rows, "covering")
         sizes = stage(
