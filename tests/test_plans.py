@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from payrisk import catalog, fixtures
-from payrisk.plans import gold, silver
-from payrisk.session import stage
+from payrisk.plans import gold, reports, silver
+from payrisk.plans.features import feature_rows
+from payrisk.plans.insights import as_report, fused_payments, with_native_score
+from payrisk.session import setting, stage
 from tests.conftest import SF
 
 LAZY = [
@@ -31,12 +35,16 @@ def test_no_python_and_no_nested_loops(spark, name):
         assert node not in plan
 
 
-def test_silver_shuffles_payments_once_per_key(spark):
+def test_silver_joins_back_over_plain_shuffles(spark):
+    """Both sides of the join by card and second are exchanges that AQE may split."""
     feed = stage(fixtures.payments(spark, SF), "feed")
-    plan = _plan(silver.silver(feed))
-    by_card = [line for line in plan.split("\n") if "Exchange hashpartitioning(card_id" in line]
-    assert len(by_card) == 1
-    assert "Window [lag" in plan and "collect_set" not in plan and "collect_list" not in plan
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        plan = _plan(silver.silver(feed))
+    exchanges = [line for line in plan.split("\n") if "Exchange hashpartitioning" in line]
+    back = [line for line in exchanges if "isnull(card_id" in line or "isnull(key_card" in line]
+    assert len(back) == 2 and all("ENSURE_REQUIREMENTS" in line for line in back)
+    assert not [x for x in exchanges if re.search(r"hashpartitioning\(card_id#\d+, \d+\)", x)]
+    assert "lag(at_s" in plan and "collect_set" not in plan and "collect_list" not in plan
 
 
 def test_copies_of_a_payment_are_cut_before_the_shuffle(spark):
@@ -46,10 +54,19 @@ def test_copies_of_a_payment_are_cut_before_the_shuffle(spark):
     assert plan.index("Exchange") < plan.rindex("WindowGroupLimit")
 
 
-def test_deduplication_runs_once_for_both_branches_of_silver(spark):
+def test_deduplication_runs_once_for_all_features(spark):
     feed = stage(fixtures.payments(spark, SF), "feed")
-    plan = _plan(silver.silver(feed), executed=True)
-    assert plan.count("FileScan parquet") == 1 and "ReusedExchange" in plan
+    assert "WindowGroupLimit" not in _plan(silver.silver(feed))
+
+
+def test_fusion_does_not_sort_unique_tables_again(spark):
+    relations = stage(gold.relations(silver.silver(fixtures.payments(spark, SF))), "relations")
+    loaded = stage(feature_rows(relations), "loaded")
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        plan = _plan(fused_payments(relations, loaded))
+        again = _plan(fused_payments(relations, loaded, unique=False))
+    assert plan.count("Exchange hashpartitioning") == 2 and "Window" not in plan
+    assert "WindowGroupLimit" in again
 
 
 def test_filters_and_columns_reach_the_scan(spark):
@@ -64,7 +81,8 @@ def test_filters_and_columns_reach_the_scan(spark):
 
 def test_top_rows_are_not_sorted_whole(spark):
     assert "TakeOrderedAndProject" in _plan(catalog.QUERIES["top_risk_cards"](spark, SF))
-    assert "TakeOrderedAndProject" in _plan(catalog.QUERIES["high_risk_top50"](spark, SF))
+    relations = gold.relations(silver.silver(fixtures.payments(spark, SF)))
+    assert "TakeOrderedAndProject" in _plan(reports.high_risk(as_report(with_native_score(relations))))
 
 
 def test_export_folders_prune(spark, event, tmp_path):
