@@ -350,7 +350,10 @@ def anomaly_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nlp_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(textset.text_set(_report(spark, sf_dir), keep_id=True))
+    rows = textset.text_set(_report(spark, sf_dir), keep_id=True)
+    path = scratch_path(spark, "text-set")
+    tables.write_csv(rows, path)
+    return comparable(read_csv(spark, path, rows.schema))
 
 
 def train_val_split(spark: SparkSession, sf_dir: str) -> DataFrame:
