@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -38,6 +39,29 @@ def labelled_sample(
     )
 
 
+#: Features that are looked up at once; bounds the working memory.
+_BLOCK = 1 << 18
+
+
+def _blocks(rows: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of rows with few features each, but of one row at least."""
+    at, n = 0, len(rows) - 1
+    while at < n:
+        end = int(np.searchsorted(rows, rows[at] + _BLOCK, side="right")) - 1
+        end = min(max(end, at + 1), n)
+        yield at, end
+        at = end
+
+
+def weighted_sums(weights: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Per row the sum of its features' weights; ``rows`` are the n+1 bounds in ``ids``."""
+    out = np.zeros(len(rows) - 1)
+    for a, b in _blocks(rows):
+        own = weights[ids[rows[a] : rows[b]]].astype(np.float64)
+        out[a:b] = row_sums(own, rows[a : b + 1] - rows[a])
+    return out
+
+
 class Sample:
     """Features of the sampled texts: ``ids[bounds[i]:bounds[i + 1]]`` are those of text i."""
 
@@ -50,12 +74,27 @@ class Sample:
     def of(self, i: int) -> np.ndarray:
         return self.ids[self.bounds[i] : self.bounds[i + 1]]
 
-    def sums(self, weights: np.ndarray) -> np.ndarray:
-        return row_sums(weights[self.ids], self.bounds)
+    def blocks(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(text, feature) of all texts, a block at a time."""
+        for a, b in _blocks(self.bounds):
+            text = np.repeat(np.arange(a, b), np.diff(self.bounds[a : b + 1]))
+            yield text, self.ids[self.bounds[a] : self.bounds[b]]
 
     def counts(self, which: np.ndarray, size: int) -> np.ndarray:
         """Number of the chosen texts that have each feature."""
-        return np.bincount(self.ids[np.repeat(which, np.diff(self.bounds))], minlength=size)
+        out = np.zeros(size, dtype=np.int64)
+        for text, ids in self.blocks():
+            np.add.at(out, ids[which[text]], 1)
+        return out
+
+    def only(self, used: np.ndarray) -> Sample:
+        """The same texts with some features only."""
+        parts = [(text[used[ids]], ids[used[ids]]) for text, ids in self.blocks()]
+        n = np.zeros(len(self), dtype=np.int64)
+        for text, _ in parts:
+            np.add.at(n, text, 1)
+        ids = np.concatenate([i for _, i in parts]) if parts else self.ids
+        return Sample(self.labels, ids, np.concatenate(([0], np.cumsum(n))))
 
 
 def collect_sample(
@@ -85,22 +124,22 @@ def collect_sample(
     found = chosen.select("doc_id", F.col("label").cast("int"), "t").mapInArrow(
         run, "doc_id bigint, label int, ids array<int>"
     )
-    table = found.toArrow().combine_chunks()
-    order = np.argsort(table.column("doc_id").to_numpy(), kind="stable")
-    table = table.take(pa.array(order))
-    lists = table.column("ids").combine_chunks()
+    rows = []
+    for batch in found.toArrow().to_batches():
+        lists = batch.column(2)
+        values, cuts = lists.values.to_numpy(), lists.offsets.to_numpy()
+        for k, (doc_id, label) in enumerate(
+            zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+        ):
+            ids = values[cuts[k] : cuts[k + 1]]
+            digest = hashlib.blake2b(ids.tobytes(), digest_size=16).digest()
+            rows.append((doc_id, label, digest, ids))
+    rows.sort(key=lambda row: row[:3])
     seen: set[tuple[int, bytes]] = set()
-    keep = []
-    for i, (label, ids) in enumerate(zip(table.column("label").to_pylist(), lists)):
-        key = (label, ids.values.to_numpy().tobytes())
-        if key not in seen:
-            seen.add(key)
-            keep.append(i)
-    table = table.take(pa.array(keep, pa.int64()))
-    lists = table.column("ids").combine_chunks()
-    bounds = np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy())))
-    ids = lists.flatten().to_numpy().astype(np.int64)
-    return Sample(table.column("label").to_numpy().astype(np.int64), ids, bounds.astype(np.int64))
+    rows = [r for r in rows if not (r[1:3] in seen or seen.add(r[1:3]))]
+    bounds = np.concatenate(([0], np.cumsum([len(r[3]) for r in rows]))).astype(np.int64)
+    ids = np.concatenate([r[3] for r in rows]) if rows else np.empty(0, np.int32)
+    return Sample(np.array([r[1] for r in rows], dtype=np.int64), ids, bounds)
 
 
 def score_texts(
@@ -110,10 +149,9 @@ def score_texts(
     text: str = "text",
     into: str = "score",
 ) -> DataFrame:
-    """All columns of ``docs`` but the text, and ``score(features, row bounds)`` of each text."""
-    rest = [c for c in docs.columns if c != text]
-    if into in rest:
-        raise ValueError(f"documents already have a column {into}")
+    """All columns of ``docs`` but the text, and ``score(features, row bounds)`` of each text. A
+    column that is named ``into`` already is replaced."""
+    rest = [c for c in docs.columns if c not in (text, into)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -24,6 +24,7 @@ from payrisk.llm.classify import (
     logistic,
     score_texts,
     sigmoid,
+    weighted_sums,
 )
 from payrisk.llm.text import (
     EXACT,
@@ -118,11 +119,9 @@ class Model:
     shift: float
 
     def margin(self, ids: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        total = np.concatenate(([0.0], np.cumsum(self.weights[ids], dtype=np.float64)))
-        norm = np.concatenate(([0.0], np.cumsum(self.ratio[ids].astype(np.float64) ** 2)))
-        length = np.sqrt(np.maximum(norm[rows[1:]] - norm[rows[:-1]], 0.0))
+        length = np.sqrt(np.maximum(weighted_sums(self.ratio**2, ids, rows), 0.0))
         length = np.where(length > 1e-9, length, 1.0)
-        return (total[rows[1:]] - total[rows[:-1]]) / length + self.bias
+        return weighted_sums(self.weights, ids, rows) / length + self.bias
 
     def score(self, ids: np.ndarray, rows: np.ndarray) -> np.ndarray:
         return sigmoid(self.slope * self.margin(ids, rows) + self.shift)
@@ -135,19 +134,15 @@ def _descend(
     weights, bias = np.zeros(len(ratio)), 0.0
     share = np.array([np.mean(y[chosen] < 0), np.mean(y[chosen] > 0)])
     upper = cost / (2 * np.maximum(share[(y > 0).astype(int)], 1e-9))
-    rows = {}
-    for i in chosen.tolist():
-        ids = sample.of(i)
-        ids = ids[ratio[ids] != 0]
-        x = ratio[ids].astype(np.float64)
-        norm = np.sqrt((x * x).sum())
-        rows[i] = (ids, x / norm if norm > 1e-9 else x)
+    length = np.sqrt(weighted_sums(ratio**2, sample.ids, sample.bounds))
+    length = np.where(length > 1e-9, length, 1.0)
     alpha = np.zeros(len(y))
     pick = np.random.default_rng(0)
     for _ in range(epochs):
         moved = 0.0
         for i in pick.permutation(chosen).tolist():
-            ids, x = rows[i]
+            ids = sample.of(i)
+            x = ratio[ids] / length[i]
             square = (1.0 if len(x) else 0.0) + 1.0
             gradient = y[i] * (weights[ids] @ x + bias) - 1.0
             new = min(max(alpha[i] - gradient / square, 0.0), upper[i])
@@ -174,6 +169,7 @@ def train(sample: Sample, cost: float = COST, epochs: int = EPOCHS) -> Model:
     if positive.all() or not positive.any():
         lean = 0.0 if not len(y) else (2.0 if positive.all() else -2.0)
         return Model(np.zeros(size), np.zeros(size), lean, 1.0, 0.0)
+    sample = sample.only(used)
     every = np.arange(len(y))
     folds = 4
 

@@ -25,6 +25,7 @@ from payrisk.llm.classify import (
     logistic,
     score_texts,
     sigmoid,
+    weighted_sums,
 )
 from payrisk.llm.text import ALNUM, FOLDED, Words, hash_text, mix, span_hashes
 
@@ -138,9 +139,9 @@ def _matrix(sample: Sample, features: np.ndarray) -> np.ndarray:
     place = np.full(1 << BITS, -1, dtype=np.int64)
     place[features] = np.arange(len(features))
     out = np.zeros((len(sample), len(features)), dtype=bool)
-    at = place[sample.ids]
-    row = np.repeat(np.arange(len(sample)), np.diff(sample.bounds))
-    out[row[at >= 0], at[at >= 0]] = True
+    for text, ids in sample.blocks():
+        at = place[ids]
+        out[text[at >= 0], at[at >= 0]] = True
     return out
 
 
@@ -268,7 +269,6 @@ def score(docs: DataFrame, model: Model, text: str = "text", into: str = "score"
 
     def run(ids: np.ndarray, rows: np.ndarray) -> np.ndarray:
         table, bias = shared.value
-        total = np.concatenate(([0.0], np.cumsum(table[ids])))
-        return sigmoid(total[rows[1:]] - total[rows[:-1]] + bias)
+        return sigmoid(weighted_sums(table, ids, rows) + bias)
 
     return score_texts(docs, extract, run, text, into)
