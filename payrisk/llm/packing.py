@@ -33,7 +33,9 @@ END_ID = 2
 #: Open pieces of a task from which sequences are filled.
 POOL = 2048
 #: Chunks whose tokens a worker keeps; others are encoded again in each slice.
-KNOWN = 200_000
+KNOWN = 1_000_000
+#: Text bytes that are encoded together.
+SLICE = 4 << 20
 _MARK = "\x01"
 _JOIN = 64
 
@@ -104,10 +106,10 @@ class Encoder:
         step = np.arange(rows[-1]) - np.repeat(np.cumsum(n) - n, n)
         out = flat[np.repeat(starts[of], n) + step]
         if len(self.hashes) + np.count_nonzero(~known) <= KNOWN:
-            order = np.argsort(np.concatenate((self.hashes, hashes[~known])), kind="stable")
-            self.hashes = np.concatenate((self.hashes, hashes[~known]))[order]
-            self.starts = np.concatenate((self.starts, starts[~known]))[order]
-            self.counts = np.concatenate((self.counts, counts_new))[order]
+            place = np.searchsorted(self.hashes, hashes[~known])
+            self.hashes = np.insert(self.hashes, place, hashes[~known])
+            self.starts = np.insert(self.starts, place, starts[~known])
+            self.counts = np.insert(self.counts, place, counts_new)
             self.flat = flat
         return out, rows
 
@@ -267,7 +269,7 @@ def pack(
             )
 
         for batch in batches:
-            for a, b in row_slices(batch.column(2)):
+            for a, b in row_slices(batch.column(2), SLICE):
                 flat, bounds = encode.ids(batch.column(2).slice(a, b - a))
                 quiet = np.zeros(b - a, dtype=np.int64)
                 if prompt is not None:
