@@ -71,15 +71,16 @@ def _listed(spans: str) -> Column:
     )
 
 
+def _count_of(kind: str) -> Column:
+    # One argument: a second one would be the place in the array.
+    return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+
 def _span_digest(found: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
     """Counts of the base kinds, the digest of ``base`` and the list of ``spans``."""
-    counts = [
-        F.size(F.filter("base", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{k}")
-        for k in kinds
-    ]
     return found.select(
         "doc_id",
-        *counts,
+        *(_count_of(kind) for kind in kinds),
         F.sha2(_listed("base"), 256).alias("base_sha256"),
         _listed("spans").alias("spans"),
     )
