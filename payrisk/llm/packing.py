@@ -249,17 +249,31 @@ def pack(
         sequence = TaskContext.get().partitionId() << 32
         rows: list[tuple] = []
 
-        def close(left: int) -> None:
+        def emit(pieces: list[Piece]) -> None:
             nonlocal sequence
+            offset = 0
+            for p in pieces:
+                crc = zlib.crc32(p.ids.astype("<u4").tobytes())
+                rows.append(
+                    (p.doc_id, p.start, len(p.ids), crc, p.doc_tokens, p.loss, sequence, offset)
+                )
+                offset += len(p.ids)
+            sequence += 1
+
+        def close(left: int) -> None:
             while len(packer.pieces) > left:
-                offset = 0
-                for p in packer.fill():
-                    crc = zlib.crc32(p.ids.astype("<u4").tobytes())
-                    rows.append(
-                        (p.doc_id, p.start, len(p.ids), crc, p.doc_tokens, p.loss, sequence, offset)
-                    )
-                    offset += len(p.ids)
-                sequence += 1
+                emit(packer.fill())
+
+        def rest_of(doc: Piece) -> list[Piece]:
+            """What is left of a long document after the sequences that it fills alone."""
+            alone = Packer(max_tokens, max_segments, max_loss)
+            alone.add([doc])
+            while sum(len(p.ids) for p in alone.pieces) > max_tokens:
+                emit(alone.fill())
+            # A copy: the whole document's tokens need not wait with its end.
+            return [
+                Piece(p.doc_id, p.start, p.ids.copy(), p.quiet, p.doc_tokens) for p in alone.pieces
+            ]
 
         def flush() -> pa.RecordBatch:
             columns = list(zip(*rows)) or [()] * len(names)
@@ -287,23 +301,7 @@ def pack(
                     )
                     bounds = bounds + cuts
                 for doc in _documents(batch.column(0).slice(a, b - a), flat, bounds, quiet, end_id):
-                    packer.add([doc])
-                    if len(doc.ids) > max_tokens:
-                        # Whole sequences first; only what is left of it waits.
-                        packer.pieces.pop()
-                        packer.sizes = packer.sizes[:-1]
-                        whole = Packer(max_tokens, max_segments, max_loss)
-                        whole.add([doc])
-                        while whole.pieces and len(whole.pieces[0].ids) > max_tokens:
-                            p = whole.fill()[0]
-                            crc = zlib.crc32(p.ids.astype("<u4").tobytes())
-                            n = len(p.ids)
-                            rows.append(
-                                (p.doc_id, p.start, n, crc, p.doc_tokens, p.loss, sequence, 0)
-                            )
-                            sequence += 1
-                        packer.add([Piece(p.doc_id, p.start, p.ids.copy(), p.quiet, p.doc_tokens)
-                                    for p in whole.pieces])
+                    packer.add(rest_of(doc) if len(doc.ids) > max_tokens else [doc])
                     if len(packer.pieces) >= pool:
                         close(pool // 2)
                 yield flush()
