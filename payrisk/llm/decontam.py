@@ -27,7 +27,7 @@ from payrisk.session import scratch_path, stage
 
 WINDOW = 10
 #: Text bytes of the documents of one segment (a longer document is a segment of its own).
-SEGMENT_BYTES = 8 << 20
+SEGMENT_BYTES = 4 << 20
 #: Characters of test items that are matched in one pass over the index.
 BLOCK_CHARS = 8_000_000
 

@@ -21,7 +21,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from payrisk.llm.text import ALNUM, Words, chain, column_bytes, hash_text, mix, row_slices
+from payrisk.llm.text import (
+    ALNUM,
+    Words,
+    chain,
+    column_bytes,
+    hash_text,
+    mix,
+    row_slices,
+    row_sums,
+)
 from payrisk.session import stage
 
 KINDS = ("email", "ip", "card", "phone")
@@ -138,9 +147,12 @@ def pattern_hash(pattern: str) -> int:
 
 def _marked(column: pa.Array) -> np.ndarray:
     """Rows with a digit or an at sign: only these can hold an identifier."""
-    data, bounds = column_bytes(column)
-    total = np.concatenate(([0], np.cumsum(((data >= 0x30) & (data <= 0x39)) | (data == 0x40))))
-    return total[bounds[1:]] > total[bounds[:-1]]
+    out = np.zeros(len(column), dtype=bool)
+    for a, b in row_slices(column):
+        data, bounds = column_bytes(column.slice(a, b - a))
+        hit = ((data >= 0x30) & (data <= 0x39)) | (data == 0x40)
+        out[a:b] = row_sums(hit, bounds) > 0
+    return out
 
 
 def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -317,16 +329,21 @@ def redact(docs: DataFrame, patterns: list[str], text: str = "text") -> DataFram
     known, names = frozenset(patterns), docs.columns
     place = names.index(text)
 
+    def masked(batch: pa.RecordBatch) -> pa.RecordBatch:
+        column = batch.column(place)
+        marked = np.flatnonzero(_marked(column)).tolist()
+        if not marked:
+            return batch
+        texts = column.to_pylist()
+        for i in marked:
+            texts[i] = redact_text(texts[i], known)
+        arrays = list(batch.columns)
+        arrays[place] = pa.array(texts, pa.string())
+        return pa.RecordBatch.from_arrays(arrays, names=names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column = batch.column(place)
-            marked = np.flatnonzero(_marked(column)).tolist()
-            if marked:
-                texts = column.to_pylist()
-                for i in marked:
-                    texts[i] = redact_text(texts[i], known)
-                column = pa.array(texts, pa.string())
-            arrays = [column if i == place else batch.column(i) for i in range(batch.num_columns)]
-            yield pa.RecordBatch.from_arrays(arrays, names=names)
+            for a, b in row_slices(batch.column(place)):
+                yield masked(batch.slice(a, b - a))
 
     return docs.mapInArrow(run, docs.schema)

@@ -58,7 +58,8 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of a string column and the row bounds in them (nulls are empty)."""
-    column = pc.fill_null(column, "")
+    if column.null_count:
+        column = pc.fill_null(column, "")
     wide = pa.types.is_large_string(column.type)
     _, offsets, data = column.buffers()
     bounds = np.frombuffer(offsets, dtype=np.int64 if wide else np.int32)
