@@ -21,6 +21,9 @@ from payrisk.llm import (
     simhash,
     toxicity,
 )
+from payrisk.llm.oracle import ORACLE
+
+__all__ = ["ORACLE", "QUERIES"]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -135,5 +138,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_packing": op9_packing,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
-
-ORACLE: dict[str, str] = {}

@@ -8,6 +8,7 @@ import re
 import pytest
 
 from payrisk.llm import decontam
+from payrisk.llm.oracle import ORACLE
 from tests.conftest import SF
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -49,6 +50,13 @@ def test_query_equals_plain_search(spark, run_query, documents):
         )
 
 
+def test_query_equals_sql(duck, run_query):
+    expected = duck.sql(ORACLE["op3_benchmark_decontamination"])
+    rows = run_query(3)
+    assert rows.columns == expected.columns
+    assert sorted(tuple(r) for r in rows.collect()) == sorted(expected.fetchall())
+
+
 @pytest.mark.parametrize("block", [1, 40, 10**6])
 @pytest.mark.parametrize("segment", [30, 1 << 20])
 def test_blocks_and_segments_change_nothing(spark, block, segment):
