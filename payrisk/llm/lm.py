@@ -6,10 +6,17 @@ The automaton's states are histories. A document is read once from left to right
 current state is taken if the word has one, else the failure arc adds its weight and leads to the
 shorter history, down to the root, where every word has its unigram probability.
 
-Counts cover all training words. The automaton holds the n-grams that make up at least a fixed
-share of them, so ``WORD_SHARE`` and ``NGRAM_SHARE`` bound its size (1/share entries per order) at
-every size of the corpus; it goes to all executors. All other words meet their exact counts in a
-join. An n-gram is only counted if its parts already reached the share: a rarer one could not.
+All words and all n-grams that occur at least ``LEAST`` times are kept, so the tables grow with the
+corpus; they are counted, smoothed and met by joins. For that the walk is written as a sum. An n-gram
+that is kept moves the probability of its last word from what the failure arcs give to its own arc,
+and its state's failure weight is what its followers start from; so each kept n-gram has one value,
+
+    log p(n-gram) - log p(its suffix) - weight(its history) + weight(its own state),
+
+and a text's score is the sum of the values of its words and n-grams, nothing for those that are not
+kept. The most common ones, whose number ``COMMON_WORDS`` and ``COMMON_NGRAMS`` bound, go to all
+executors and are added up in the scan; all others meet their values in a join. ``train`` and
+``Automaton`` are the same model in one process's memory.
 
 Words are identified by 64-bit hashes.
 """
@@ -25,21 +32,26 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from payrisk.llm.text import NOT_SPACE, Words, row_slices, row_sums
+from payrisk.llm.text import NOT_SPACE, Words, chain, row_slices, row_sums
 from payrisk.session import stage
 
 ORDER = 3
-#: Words with this share of all training tokens are in the automaton: a million at most.
-WORD_SHARE = 1e-6
-#: Same for longer n-grams: 200 000 at most of each order.
-NGRAM_SHARE = 5e-6
+#: Share of all training tokens that words in n-grams, and n-grams, must have: none is asked for.
+WORD_SHARE = 0.0
+NGRAM_SHARE = 0.0
+#: N-grams are kept from this count on, at any size of the corpus.
+LEAST = 2
+#: Words, and n-grams of each order, with these shares go to all executors: 1 / share at most. The
+#: others meet their values in a join; no result depends on it.
+COMMON_WORDS = 1e-6
+COMMON_NGRAMS = 5e-6
 DISCOUNT = 0.5
 #: Stands for the end of a text; no word has it but by a collision of 64-bit hashes.
 END = np.uint64(0x9AE16A3B2F90404F)
 
 SCORED = (
     "key bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_common bigint,"
-    " base double, model double, rare array<bigint>, rare_n array<bigint>"
+    " base double, model double, text string"
 )
 
 
@@ -166,24 +178,29 @@ def _collect(counted: DataFrame, least: float) -> tuple[np.ndarray, np.ndarray]:
     return keys[order], np.array(table.column("n").to_numpy(), dtype=np.int64)[order]
 
 
+def _word_counts(texts: DataFrame) -> tuple[DataFrame, int, int]:
+    """Stored counts (k, n) of all words of the one text column, and the numbers of tokens and of
+    different words."""
+    rows = texts.mapInArrow(_count_words, "k bigint, n bigint")
+    counts = stage(rows.groupBy("k").agg(F.sum("n").alias("n")), "word-counts")
+    row = counts.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("distinct")).first()
+    return counts, row["total"] or 0, row["distinct"]
+
+
 def train(
-    texts: DataFrame,
-    order: int = ORDER,
-    word_share: float = WORD_SHARE,
-    ngram_share: float = NGRAM_SHARE,
+    texts: DataFrame, order: int, word_share: float, ngram_share: float
 ) -> tuple[Model, DataFrame]:
-    """Model of the one text column of ``texts``, and the stored counts (k, n) of all its words."""
+    """Model of the one text column of ``texts`` in memory, which the shares must bound, and the
+    stored counts (k, n) of all its words."""
 
     def counted(run) -> DataFrame:
         rows = texts.mapInArrow(run, "k bigint, n bigint")
         return rows.groupBy("k").agg(F.sum("n").alias("n"))
 
-    counts = stage(counted(_count_words), "word-counts")
-    row = counts.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("distinct")).first()
-    total = row["total"] or 0
+    counts, total, distinct = _word_counts(texts)
     words, n = _collect(counts, total * word_share)
-    model = Model(total, row["distinct"], words, n)
-    least = max(total * ngram_share, 2)
+    model = Model(total, distinct, words, n)
+    least = max(total * ngram_share, LEAST)
     for _ in range(1, order):
         shared = texts.sparkSession.sparkContext.broadcast(model)
         found = counted(lambda batches, shared=shared: _count_ngrams(batches, shared.value, least))
@@ -283,42 +300,190 @@ class Automaton:
         return total
 
 
-def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    automaton = Automaton(model)
-    logp = np.concatenate(([0.0], model.logp(model.counts)))
+def _grams(
+    hashes: np.ndarray, bounds: np.ndarray, order: int
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Per order from 2 on: keys of the n-grams, of their histories and of their suffixes, and the
+    places they end at."""
+    inside = _inside(len(hashes), bounds)
+    keys, here = hashes, np.ones(len(hashes), dtype=bool)
+    for _ in range(1, order):
+        here = inside & np.concatenate(([False], here[:-1]))
+        at = np.flatnonzero(here)
+        history, suffix = keys[at - 1], keys[at]
+        keys = keys.copy()
+        keys[at] = chain(history, suffix)
+        yield keys[at], history, suffix, at
+
+
+def _count_grams(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[pa.RecordBatch]:
+    """(history, suffix, n) of all n-grams of one order."""
+    for batch in batches:
+        for a, b in row_slices(batch.column(0)):
+            *_, (keys, history, suffix, _) = _grams(*_tokens(batch.column(0).slice(a, b - a)), order)
+            _, first, n = np.unique(keys, return_index=True, return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(history[first].view(np.int64)),
+                    pa.array(suffix[first].view(np.int64)),
+                    pa.array(n.astype(np.int64)),
+                ],
+                names=["history", "suffix", "n"],
+            )
+
+
+def _key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds the key of each n-gram, as ``_grams`` gives it."""
+    for batch in batches:
+        history, suffix = (
+            np.array(batch.column(i).to_numpy(), dtype=np.int64).view(np.uint64) for i in (0, 1)
+        )
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(chain(history, suffix).view(np.int64)), *batch.columns],
+            names=["k", "history", "suffix", "n"],
+        )
+
+
+def values(
+    texts: DataFrame, order: int, word_share: float, ngram_share: float
+) -> tuple[DataFrame, int, float]:
+    """Stored values (k, n, word, base, value) of all words and kept n-grams of the one text column,
+    the number of tokens, and what counts are divided by. ``base`` is a word's own probability."""
+    counts, total, distinct = _word_counts(texts)
+    size = total + 0.5 * (distinct + 1)
+    least = max(total * ngram_share, LEAST)
+    words = counts.withColumn("logp", F.log10((F.col("n") + 0.5) / size))
+    lower = words.filter(F.col("n") >= total * word_share).select("k", "n", "logp")
+    # Per order: its n-grams (k, n, own: value without the weight of the own state).
+    levels = [words.select("k", "n", F.lit(True).alias("word"), "logp", F.col("logp").alias("own"))]
+    weights = []
+    for n in range(2, order + 1):
+        counted = (
+            texts.mapInArrow(
+                lambda batches, n=n: _count_grams(batches, n),
+                "history bigint, suffix bigint, n bigint",
+            )
+            .groupBy("history", "suffix")
+            .agg(F.sum("n").alias("n"))
+            .filter(F.col("n") >= least)
+            .mapInArrow(_key, "k bigint, history bigint, suffix bigint, n bigint")
+        )
+        kept = stage(
+            counted.join(lower.select(F.col("k").alias("history"), F.col("n").alias("of")), "history")
+            .join(lower.select(F.col("k").alias("suffix"), F.col("logp").alias("shorter")), "suffix")
+            .withColumn("logp", F.log10((F.col("n") - DISCOUNT) / F.col("of"))),
+            "ngrams",
+        )
+        left, rest = (
+            F.greatest(1 - F.sum(F.pow(F.lit(10.0), F.col(c))), F.lit(1e-12))
+            for c in ("logp", "shorter")
+        )
+        weight = stage(
+            kept.groupBy("history").agg((F.log10(left) - F.log10(rest)).alias("weight")), "weights"
+        )
+        own = F.col("logp") - F.col("shorter") - F.col("weight")
+        levels.append(
+            kept.join(weight, "history").select(
+                "k", "n", F.lit(False).alias("word"), F.lit(0.0).alias("logp"), own.alias("own")
+            )
+        )
+        weights.append(weight.withColumnRenamed("history", "k"))
+        lower = kept.select("k", "n", "logp")
+    out = None
+    for level, weight in zip(levels, [*weights, None]):
+        value = F.col("own")
+        if weight is not None:
+            level = level.join(weight, "k", "left")
+            value = value + F.coalesce("weight", F.lit(0.0))
+        level = level.select("k", "n", "word", F.col("logp").alias("base"), value.alias("value"))
+        out = level if out is None else out.unionByName(level)
+    return stage(out, "ngram-values"), total, size
+
+
+@dataclass
+class Common:
+    """Values of the most common words and n-grams, ascending by key."""
+
+    keys: np.ndarray
+    base: np.ndarray
+    value: np.ndarray
+    order: int
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which keys are here, and their places."""
+        if not len(self.keys):
+            return np.zeros(len(keys), dtype=bool), np.zeros(len(keys), dtype=np.int64)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return self.keys[at] == keys, at
+
+
+def _common(table: DataFrame, total: int, order: int) -> Common:
+    share = F.when(F.col("word"), COMMON_WORDS).otherwise(COMMON_NGRAMS)
+    found = table.filter(F.col("n") >= share * total).select("k", "base", "value").toArrow()
+    found = found.combine_chunks()
+    keys = np.array(found.column("k").to_numpy(), dtype=np.int64).view(np.uint64)
+    by_key = np.argsort(keys, kind="stable")
+    base, value = (np.array(found.column(c).to_numpy(), dtype=float) for c in ("base", "value"))
+    return Common(keys[by_key], base[by_key], value[by_key], order)
+
+
+def _score(batches: Iterator[pa.RecordBatch], common: Common) -> Iterator[pa.RecordBatch]:
+    """Rows with a key, and the sums over their common words and n-grams."""
     key = TaskContext.get().partitionId() << 32
+    order = common.order
+    base, value = (np.append(v, 0.0) for v in (common.base, common.value))
     for batch in batches:
         for a, b in row_slices(batch.column(2)):
-            hashes, bounds = _tokens(batch.column(2).slice(a, b - a))
-            numbers = model.number(hashes)
-            row = np.repeat(np.arange(b - a), np.diff(bounds))
-            listed = numbers.tolist()
-            walked = [automaton.walk(listed[s:e]) for s, e in zip(bounds[:-1], bounds[1:])]
-            rare = numbers == 0
-            order = np.lexsort((hashes[rare], row[rare]))
-            h, r = hashes[rare][order], row[rare][order]
-            first = np.ones(len(h), dtype=bool)
-            first[1:] = (h[1:] != h[:-1]) | (r[1:] != r[:-1])
-            at = np.flatnonzero(first)
-            n = np.diff(np.append(at, len(h)))
-            cuts = pa.array(np.searchsorted(r[at], np.arange(b - a + 1)).astype(np.int32))
+            text = batch.column(2).slice(a, b - a)
+            hashes, bounds = _tokens(text)
+            here, at = common.find(hashes)
+            at = np.where(here, at, -1)
+            sums = value[at]
+            for keys, _, _, ends in _grams(hashes, bounds, order):
+                known, place = common.find(keys)
+                sums[ends] += np.where(known, value[place], 0.0)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(key + np.arange(b - a)),
                     batch.column(0).slice(a, b - a),
                     batch.column(1).slice(a, b - a),
                     pa.array(np.diff(bounds)),
-                    pa.array(row_sums((~rare).astype(np.int64), bounds)),
-                    pa.array(row_sums(logp[numbers], bounds)),
-                    pa.array(walked, pa.float64()),
-                    pa.ListArray.from_arrays(cuts, pa.array(h[at].view(np.int64))),
-                    pa.ListArray.from_arrays(cuts, pa.array(n.astype(np.int64))),
+                    pa.array(row_sums(here.astype(np.int64), bounds)),
+                    pa.array(row_sums(base[at], bounds)),
+                    pa.array(row_sums(sums, bounds)),
+                    text,
                 ],
                 names=[part.split()[0] for part in SCORED.split(", ")],
             )
             key += b - a
 
 
+def _others(batches: Iterator[pa.RecordBatch], common: Common) -> Iterator[pa.RecordBatch]:
+    """(key, k, times): the words and n-grams of each row that are not common."""
+    for batch in batches:
+        for a, b in row_slices(batch.column(1)):
+            hashes, bounds = _tokens(batch.column(1).slice(a, b - a))
+            row = np.repeat(batch.column(0).slice(a, b - a).to_numpy(), np.diff(bounds))
+            found = [(hashes, row)]
+            found += [(k, row[ends]) for k, _, _, ends in _grams(hashes, bounds, common.order)]
+            for keys, of in found:
+                rare = ~common.find(keys)[0]
+                keys, of = keys[rare], of[rare]
+                order = np.lexsort((keys, of))
+                keys, of = keys[order], of[order]
+                first = np.ones(len(keys), dtype=bool)
+                first[1:] = (keys[1:] != keys[:-1]) | (of[1:] != of[:-1])
+                at = np.flatnonzero(first)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(of[at]),
+                        pa.array(keys[at].view(np.int64)),
+                        pa.array(np.diff(np.append(at, len(keys))).astype(np.int32)),
+                    ],
+                    names=["key", "k", "times"],
+                )
+
+
 def score(
     docs: DataFrame,
     held_out: Column,
@@ -339,32 +504,34 @@ def score(
         F.coalesce(held_out, F.lit(False)).alias("held_out"),
         F.col(text).alias("text"),
     )
-    model, counts = train(
+    table, total, size = values(
         rows.filter(~F.col("held_out")).select("text"), order, word_share, ngram_share
     )
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    common = _common(table, total, order)
+    shared = docs.sparkSession.sparkContext.broadcast(common)
     scored = stage(
         rows.mapInArrow(lambda batches: _score(batches, shared.value), SCORED), "scored"
     )
-    rare = scored.select("key", F.explode(F.arrays_zip("rare", "rare_n")).alias("r")).select(
-        "key", F.col("r.rare").alias("k"), F.col("r.rare_n").alias("times")
+    others = scored.select("key", "text").mapInArrow(
+        lambda batches: _others(batches, shared.value), "key bigint, k bigint, times int"
     )
-    chance = (F.coalesce("n", F.lit(0)) + 0.5) / model.size
     sums = (
-        rare.join(counts, "k", "left")
+        others.join(table.select("k", "word", "base", "value"), "k")
         .groupBy("key")
         .agg(
-            F.sum(F.col("times") * F.log10(chance)).alias("rare_logp"),
-            F.sum(F.when(F.col("n").isNotNull(), F.col("times"))).alias("rare_known"),
+            F.sum(F.when(F.col("word"), F.col("times"))).alias("rare_known"),
+            F.sum(F.col("times") * F.col("base")).alias("rare_base"),
+            F.sum(F.col("times") * F.col("value")).alias("rare_value"),
         )
     )
-    rest = F.coalesce("rare_logp", F.lit(0.0))
-    return scored.drop("rare", "rare_n").join(sums, "key", "left").select(
+    known = F.col("n_common") + F.coalesce("rare_known", F.lit(0))
+    unknown = (F.col("n_tokens") - known) * float(np.log10(0.5 / size))
+    return scored.drop("text").join(sums, "key", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
-        (F.col("n_common") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
-        F.lit(model.total).cast("long").alias("train_tokens"),
-        (F.col("base") + rest).alias("base_score"),
-        (F.col("model") + rest).alias("score"),
+        known.alias("n_known"),
+        F.lit(total).cast("long").alias("train_tokens"),
+        (F.col("base") + F.coalesce("rare_base", F.lit(0.0)) + unknown).alias("base_score"),
+        (F.col("model") + F.coalesce("rare_value", F.lit(0.0)) + unknown).alias("score"),
     )

@@ -104,3 +104,25 @@ def test_odd_rows(odd_documents, no_documents):
     assert lm.score(no_documents, held()).count() == 0
     alone = lm.score(odd_documents, F.lit(True)).collect()  # nothing to learn from
     assert {r["train_tokens"] for r in alone} == {0} and all(r["score"] == 0 for r in alone)
+
+
+def test_what_is_kept_does_not_depend_on_the_corpus_size(spark):
+    """A bigram seen twice counts among more than 400 000 tokens, and what is not common is joined."""
+    rows = [(0, "rare pair of words"), (1, "rare pair of words"), (2, "pair of"), (3, "of rare")]
+    filler = [(i, " ".join(f"w{(i * 7 + j * j) % 5000}" for j in range(400))) for i in range(10, 1210)]
+    frame = spark.createDataFrame(rows + filler, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in lm.score(frame, F.col("doc_id") == -1).collect()}
+    want = {r[0]: r for r in plain_all(rows + filler)}
+    assert got[0]["train_tokens"] > 400_000
+    for i in (0, 1, 2, 3, 10, 700):
+        assert got[i]["score"] == pytest.approx(want[i][5], rel=1e-9)
+    # All of its words after the first but "words" have seen n-grams: far above their own chance.
+    assert got[0]["score"] > got[0]["base_score"] + 10
+
+
+def plain_all(rows):
+    """``plain`` with all rows in training: ids whose hash holds out are replaced."""
+    free = iter(i for i in range(10**9) if zlib.crc32(str(i).encode()) % 5 != 1)
+    names = {next(free): i for i, _ in rows}
+    for r in plain([(new, text) for new, (_, text) in zip(names, rows)], 0.0, 0.0):
+        yield (names[r[0]], *r[1:])
