@@ -5,8 +5,9 @@ entities: the one to three words before each are its lexical patterns. All strin
 identifiers, seeds or not, make a graph of patterns and instances. Spark scores it in rounds: a
 pattern by the share of all its occurrences in the corpus that a trusted instance follows, an
 instance by the patterns that lead to it. Patterns of high confidence then also mark identifiers
-whose form is unknown. Only patterns with a fixed share of all identifiers are scored, so
-``PATTERN_SHARE`` bounds their number, which goes to all executors.
+whose form is unknown. All patterns with ``LEAST_INSTANCES`` different instances are scored, however
+rare they are; their occurrences are counted and their graph is scored by joins on their hashes. Only
+a bitmap of a fixed size, which keeps other words out of the join, goes to all executors.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from payrisk.llm import keyset
 from payrisk.llm.text import (
     ALNUM,
     Words,
@@ -35,8 +37,6 @@ from payrisk.session import stage
 
 KINDS = ("email", "ip", "card", "phone")
 FOUND = "found"
-#: Patterns with this share of all identifiers' occurrences are scored: 3 / share at most.
-PATTERN_SHARE = 1 / 5000
 LEAST_INSTANCES = 5
 CONFIDENCE = 0.7
 ROUNDS = 3
@@ -174,18 +174,40 @@ def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, pattern): ``pattern_hash`` of each pattern."""
+    for batch in batches:
+        words = Words(batch.column(0), ALNUM)
+        hashes, first, n = words.hashes(), words.rows[:-1], words.per_row
+        total = hashes[first]
+        for k in range(1, LONGEST):
+            more = n > k
+            total[more] = chain(total[more], hashes[first[more] + k])
+        keys = mix(total + n.astype(np.uint64))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(keys.view(np.int64)), batch.column(0)], names=["key", "pattern"]
+        )
+
+
 def _occurrences(
-    batches: Iterator[pa.RecordBatch], keys: np.ndarray
+    batches: Iterator[pa.RecordBatch], keys: np.ndarray | keyset.KeySet
 ) -> Iterator[pa.RecordBatch]:
-    """How often each pattern occurs before anything at all; ``keys`` are ascending."""
+    """How often each pattern occurs before anything at all; ``keys`` are ascending, or a set that
+    lets some others pass too."""
+
+    def wanted(found: np.ndarray) -> np.ndarray:
+        if isinstance(keys, keyset.KeySet):
+            return keys.may_hold(found)
+        return keys[np.minimum(np.searchsorted(keys, found), len(keys) - 1)] == found
+
     for batch in batches:
-        total = np.zeros(len(keys), dtype=np.int64)
         for a, b in row_slices(batch.column(0)):
             words = Words(batch.column(0).slice(a, b - a), ALNUM)
             if not len(words):
                 continue
             hashes, row = words.hashes(), words.row_of()
             grams, here = hashes, np.ones(len(hashes), dtype=bool)
+            parts = []
             for n in range(1, LONGEST + 1):
                 if n > 1:
                     # chain() folds from the left: extend the gram that ended one word before.
@@ -193,17 +215,16 @@ def _occurrences(
                     same = np.concatenate(([False], row[1:] == row[:-1]))
                     here = same & np.concatenate(([False], here[:-1]))
                 found = mix(grams[here] + np.uint64(n))
-                at = np.minimum(np.searchsorted(keys, found), len(keys) - 1)
-                total += np.bincount(at[keys[at] == found], minlength=len(keys))
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(keys[at].view(np.int64)), pa.array(total[at])], names=["key", "n"]
-        )
+                parts.append(found[wanted(found)])
+            found, total = np.unique(np.concatenate(parts), return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found.view(np.int64)), pa.array(total.astype(np.int64))],
+                names=["key", "n"],
+            )
 
 
 def learn_patterns(
     texts: DataFrame,
-    share: float = PATTERN_SHARE,
     least_instances: int = LEAST_INSTANCES,
     confidence: float = CONFIDENCE,
     rounds: int = ROUNDS,
@@ -216,38 +237,32 @@ def learn_patterns(
         .agg(F.count(F.lit(1)).alias("n")),
         "pattern-edges",
     )
-    total = edges.agg(F.sum("n").alias("n")).first()["n"] or 0
-    support = edges.groupBy("pattern").agg(
-        F.sum("n").alias("n"), F.count(F.lit(1)).alias("instances")
+    support = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("instances"))
+    names = stage(
+        support.filter(F.col("instances") >= least_instances)
+        .select("pattern")
+        .mapInArrow(_hashed, "key bigint, pattern string"),
+        "pattern-names",
     )
-    supported = [
-        r["pattern"]
-        for r in support.filter(
-            (F.col("n") >= share * total) & (F.col("instances") >= least_instances)
-        ).collect()  # each holds a share of all: 3 / share rows at most
-    ]
-    if not supported:
-        return []
-    table = sorted((pattern_hash(p), p) for p in supported)
-    keys = np.array([k for k, _ in table], dtype=np.uint64)
-    shared = spark.sparkContext.broadcast(keys)
+    shared = spark.sparkContext.broadcast(keyset.build(names, "key"))
     counted = (
         texts.mapInArrow(lambda b: _occurrences(b, shared.value), "key bigint, n bigint")
         .groupBy("key")
         .agg(F.sum("n").alias("all"))
     )
-    signed = [(k - (1 << 64) if k >> 63 else k, p) for k, p in table]
-    names = spark.createDataFrame(signed, "key bigint, pattern string")
-    patterns = stage(names.join(counted, "key").select("pattern", "all"), "patterns")
-    graph = stage(edges.join(F.broadcast(patterns), "pattern"), "pattern-graph")
+    patterns = stage(names.join(counted, "key"), "patterns")
+    graph = stage(
+        edges.join(patterns, "pattern").select("key", "instance", "seed", "n", "all"),
+        "pattern-graph",
+    )
     trust = stage(
         graph.groupBy("instance").agg(F.max(F.col("seed").cast("double")).alias("trust")), "trust"
     )
     for _ in range(rounds):
-        scores = _pattern_scores(graph, trust)
-        good = F.when(F.col("score") >= 0.5, F.least("score", F.lit(0.99))).otherwise(0.0)
+        scores = stage(_pattern_scores(graph, trust).filter(F.col("score") >= 0.5), "pattern-scores")
+        good = F.least(F.coalesce("score", F.lit(0.0)), F.lit(0.99))
         trust = stage(
-            graph.join(F.broadcast(stage(scores, "pattern-scores")), "pattern")
+            graph.join(scores, "key", "left")
             .groupBy("instance")
             .agg(
                 F.greatest(
@@ -260,14 +275,14 @@ def learn_patterns(
     final = _pattern_scores(graph, trust).filter(
         (F.col("score") >= confidence) & (F.col("trusted") >= least_instances)
     )
-    return sorted(r["pattern"] for r in final.collect())
+    return sorted(r["pattern"] for r in patterns.join(final, "key").select("pattern").collect())
 
 
 def _pattern_scores(graph: DataFrame, trust: DataFrame) -> DataFrame:
     """Share of a pattern's occurrences that a trusted instance follows, and how many different."""
     return (
         graph.join(trust, "instance")
-        .groupBy("pattern")
+        .groupBy("key")
         .agg(
             (F.sum(F.col("n") * F.col("trust")) / F.max("all")).alias("score"),
             F.sum("trust").alias("trusted"),

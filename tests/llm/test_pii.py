@@ -102,3 +102,17 @@ def test_odd_rows(odd_documents, no_documents):
     assert masked.exceptAll(odd_documents).count() == 0 and masked.count() == odd_documents.count()
     assert pii.learn_patterns(no_documents.select("text")) == []
     assert pii.find(no_documents, []).count() == pii.redact(no_documents, []).count() == 0
+
+
+def test_rare_contexts_are_learnt_among_many_numbers(spark):
+    """60 000 part numbers in other texts do not hide a context of 20 identifiers."""
+    rows = [(i, " ".join(f"lot {i:03d}{j:05d}" for j in range(1500))) for i in range(40)]
+    for i in range(20):
+        name = f"u{i}@mail.example.com" if i % 2 else f"AB{i:05d}K"
+        rows.append((100 + i, f"please write to {name} then"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    patterns = pii.learn_patterns(docs.select("text"))
+    assert "please write to" in patterns and "lot" not in patterns
+    spans = {r["doc_id"]: [s["kind"] for s in r["spans"]] for r in pii.find(docs, patterns).collect()}
+    assert all(spans[100 + i] == (["email"] if i % 2 else [pii.FOUND]) for i in range(20))
+    assert not spans[0]
