@@ -212,10 +212,12 @@ def build_index(
     tree = fit_tree(sample, min(max(total // leaf_rows, 1), max_leaves))
     shared = spark.sparkContext.broadcast(tree)
     located = stage(_located(rows, shared), "located")
-    # Rows of a vector beyond its smallest ids can be nobody's neighbour by the order of ties.
+    # Ids of a vector beyond its smallest can be nobody's neighbour by the order of ties. Rows that
+    # repeat an id with its vector are one: they must not take the places of other ids.
     first = F.row_number().over(Window.partitionBy("raw").orderBy("vec_id"))
     entries = stage(
-        located.withColumn("n", first)
+        located.distinct()
+        .withColumn("n", first)
         .filter(F.col("n") <= nearest + 1)
         .groupBy("raw")
         .agg(F.min("leaf").alias("leaf"), F.array_sort(F.collect_list("vec_id")).alias("ids")),
@@ -315,7 +317,10 @@ def search(
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     asked = stage(index.located.filter(is_query).select("vec_id", "raw").distinct(), "queries")
     visits = calibrate(index, asked, recall)
-    shared, dim, k = index.shared, index.dim, nearest + 1
+    # ``is_query`` looks at the id, so all vectors of a query's id are here: so many places of its
+    # list can be its own.
+    own = asked.groupBy("vec_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    shared, dim, k = index.shared, index.dim, nearest + (own or 1)
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -97,3 +97,19 @@ def test_ties_and_repeated_rows(spark):
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = ann.search(frame, F.col("vec_id") == 100).orderBy("rank").collect()
     assert [r["vec_id"] for r in got] == list(range(10)) and {r["score"] for r in got} == {0.0}
+
+
+@pytest.mark.parametrize("copies", [2, 11, 30])
+def test_repeated_rows_of_the_smallest_id_take_no_places(spark, copies):
+    rows = [(0, [1.0, 0.0])] * copies + [(i, [1.0, 0.0]) for i in range(1, 8)] * 3
+    rows += [(i, [1.0, i / 100]) for i in range(8, 30)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann.search(frame, F.col("vec_id") == 0).orderBy("rank").collect()
+    assert [r["vec_id"] for r in got] == list(range(1, 11))
+
+
+def test_other_vectors_of_the_own_id_take_no_places(spark):
+    rows = [(0, [1.0, i / 1000]) for i in range(5)] + [(i, [1.0, i / 10]) for i in range(1, 20)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann.search(frame, F.col("vec_id") == 0).collect()
+    assert len(got) == 5 * ann.NEAREST and {r["vec_id"] for r in got} == set(range(1, 11))
