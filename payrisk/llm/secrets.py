@@ -111,11 +111,7 @@ def samples(docs: DataFrame, text: str = "text", size: int = SAMPLE) -> DataFram
     words = F.regexp_extract_all(
         F.coalesce(F.col(text), F.lit("")), F.lit("[A-Za-z_]{8,}"), F.lit(0)
     )
-    # One word in 64 by its own hash keeps the sort small; frequent and rare words alike.
-    ordinary = docs.select(
-        F.explode(F.filter(words, lambda w: F.pmod(F.xxhash64(w), F.lit(64)) == 0)).alias("token"),
-        F.lit(0).alias("label"),
-    )
+    ordinary = docs.select(F.explode(F.array_distinct(words)).alias("token"), F.lit(0).alias("label"))
 
     def bounded(tokens: DataFrame) -> DataFrame:
         return tokens.distinct().orderBy(F.xxhash64("token"), "token").limit(size)

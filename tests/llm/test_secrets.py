@@ -94,3 +94,10 @@ def test_odd_rows(odd_documents, no_documents):
     assert rows.count() == odd_documents.count() and rows.columns[-2:] == ["base", "spans"]
     assert rows.columns.count("base") == 1
     assert secrets.find(no_documents).count() == 0
+
+
+def test_ordinary_sample_takes_all_words_up_to_its_size(spark):
+    words = ["".join(chr(97 + (i // 26**k) % 26) for k in range(8)) for i in range(300)]
+    docs = spark.createDataFrame([(" ".join(words),), (" ".join(words),)], "text string")
+    count = lambda size: secrets.samples(docs, size=size).filter("label = 0").count()
+    assert count(1000) == 300 and count(50) == 50
