@@ -24,8 +24,10 @@ ACCESS = "AKIA[A-Z0-9]{16,}"
 HEX = "[0-9a-f]{24,}"
 KINDS = ("assign", "access", "hex")
 RANDOM = "random"
-#: Tokens that the models look at: whole ones of 16 characters and more with a digit.
-TOKEN = "(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{16,}"
+#: Characters that a token has at least for the models to look at it, with or without digits. The
+#: rest of a token beside a base span is a token of its own.
+LEAST = 12
+TOKEN = f"[A-Za-z0-9+/_=-]{{{LEAST},}}"
 #: Letters, then digits, then signs; others do not occur in a token.
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 #: Sampled tokens of each class, at most.
@@ -193,15 +195,18 @@ def scan(docs: DataFrame, ratio: list[float], text: str = "text", margin: float
         "base",
         F.array_sort(F.concat(*(labelled(f"__{k}", k, i) for i, k in enumerate(KINDS)))),
     )
-    found = found.withColumn(
-        "__token",
-        F.filter(
-            F.filter(_if_any(t, TOKEN), lambda m: m["value"].rlike("[A-Za-z]")),
-            lambda m: ~F.exists(
-                "base", lambda b: (b["start"] < m["end"]) & (b["end"] > m["start"])
-            ),
+    # Blanks in place of the base spans keep all places.
+    open_ = F.aggregate(
+        "base",
+        t,
+        lambda acc, b: F.overlay(
+            acc, F.repeat(F.lit(" "), b["end"] - b["start"]), b["start"] + 1, b["end"] - b["start"]
         ),
     )
+    found = found.withColumn("__open", open_).withColumn(
+        "__token",
+        F.filter(_if_any(F.col("__open"), TOKEN), lambda m: m["value"].rlike("[A-Za-z]")),
+    )
     likely = F.expr(f"filter(__token, m -> {_score('m.value', ratio)} >= {margin}D)")
     found = found.withColumn("__random", likely)
     return found.select(

@@ -101,3 +101,22 @@ def test_ordinary_sample_takes_all_words_up_to_its_size(spark):
     docs = spark.createDataFrame([(" ".join(words),), (" ".join(words),)], "text string")
     count = lambda size: secrets.samples(docs, size=size).filter("label = 0").count()
     assert count(1000) == 300 and count(50) == 50
+
+
+def test_the_ratio_decides_on_letters_short_tokens_and_rests(spark):
+    pick = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    labelled = [("".join(pick.choice(letters) for _ in range(24)), 1) for _ in range(2000)]
+    words = "customer payment number reference account handler message version update value".split()
+    labelled += [("_".join(pick.choice(words) for _ in range(4)), 0) for _ in range(2000)]
+    ratio = secrets.train(spark.createDataFrame(labelled, "token string, label int"))
+    key, short, run = "kJhGfDsAqWeRtYuIoPzXcVbNmLqPwOeI", "xQ7zKp2Lw9TbV", "0f3e" * 6
+    texts = [f"é {key} .", f"é {short} .", f"é {key}{run}{key} .", "é customer_payment_reference ."]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {
+        r["doc_id"]: [(s["start"], s["end"]) for s in r["spans"] if s["kind"] == secrets.RANDOM]
+        for r in secrets.scan(frame, ratio).collect()
+    }
+    n = len(key)
+    assert found[0] == [(2, 2 + n)] and found[1] == [(2, 2 + len(short))] and found[3] == []
+    assert [texts[2][s:e] for s, e in found[2]] == [key[:n], key]
