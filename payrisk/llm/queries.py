@@ -11,11 +11,14 @@ from pyspark.sql import functions as F
 
 from payrisk.llm import (
     ann,
+    centroids,
     decontam,
     html,
+    line_dedup,
     lm,
     packing,
     pii,
+    prefix_trie,
     quality,
     secrets,
     simhash,
@@ -126,6 +129,23 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations")
+    return prefix_trie.trie(prefix_trie.rebuilt(prefix_trie.sequences(turns)))
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.cluster(_table(spark, sf_dir, "embeddings"))
+    text = F.array_join(F.transform("centroid", lambda x: x.cast("string")), ",")
+    return found.withColumn("centroid_sha256", F.sha2(text, 256)).drop("centroid")
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = line_dedup.kept_texts(docs, line_dedup.keep_bitmaps(docs))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_toxicity": op2_toxicity,
@@ -137,4 +157,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_packing": op9_packing,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_centroid_clustering": op12_centroid_clustering,
+    "op13_line_dedup": op13_line_dedup,
 }
