@@ -15,7 +15,7 @@ from payrisk.operators.card_windows import CARD_FEATURES
 from payrisk.operators.cleaning import clean_payments
 from payrisk.operators.device_sharing import with_cards_per_device
 from payrisk.operators.fusion import suspicious
-from payrisk.plans import gold, graph, reports, silver, textset
+from payrisk.plans import gold, graph, reports, silver, silver_store, textset
 from payrisk.plans.features import feature_rows
 from payrisk.plans.insights import fused_payments, insights_report
 from payrisk.schemas import EVENT, EVENT_COLUMNS, REPORT
@@ -129,7 +129,7 @@ def silver_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _card_feature(name: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        features = silver.card_behaviour(_bronze(spark, sf_dir))
+        features = silver.card_behaviour(_bronze(spark, sf_dir), [name])
         return comparable(features.select("payment_id", name))
 
     return query
@@ -220,16 +220,62 @@ def features_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(feature_rows(stage(_silver(spark, sf_dir), "silver"), _load_time()))
 
 
+def _silver_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feature_rows(stage(_silver(spark, sf_dir), "silver"), _load_time())
+
+
+def _upserted(loaded: DataFrame, *batches: DataFrame) -> DataFrame:
+    """A stored table, in buckets, after one batch and the next."""
+    spark, path = loaded.sparkSession, scratch_path(loaded.sparkSession, "feature-table")
+    upsert.create_buckets(loaded, path, buckets=16)
+    for batch in batches:
+        upsert.upsert_buckets(spark, path, batch)
+    return comparable(upsert.read_buckets(spark, path))
+
+
 def features_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second feed is the loaded table; the silver rows are the new batch."""
-    batch = feature_rows(stage(_silver(spark, sf_dir), "silver"), _load_time())
-    return comparable(upsert.upserted(_second_feed(spark, sf_dir), batch))
+    return _upserted(_second_feed(spark, sf_dir), _silver_batch(spark, sf_dir))
 
 
 def features_upsert_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The batch is the feed before deduplication: some payments come twice."""
     batch = feature_rows(stage(silver.typed(_bronze(spark, sf_dir)), "typed"), _load_time())
-    return comparable(upsert.upserted(_second_feed(spark, sf_dir), upsert.as_one_batch(batch)))
+    return _upserted(_second_feed(spark, sf_dir), upsert.as_one_batch(batch))
+
+
+def features_upsert_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches, one after the other: the silver rows, then corrections of the ones from FR and
+    payments of a new kind."""
+    rows = stage(_silver_batch(spark, sf_dir), "features")
+    foreign = rows.filter(F.col("country") == "FR")
+    corrected = foreign.withColumns({"amount": F.col("amount") * 2, "country": F.lit("DE")})
+    refunds = foreign.withColumn("transaction_id", F.concat(F.lit("REFUND-"), "transaction_id"))
+    return _upserted(_second_feed(spark, sf_dir), rows, corrected.unionByName(refunds))
+
+
+# Stores that increments go into.
+
+#: The second increment: the last days, and what a merchant has sent late.
+LATE = "event_time >= '2024-01-25' OR (merchant_id = 'MERCH-7' AND event_time >= '2024-01-10')"
+
+
+def _two_increments(spark: SparkSession, sf_dir: str) -> tuple[str, list[silver_store.Change]]:
+    """A silver store over the month's feed, taken in as two increments."""
+    month = fixtures.payments(spark, sf_dir, compress=False)
+    root = scratch_path(spark, "silver-store")
+    late = F.coalesce(F.expr(LATE), F.lit(False))
+    return root, [silver_store.update(spark, root, month.filter(part), 16) for part in (~late, late)]
+
+
+def silver_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root, _ = _two_increments(spark, sf_dir)
+    return comparable(silver_store.silver(spark, root).drop(silver_store.DAY))
+
+
+def device_counts_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root, _ = _two_increments(spark, sf_dir)
+    return silver_store.devices(spark, root)
 
 
 def compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -389,6 +435,9 @@ QUERIES: dict[str, Query] = {
     "features_map": features_map,
     "features_upsert": features_upsert,
     "features_upsert_repeats": features_upsert_repeats,
+    "features_upsert_batches": features_upsert_batches,
+    "silver_increments": silver_increments,
+    "device_counts_increments": device_counts_increments,
     "compaction": compacted,
     "mixed_source_union": mixed_source_union,
     "clean": clean,

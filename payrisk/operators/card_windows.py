@@ -14,6 +14,8 @@ The work is linear in a card's seconds after sorting, whatever the frame holds.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,8 +50,8 @@ def _run_edges(value: str, group: str, span: str | int) -> tuple[Column, Column]
     return edge(f"at_s - lag(at_s) {over}"), edge(f"lead(at_s) {over} - at_s")
 
 
-def _with_features(per_time: DataFrame, group: str, keep: list[str]) -> DataFrame:
-    """``keep`` and the features, from n, n_declined and the run edges ordered by at_s."""
+def _with_features(per_time: DataFrame, group: str, keep: list[str], wanted: list[str]) -> DataFrame:
+    """``keep`` and the wanted features, from the totals per second ordered by at_s."""
 
     def up_to(column: str, seconds_ago: int) -> str:
         end = f"{seconds_ago} PRECEDING" if seconds_ago else "CURRENT ROW"
@@ -58,29 +60,89 @@ def _with_features(per_time: DataFrame, group: str, keep: list[str]) -> DataFram
             f"RANGE BETWEEN UNBOUNDED PRECEDING AND {end}), 0L)"
         )
 
-    totals = per_time.selectExpr(
-        *keep,
-        f"{up_to('n', 0)} AS n_now",
-        f"{up_to('n', VELOCITY_S + 1)} AS n_before_5m",
-        f"{up_to('n', DECLINED_S + 1)} AS n_before_1h",
-        f"{up_to('n_declined', 0)} AS declined_now",
-        f"{up_to('n_declined', DECLINED_S + 1)} AS declined_before_1h",
-        f"{up_to('merchant_opens', 0)} AS merchants_opened",
-        f"{up_to('merchant_closes', MERCHANTS_S + 1)} AS merchants_over",
-        f"{up_to('country_opens', 0)} AS countries_opened",
-        f"{up_to('country_closes', COUNTRIES_S + 1)} AS countries_over",
-    )
-    return totals.selectExpr(
-        *keep,
-        "CAST(n_now - n_before_5m AS INT) AS tx_by_card_5m",
-        "CAST(merchants_opened - merchants_over AS INT) AS distinct_merchants_10m",
-        "CAST(countries_opened - countries_over AS INT) AS distinct_countries_1h",
-        "round((declined_now - declined_before_1h) / (n_now - n_before_1h), 4) AS declined_ratio_1h",
+    # Per feature its running totals, and how it comes from them.
+    needed = {
+        "tx_by_card_5m": (
+            {"n_now": up_to("n", 0), "n_before_5m": up_to("n", VELOCITY_S + 1)},
+            "CAST(n_now - n_before_5m AS INT)",
+        ),
+        "distinct_merchants_10m": (
+            {
+                "merchants_opened": up_to("merchant_opens", 0),
+                "merchants_over": up_to("merchant_closes", MERCHANTS_S + 1),
+            },
+            "CAST(merchants_opened - merchants_over AS INT)",
+        ),
+        "distinct_countries_1h": (
+            {
+                "countries_opened": up_to("country_opens", 0),
+                "countries_over": up_to("country_closes", COUNTRIES_S + 1),
+            },
+            "CAST(countries_opened - countries_over AS INT)",
+        ),
+        "declined_ratio_1h": (
+            {
+                "n_now": up_to("n", 0),
+                "n_before_1h": up_to("n", DECLINED_S + 1),
+                "declined_now": up_to("n_declined", 0),
+                "declined_before_1h": up_to("n_declined", DECLINED_S + 1),
+            },
+            "round((declined_now - declined_before_1h) / (n_now - n_before_1h), 4)",
+        ),
+    }
+    totals = {name: total for f in wanted for name, total in needed[f][0].items()}
+    summed = per_time.selectExpr(*keep, *(f"{total} AS {name}" for name, total in totals.items()))
+    return summed.selectExpr(*keep, *(f"{needed[f][1]} AS {f}" for f in wanted))
+
+
+def _per_second(rows: DataFrame, wanted: list[str], own_slice: Column, next_slice: Column) -> DataFrame:
+    """Totals of each card, day slice and second: payments, declines and run edges, as far as the
+    wanted features need them. Payments are only multiplied by the kinds of value that are."""
+    kinds = {
+        what: value
+        for feature, what, value in (
+            ("distinct_merchants_10m", "merchant", "merchant_id"),
+            ("distinct_countries_1h", "country", "country"),
+        )
+        if feature in wanted
+    }
+    counted = {"tx_by_card_5m", "declined_ratio_1h"} & set(wanted)
+    at = epoch_second(F.col("event_time")).alias("at_s")
+    slices = F.explode(F.array_distinct(F.array(own_slice, next_slice)))
+    counts = [F.count(F.lit(1)).alias("n"), F.sum("d").alias("n_declined")]
+    if not kinds:
+        narrow = rows.select("card_id", at, declined().alias("d"))
+        return narrow.groupBy("card_id", "at_s").agg(*counts).withColumn("slice", slices)
+
+    sightings = [
+        F.struct(F.lit(what).alias("what"), F.col(value).alias("value"))
+        for what, value in kinds.items()
+    ]
+    if counted:
+        nothing = F.lit(None).cast("string")
+        sightings.insert(0, F.struct(F.lit("all").alias("what"), nothing.alias("value")))
+    sighting = F.explode(F.array(*sightings)) if len(sightings) > 1 else sightings[0]
+    narrow = rows.select("card_id", at, sighting.alias("s"), declined().alias("d"))
+    per_value = (
+        narrow.select("card_id", "at_s", "s.what", "s.value", "d")
+        .groupBy("card_id", "what", "value", "at_s")
+        .agg(*counts)
+        .withColumn("slice", slices)
     )
+    span = f"if(what = 'merchant', {MERCHANTS_S}, {COUNTRIES_S})"
+    opens, closes = _run_edges("value", "card_id, slice, what", span)
+    edges = per_value.withColumns({"opens": opens, "closes": closes})
+
+    def total(column: str, what: str, name: str) -> Column:
+        return F.sum(F.when(F.col("what") == what, F.col(column)).otherwise(F.lit(0))).alias(name)
 
+    totals = [total(c, "all", c) for c in ("n", "n_declined") if counted]
+    totals += [total(c, what, f"{what}_{c}") for what in kinds for c in ("opens", "closes")]
+    return edges.groupBy("card_id", "slice", "at_s").agg(*totals)
 
-def card_features(rows: DataFrame) -> DataFrame:
-    """Add the card features to deduplicated payments.
+
+def card_features(rows: DataFrame, wanted: Sequence[str] = tuple(CARD_FEATURES)) -> DataFrame:
+    """Add the card features, or only the ``wanted`` ones, to deduplicated payments.
 
     The payments are first added up per card and second (and merchant or country), so what is left
     of a card is bounded by the seconds of the time span, not by its payments. These totals are cut
@@ -89,46 +151,17 @@ def card_features(rows: DataFrame) -> DataFrame:
     payments by card and second: that key is not the windows', so both sides of the join are plain
     shuffles, which AQE can split when one second of one card is itself hot.
     """
-    narrow = rows.select(
-        "card_id",
-        epoch_second(F.col("event_time")).alias("at_s"),
-        F.explode(
-            F.array(
-                F.struct(F.lit("all").alias("what"), F.lit(None).cast("string").alias("value")),
-                F.struct(F.lit("merchant").alias("what"), F.col("merchant_id").alias("value")),
-                F.struct(F.lit("country").alias("what"), F.col("country").alias("value")),
-            )
-        ).alias("s"),
-        declined().alias("d"),
-    ).select("card_id", "at_s", "s.what", "s.value", "d")
-
-    per_value = narrow.groupBy("card_id", "what", "value", "at_s").agg(
-        F.count(F.lit(1)).alias("rows"), F.sum("d").alias("declined")
-    )
+    wanted = [f for f in CARD_FEATURES if f in wanted] if set(wanted) <= set(CARD_FEATURES) else []
+    if not wanted:
+        raise ValueError(f"wanted must name some of {CARD_FEATURES}")
     own_slice = F.floor(F.col("at_s") / SLICE_S)
     next_slice = F.floor((F.col("at_s") + LONGEST_S) / SLICE_S)
-    sliced = per_value.withColumn("slice", F.explode(F.array_distinct(F.array(own_slice, next_slice))))
-
-    span = f"if(what = 'merchant', {MERCHANTS_S}, {COUNTRIES_S})"
-    opens, closes = _run_edges("value", "card_id, slice, what", span)
-    edges = sliced.withColumns({"opens": opens, "closes": closes})
-
-    def total(column: str, what: str) -> Column:
-        return F.sum(F.when(F.col("what") == what, F.col(column)).otherwise(F.lit(0)))
-
-    per_second = edges.groupBy("card_id", "slice", "at_s").agg(
-        total("rows", "all").alias("n"),
-        total("declined", "all").alias("n_declined"),
-        total("opens", "merchant").alias("merchant_opens"),
-        total("closes", "merchant").alias("merchant_closes"),
-        total("opens", "country").alias("country_opens"),
-        total("closes", "country").alias("country_closes"),
-    )
+    per_second = _per_second(rows, wanted, own_slice, next_slice)
     ready = (
-        _with_features(per_second, "card_id, slice", ["card_id", "at_s", "slice"])
+        _with_features(per_second, "card_id, slice", ["card_id", "at_s", "slice"], wanted)
         .filter(F.col("slice") == own_slice)
-        .select(F.col("card_id").alias("key_card"), F.col("at_s").alias("key_at"), *CARD_FEATURES)
+        .select(F.col("card_id").alias("key_card"), F.col("at_s").alias("key_at"), *wanted)
     )
     at = epoch_second(F.col("event_time"))
     match = F.col("card_id").eqNullSafe(F.col("key_card")) & (at == F.col("key_at"))
-    return rows.join(ready, match, "left").select(*rows.columns, *CARD_FEATURES)
+    return rows.join(ready, match, "left").select(*rows.columns, *wanted)

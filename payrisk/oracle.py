@@ -222,6 +222,14 @@ reach AS (
   SELECT r.node, s.y FROM reach r JOIN step s ON r.other = s.x)"""
 )
 
+UPSERT = """SELECT * FROM batch WHERE transaction_id NOT IN (SELECT transaction_id FROM loaded)
+UNION ALL
+SELECT l.transaction_id, l.user_id,
+  CASE WHEN n.transaction_id IS NULL THEN l.amount ELSE n.amount END, l.is_fraud, l.risk_score,
+  l.event_us, CASE WHEN n.transaction_id IS NULL THEN l.country ELSE n.country END,
+  l.device_type, l.ingestion_us
+FROM loaded l LEFT JOIN batch n ON n.transaction_id = l.transaction_id"""
+
 ORACLE: dict[str, str] = {
     "bronze_parse": BRONZE,
     "stream_bronze": BRONZE,
@@ -281,23 +289,26 @@ WHERE event_us >= epoch_us(TIMESTAMP '2024-01-01 01:00:00')
     "features_map": _with(SILVER + BATCH, "SELECT * FROM batch"),
     "features_upsert": _with(
         SILVER + BATCH + LOADED,
-        """SELECT * FROM batch WHERE transaction_id NOT IN (SELECT transaction_id FROM loaded)
-UNION ALL
-SELECT l.transaction_id, l.user_id,
-  CASE WHEN n.transaction_id IS NULL THEN l.amount ELSE n.amount END, l.is_fraud, l.risk_score,
-  l.event_us, CASE WHEN n.transaction_id IS NULL THEN l.country ELSE n.country END,
-  l.device_type, l.ingestion_us
-FROM loaded l LEFT JOIN batch n ON n.transaction_id = l.transaction_id""",
+        UPSERT,
     ),
     "features_upsert_repeats": _with(
         FEED + REPEATS + LOADED,
-        """SELECT * FROM batch WHERE transaction_id NOT IN (SELECT transaction_id FROM loaded)
+        UPSERT,
+    ),
+    "features_upsert_batches": _with(
+        SILVER + BATCH + LOADED + f", merged AS ({UPSERT})",
+        """SELECT transaction_id, user_id,
+  CASE WHEN again THEN new_amount * 2 ELSE amount END AS amount, is_fraud, risk_score, event_us,
+  CASE WHEN again THEN 'DE' ELSE country END AS country, device_type, ingestion_us
+FROM (SELECT m.*, n.transaction_id IS NOT NULL AS again, n.amount AS new_amount
+      FROM merged m LEFT JOIN batch n ON n.transaction_id = m.transaction_id AND n.country = 'FR')
 UNION ALL
-SELECT l.transaction_id, l.user_id,
-  CASE WHEN n.transaction_id IS NULL THEN l.amount ELSE n.amount END, l.is_fraud, l.risk_score,
-  l.event_us, CASE WHEN n.transaction_id IS NULL THEN l.country ELSE n.country END,
-  l.device_type, l.ingestion_us
-FROM loaded l LEFT JOIN batch n ON n.transaction_id = l.transaction_id""",
+SELECT * REPLACE ('REFUND-' || transaction_id AS transaction_id) FROM batch WHERE country = 'FR'""",
+    ),
+    "silver_increments": _with(MONTH_FEED + FEATURES_CTE, "SELECT * FROM silver"),
+    "device_counts_increments": _with(
+        MONTH_FEED,
+        "SELECT device_id, count(DISTINCT card_id) AS n_cards FROM typed GROUP BY device_id",
     ),
     "csv_round_trip": _with(
         BASE,

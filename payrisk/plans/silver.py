@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from payrisk.functions.values import event_instant
-from payrisk.operators.card_windows import card_features
+from payrisk.operators.card_windows import CARD_FEATURES, card_features
 from payrisk.operators.dedup import first_per_key
 from payrisk.operators.device_sharing import with_cards_per_device
 from payrisk.schemas import EVENT_COLUMNS, SILVER_COLUMNS
@@ -32,9 +34,9 @@ def stored(bronze: DataFrame) -> DataFrame:
     return stage(deduplicated(bronze), "deduplicated")
 
 
-def card_behaviour(bronze: DataFrame) -> DataFrame:
-    """Deduplicated payments with the four card features only."""
-    return card_features(stored(bronze))
+def card_behaviour(bronze: DataFrame, wanted: Sequence[str] = tuple(CARD_FEATURES)) -> DataFrame:
+    """Deduplicated payments with card features only; the work is that of the ``wanted`` ones."""
+    return card_features(stored(bronze), wanted)
 
 
 def silver(bronze: DataFrame) -> DataFrame:

@@ -7,10 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from payrisk.session import stage
+from payrisk.sinks import partitions
+
 # Key and updated columns of the feature table.
 FEATURE_KEY = "transaction_id"
 FEATURE_UPDATES = ["amount", "country"]
 
+#: Buckets of a new bucketed table; about its bytes / 512 MB.
+BUCKETS = 64
+
 
 def as_one_batch(
     source: DataFrame,
@@ -68,6 +74,50 @@ def write_upsert(
     return spark.read.schema(result.schema).parquet(new_path)
 
 
+def create_buckets(rows: DataFrame, path: str, key: str = FEATURE_KEY, buckets: int = BUCKETS) -> None:
+    """Write a table for ``upsert_buckets``: a partition per hash bucket of the key."""
+    name = partitions.bucket_name(buckets)
+    partitions.create(rows.withColumn(name, partitions.bucket_of([key], buckets)), path, name)
+
+
+def read_buckets(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a bucketed table, without its partition column."""
+    table = partitions.read(spark, path)
+    return table.drop(partitions.bucket_name(partitions.buckets_of(table)))
+
+
+def upsert_buckets(
+    spark: SparkSession,
+    path: str,
+    source: DataFrame,
+    key: str = FEATURE_KEY,
+    update_columns: Sequence[str] = tuple(FEATURE_UPDATES),
+) -> list[int]:
+    """Upsert ``source`` (unique keys) in place into a bucketed table; returns the buckets touched.
+
+    Only the buckets that the batch's keys fall into are read, joined and replaced. The batch is
+    stored first: its buckets are a short list, and it is read again by the join.
+    """
+    table = partitions.read(spark, path)
+    buckets = partitions.buckets_of(table)
+    name = partitions.bucket_name(buckets)
+    batch = stage(source.withColumn(name, partitions.bucket_of([key], buckets)), "batch")
+    touched = partitions.values_in(batch, name)
+    if not touched:
+        return []
+    target = touched_rows(spark, path, touched).select(*source.columns)
+    result = upserted(target, batch.drop(name), key, update_columns)
+    result = result.withColumn(name, partitions.bucket_of([key], buckets))
+    partitions.replace(result, path, name, touched)
+    return touched
+
+
+def touched_rows(spark: SparkSession, path: str, touched: Sequence[int]) -> DataFrame:
+    """The rows of some buckets of a table; the scan lists and reads no others."""
+    name = partitions.bucket_name(partitions.buckets_of(partitions.read(spark, path)))
+    return partitions.read(spark, path, name, touched)
+
+
 def merge_statement(
     target: str,
     source: str,

