@@ -25,10 +25,10 @@ from payrisk.plans.silver import silver  # noqa: E402
 from payrisk.schemas import GOLD_COLUMNS, REPORT  # noqa: E402
 from payrisk.session import build_session, release_stages, stage  # noqa: E402
 from payrisk.sinks import compaction, exports, tables, upsert  # noqa: E402
+from payrisk.sources.jdbc import read_ranges  # noqa: E402
 from payrisk.sources.tables import (  # noqa: E402
     external_csv_table,
     read_csv,
-    read_jdbc,
     read_table,
     require_rows,
 )
@@ -129,11 +129,14 @@ def insights(
     path: str,
     features_url: str = "",
     unique: str = "yes",
+    features_column: str = "transaction_id",
+    connections: str = "16",
 ) -> None:
     """Relations and feature table to the insights report. With features_url, features_path names a
-    database table. Give unique no if ids repeat in either."""
+    database table, which is read over ranges of features_column, at most that many connections at
+    a time. Give unique no if ids repeat in either."""
     if features_url:
-        known = read_jdbc(spark, features_url, features_path)
+        known = read_ranges(spark, features_url, features_path, features_column, int(connections))
     else:
         known = spark.read.parquet(features_path)
     known = require_rows(known, features_path)
