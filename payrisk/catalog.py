@@ -11,16 +11,17 @@ from pyspark.sql import types as T
 
 from payrisk import fixtures
 from payrisk.functions.rules import scored
+from payrisk.operators import component_store
 from payrisk.operators.card_windows import CARD_FEATURES
 from payrisk.operators.cleaning import clean_payments
 from payrisk.operators.device_sharing import with_cards_per_device
-from payrisk.operators.fusion import suspicious
-from payrisk.plans import gold, graph, reports, silver, silver_store, textset
+from payrisk.operators.fusion import fuse, suspicious
+from payrisk.plans import dashboard_store, gold, graph, reports, silver, silver_store, textset
 from payrisk.plans.features import feature_rows
-from payrisk.plans.insights import fused_payments, insights_report
+from payrisk.plans.insights import fused_payments, insights_report, store_sides
 from payrisk.schemas import EVENT, EVENT_COLUMNS, REPORT
 from payrisk.session import scratch_path, stage
-from payrisk.sinks import compaction, exports, tables, upsert
+from payrisk.sinks import compaction, exports, partitions, tables, upsert
 from payrisk.sources.tables import external_csv_table, read_csv, read_mixed
 from payrisk.streaming.ingest import message_stream, parse_events, start_bronze
 
@@ -86,12 +87,17 @@ def _stored_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage(_relations(spark, sf_dir), "relations")
 
 
-def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stored insights report, as the jobs hand it on."""
+def _report_path(spark: SparkSession, sf_dir: str) -> str:
+    """Where the insights report has been written."""
     relations = _relations(spark, sf_dir, keep_reasons=True)
     path = scratch_path(spark, "insights")
     tables.write_csv(insights_report(relations, _second_feed(spark, sf_dir)), path)
-    return read_csv(spark, path, REPORT)
+    return path
+
+
+def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored insights report, as the jobs hand it on."""
+    return read_csv(spark, _report_path(spark, sf_dir), REPORT)
 
 
 # Ingest.
@@ -184,8 +190,11 @@ def recompute_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def time_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _relations(spark, sf_dir)
-    return comparable(gold.time_slice(rows, "2024-01-01 01:00:00", "2024-01-01 03:00:00"))
+    """Of relations that are stored by day, as the jobs store them."""
+    path = scratch_path(spark, "relations-by-day")
+    partitions.create(gold.with_day(_relations(spark, sf_dir)), path, gold.EVENT_DAY)
+    rows = gold.time_slice(spark.read.parquet(path), "2024-01-01 01:00:00", "2024-01-01 03:00:00")
+    return comparable(rows.drop(gold.EVENT_DAY))
 
 
 # Exports, feature table, compaction.
@@ -278,12 +287,65 @@ def device_counts_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver_store.devices(spark, root)
 
 
+def _dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored partials that have followed the silver store over both increments."""
+    month = fixtures.payments(spark, sf_dir, compress=False)
+    root, path = scratch_path(spark, "silver-store"), scratch_path(spark, "dashboard")
+    late = F.coalesce(F.expr(LATE), F.lit(False))
+    for part in (~late, late):
+        change = silver_store.update(spark, root, month.filter(part), 16)
+        dashboard_store.follow(spark, path, root, change)
+    return dashboard_store.read(spark, path)
+
+
+def totals_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dashboard_store.totals(_dashboard(spark, sf_dir))
+
+
+def timeline_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = dashboard_store.timeline(_dashboard(spark, sf_dir))
+    return rows.withColumn("bucket_start", F.unix_micros("bucket_start"))
+
+
+def _top_increments(kind: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = dashboard_store.top_risk(_dashboard(spark, sf_dir), kind)
+        return comparable(_rounded(rows, mean_score=9))
+
+    return query
+
+
+def _activity_increments(kind: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = dashboard_store.activity(_dashboard(spark, sf_dir), kind)
+        return comparable(_rounded(rows, monto_promedio=9))
+
+    return query
+
+
+def components_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters over the alerts of the morning, then those of the rest of the day."""
+    rows, path = _stored_relations(spark, sf_dir), scratch_path(spark, "clusters")
+    morning = F.hour("event_time") < 6
+    for part in (morning, ~morning):
+        component_store.add_links(spark, path, graph.alert_links(rows.filter(part)), 16)
+    return component_store.read(spark, path)
+
+
 def compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_files = scratch_path(spark, "small-files")
     _relations(spark, sf_dir).repartition(40).write.parquet(small_files)
     return comparable(compaction.compact(spark, small_files, scratch_path(spark, "compacted")))
 
 
+def compacted_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Small files below partition folders become files of about the target size."""
+    path = scratch_path(spark, "small-files-by-country")
+    _relations(spark, sf_dir).repartition(8).write.partitionBy("country").parquet(path)
+    compaction.compact_small_files(spark, path, 8 << 20)
+    return comparable(spark.read.parquet(path))
+
+
 # Mixed sources, cleaning, fusion, report.
 
 
@@ -302,7 +364,13 @@ def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fused_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(fused_payments(_relations(spark, sf_dir), _second_feed(spark, sf_dir)))
+    """Over two tables in the same buckets, as the jobs store them."""
+    names = tuple(f"payrisk_{side}_{uuid.uuid4().hex}" for side in ("gold", "features"))
+    sides = store_sides(_relations(spark, sf_dir), _second_feed(spark, sf_dir), names, 8)
+    fused = stage(fuse(*sides), "fused")
+    for name in names:
+        tables.drop_table(spark, name)
+    return comparable(fused)
 
 
 def suspicious_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -346,8 +414,7 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def high_risk_top50(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "report")
-    tables.write_csv(_report(spark, sf_dir), path)
+    path = _report_path(spark, sf_dir)
     name = f"payrisk_report_{uuid.uuid4().hex}"
     # The rows are kept, the catalog entry is not: the files below it stay until the session ends.
     found = stage(reports.high_risk(external_csv_table(spark, name, path, REPORT)), "high-risk")
@@ -438,7 +505,15 @@ QUERIES: dict[str, Query] = {
     "features_upsert_batches": features_upsert_batches,
     "silver_increments": silver_increments,
     "device_counts_increments": device_counts_increments,
+    "totals_increments": totals_increments,
+    "timeline_increments": timeline_increments,
+    "top_merchants_increments": _top_increments("merchant"),
+    "top_cards_increments": _top_increments("card"),
+    "card_activity_increments": _activity_increments("card"),
+    "customer_activity_increments": _activity_increments("customer"),
+    "components_increments": components_increments,
     "compaction": compacted,
+    "compaction_in_place": compacted_in_place,
     "mixed_source_union": mixed_source_union,
     "clean": clean,
     "fused_join": fused_join,

@@ -18,13 +18,14 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from payrisk.functions.rules import ALERT_SCORE  # noqa: E402
-from payrisk.plans import gold, graph, reports, textset  # noqa: E402
+from payrisk.plans import gold, graph, reports, silver_store, textset  # noqa: E402
 from payrisk.plans.features import feature_rows  # noqa: E402
-from payrisk.plans.insights import insights_report  # noqa: E402
+from payrisk.operators.fusion import fuse, suspicious  # noqa: E402
+from payrisk.plans.insights import as_report, insights_report, store_sides  # noqa: E402
 from payrisk.plans.silver import silver  # noqa: E402
 from payrisk.schemas import GOLD_COLUMNS, REPORT  # noqa: E402
 from payrisk.session import build_session, release_stages, stage  # noqa: E402
-from payrisk.sinks import compaction, exports, tables, upsert  # noqa: E402
+from payrisk.sinks import compaction, exports, partitions, tables, upsert  # noqa: E402
 from payrisk.sources.jdbc import read_ranges  # noqa: E402
 from payrisk.sources.tables import (  # noqa: E402
     external_csv_table,
@@ -43,6 +44,11 @@ def _source(spark: SparkSession, name: str) -> DataFrame:
     return require_rows(read_table(spark, name), name)
 
 
+def _payments(spark: SparkSession, name: str) -> DataFrame:
+    """Rows for other systems, without the column that only partitions the stored table."""
+    return _source(spark, name).drop(gold.EVENT_DAY)
+
+
 def bronze(
     spark: SparkSession,
     servers: str,
@@ -73,27 +79,31 @@ def gold_tables(
     alerts: str,
     provider: str = "parquet",
     keep_reasons: str = "no",
+    by_day: str = "yes",
 ) -> None:
     """Silver table to relations and alerts, with the list of reasons if keep_reasons is yes.
-    Alerts are filtered out of the stored relations."""
+    Alerts are filtered out of the stored relations. With by_day, relations are partitioned by the
+    day of the event time, which time ranges prune by."""
     rows = gold.relations(_source(spark, source), _yes(keep_reasons))
     rows, seen = tables.counted(rows, "relations")
-    scored = tables.replace_table(rows, relations, provider)
+    days = [gold.EVENT_DAY] if _yes(by_day) else []
+    scored = tables.replace_table(gold.with_day(rows) if days else rows, relations, provider, days)
     print(f"{relations}: {seen.get['rows']} rows")
-    tables.replace_table(scored.filter(F.col("risk_score") >= ALERT_SCORE), alerts, provider)
+    found = scored.filter(F.col("risk_score") >= ALERT_SCORE).drop(gold.EVENT_DAY)
+    tables.replace_table(found, alerts, provider)
 
 
 def publish(spark: SparkSession, source: str, servers: str, topic: str) -> None:
     """A table as JSON messages to a topic, keyed by payment."""
     options = {"kafka.bootstrap.servers": servers, "topic": topic}
-    tables.publish(_source(spark, source), "kafka", **options)
+    tables.publish(_payments(spark, source), "kafka", **options)
 
 
 def export(
     spark: SparkSession, source: str, path: str, granularity: str = "day", provider: str = "json"
 ) -> None:
     """A table to time-partitioned files."""
-    exports.export_by_time(_source(spark, source), path, granularity, provider)
+    exports.export_by_time(_payments(spark, source), path, granularity, provider)
 
 
 def features(spark: SparkSession, source: str, new_path: str, target_path: str = "") -> None:
@@ -105,6 +115,23 @@ def features(spark: SparkSession, source: str, new_path: str, target_path: str =
         rows.write.parquet(new_path)
 
 
+def features_buckets(spark: SparkSession, source: str, path: str, buckets: str = "64") -> None:
+    """Silver table upserted in place into a feature table in hash buckets, which the first run
+    makes; only the buckets of the batch's keys are read and rewritten."""
+    rows = upsert.as_one_batch(feature_rows(_source(spark, source)))
+    if partitions.exists(spark, path):
+        touched = upsert.upsert_buckets(spark, path, rows)
+        print(f"{path}: {len(touched)} buckets replaced")
+    else:
+        upsert.create_buckets(rows, path, buckets=int(buckets))
+
+
+def silver_increment(spark: SparkSession, source: str, root: str) -> None:
+    """New bronze rows into a silver store; only the days that they reach are recomputed."""
+    change = silver_store.update(spark, root, _source(spark, source))
+    print(f"{root}: {len(change.days)} days replaced")
+
+
 def features_merge(spark: SparkSession, source: str, target: str) -> None:
     """The same into a catalog table that supports MERGE."""
     rows = upsert.as_one_batch(feature_rows(_source(spark, source)))
@@ -122,6 +149,23 @@ def features_jdbc(
     print(upsert.mysql_upsert_statement(target, staging, rows.columns))
 
 
+def fusion_tables(
+    spark: SparkSession,
+    relations: str,
+    features_path: str,
+    cleaned: str,
+    features: str,
+    buckets: str = "256",
+    unique: str = "yes",
+) -> None:
+    """Relations and the feature table, cleaned, as two tables in the same buckets of the payment
+    id: reports over them join without a shuffle. As many buckets as either side has 512 MB."""
+    known = require_rows(upsert.read_stored(spark, features_path), features_path)
+    rows = _source(spark, relations)
+    rows = rows.select(*GOLD_COLUMNS, *(c for c in ("reasons",) if c in rows.columns))
+    store_sides(rows, known, (cleaned, features), int(buckets), _yes(unique))
+
+
 def insights(
     spark: SparkSession,
     relations: str,
@@ -131,14 +175,22 @@ def insights(
     unique: str = "yes",
     features_column: str = "transaction_id",
     connections: str = "16",
+    fused: str = "no",
 ) -> None:
-    """Relations and feature table to the insights report. With features_url, features_path names a
+    """Relations and feature table to the insights report. With fused, both are tables that
+    fusion-tables has made. With features_url, features_path names a
     database table, which is read over ranges of features_column, at most that many connections at
     a time. Give unique no if ids repeat in either."""
+    if _yes(fused):
+        sides = _source(spark, relations), _source(spark, features_path)
+        report, seen = tables.counted(as_report(suspicious(fuse(*sides))), "insights")
+        tables.write_csv(report, path)
+        print(f"{path}: {seen.get['rows']} rows")
+        return
     if features_url:
         known = read_ranges(spark, features_url, features_path, features_column, int(connections))
     else:
-        known = spark.read.parquet(features_path)
+        known = upsert.read_stored(spark, features_path)
     known = require_rows(known, features_path)
     rows = _source(spark, relations)
     rows = rows.select(*GOLD_COLUMNS, *(c for c in ("reasons",) if c in rows.columns))
@@ -181,6 +233,12 @@ def compact(
     compaction.compact(spark, source_path, new_path, partition_columns=columns)
 
 
+def compact_small(spark: SparkSession, path: str, target_mb: str = "256") -> None:
+    """Merge the small files of a Parquet table in place; large files are left alone."""
+    placed = compaction.compact_small_files(spark, path, int(target_mb) << 20)
+    print(f"{path}: {placed} new files")
+
+
 def compact_table(spark: SparkSession, catalog: str, table: str) -> None:
     """Compact a catalog table in place, where the catalog can."""
     spark.sql(compaction.rewrite_statement(catalog, table))
@@ -215,9 +273,9 @@ def train(spark: SparkSession, report_path: str, dataset_path: str, model_path:
 JOBS = {
     f.__name__.replace("_", "-"): f
     for f in (
-        bronze, silver_table, gold_tables, publish, export, features, features_merge,
-        features_jdbc, insights, report_queries, dashboard, compact, compact_table,
-        graph_export, train,
+        bronze, silver_table, silver_increment, gold_tables, publish, export, features,
+        features_buckets, features_merge, features_jdbc, fusion_tables, insights, report_queries,
+        dashboard, compact, compact_small, compact_table, graph_export, train,
     )
 }
 

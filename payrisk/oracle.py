@@ -165,22 +165,22 @@ def _with(ctes: str, body: str, recursive: bool = False) -> str:
     return f"WITH {'RECURSIVE ' if recursive else ''}{ctes.strip()}\n{body.strip()}"
 
 
-def _activity(key: str) -> str:
+def _activity(key: str, ctes: str = FUSED, source: str = "suspicious") -> str:
     return _with(
-        FUSED,
+        ctes,
         f"""SELECT {key}, count(payment_id) AS total_transacciones,
   round(avg(amount), 9) AS monto_promedio,
   CAST(sum(CASE WHEN status = 'declined' THEN 1 ELSE 0 END) AS BIGINT) AS alertas_confirmadas,
   max(puntuacion_riesgo) AS max_puntuacion
-FROM suspicious GROUP BY {key}
+FROM {source} GROUP BY {key}
 HAVING count(payment_id) > 1 OR max(puntuacion_riesgo) > 10
 ORDER BY alertas_confirmadas DESC, total_transacciones DESC, {key}""",
     )
 
 
-def _top_risk(key: str) -> str:
+def _top_risk(key: str, ctes: str = RELATIONS) -> str:
     return _with(
-        RELATIONS,
+        ctes,
         f"""SELECT {key}, count(*) FILTER (WHERE risk_score >= 20) AS alerts,
   round(avg(risk_score), 9) AS mean_score, max(risk_score) AS max_score, count(*) AS transactions
 FROM relations GROUP BY {key} ORDER BY alerts DESC, avg(risk_score) DESC, {key} LIMIT 10""",
@@ -194,8 +194,17 @@ def _export(ctes: str, source: str, parts: dict[str, str]) -> str:
 
 DAY_PARTS = {"year": "%Y", "month": "%m", "day": "%d"}
 MINUTE_PARTS = {**DAY_PARTS, "hour": "%H", "minute": "%M"}
+TOTALS = """SELECT count(*) AS transactions, count(*) FILTER (WHERE risk_score >= 20) AS alerts
+FROM relations"""
+TIMELINE = """SELECT event_us // 3600000000 * 3600000000 AS bucket_start, count(*) AS transactions,
+  count(*) FILTER (WHERE risk_score >= 20) AS alerts,
+  count(*) FILTER (WHERE status = 'declined') AS declined
+FROM relations GROUP BY 1 ORDER BY 1"""
 MONTH_FEED = BASE + "," + _payments("feed", "us") + "," + _first("typed", "feed")
 
+MONTH_RELATIONS = MONTH_FEED + RELATIONS.removeprefix(TYPED)
+MONTH_SCORED = MONTH_RELATIONS + ", scored AS (SELECT *, risk_score AS puntuacion_riesgo FROM relations)"
+
 RULE_LIST = "replace(reasons_text, ', ', '|')"
 BRONZE = _with(
     FEED, f"SELECT strftime(make_timestamp(event_us), {ISO}) AS event_time, {EVENT} FROM feed"
@@ -222,6 +231,9 @@ reach AS (
   SELECT r.node, s.y FROM reach r JOIN step s ON r.other = s.x)"""
 )
 
+CLUSTERS = _with(
+    COMPONENTS, "SELECT node, min(other) AS component FROM reach GROUP BY node", recursive=True
+)
 UPSERT = """SELECT * FROM batch WHERE transaction_id NOT IN (SELECT transaction_id FROM loaded)
 UNION ALL
 SELECT l.transaction_id, l.user_id,
@@ -332,6 +344,7 @@ SELECT * REPLACE ('REFUND-' || transaction_id AS transaction_id) FROM batch WHER
 FROM (SELECT *, CASE WHEN event_type = 'error' THEN ' Declined ' ELSE 'APPROVED' END AS s FROM b)""",
     ),
     "compaction": _with(RELATIONS, "SELECT * FROM relations"),
+    "compaction_in_place": _with(RELATIONS, "SELECT * FROM relations"),
     "mixed_source_union": _with(
         FEED,
         f"""SELECT strftime(make_timestamp(event_us), {ISO}) AS event_time, payment_id, customer_id,
@@ -365,18 +378,14 @@ ORDER BY amount DESC, puntuacion_riesgo DESC, payment_id LIMIT 50""",
     / count(payment_id) * 100, 2) AS tasa_fraude_pct
 FROM suspicious GROUP BY country ORDER BY capital_en_riesgo DESC, tasa_fraude_pct DESC, country""",
     ),
-    "dashboard_totals": _with(
-        RELATIONS,
-        """SELECT count(*) AS transactions, count(*) FILTER (WHERE risk_score >= 20) AS alerts
-FROM relations""",
-    ),
-    "alerts_timeline": _with(
-        RELATIONS,
-        """SELECT event_us // 3600000000 * 3600000000 AS bucket_start, count(*) AS transactions,
-  count(*) FILTER (WHERE risk_score >= 20) AS alerts,
-  count(*) FILTER (WHERE status = 'declined') AS declined
-FROM relations GROUP BY 1 ORDER BY 1""",
-    ),
+    "dashboard_totals": _with(RELATIONS, TOTALS),
+    "alerts_timeline": _with(RELATIONS, TIMELINE),
+    "totals_increments": _with(MONTH_RELATIONS, TOTALS),
+    "timeline_increments": _with(MONTH_RELATIONS, TIMELINE),
+    "top_merchants_increments": _top_risk("merchant_id", MONTH_RELATIONS),
+    "top_cards_increments": _top_risk("card_id", MONTH_RELATIONS),
+    "card_activity_increments": _activity("card_id", MONTH_SCORED, "scored"),
+    "customer_activity_increments": _activity("customer_id", MONTH_SCORED, "scored"),
     "top_risk_merchants": _top_risk("merchant_id"),
     "top_risk_cards": _top_risk("card_id"),
     "graph_nodes": _with(
@@ -413,9 +422,8 @@ GROUP BY card_id HAVING count(DISTINCT country) >= 2""",
   FROM relations WHERE risk_score >= 20 GROUP BY merchant_id)
 WHERE n_entities >= 2""",
     ),
-    "anomaly_components": _with(
-        COMPONENTS, "SELECT node, min(other) AS component FROM reach GROUP BY node", recursive=True
-    ),
+    "anomaly_components": CLUSTERS,
+    "components_increments": CLUSTERS,
     "nlp_dataset": _with(
         FUSED, f"SELECT payment_id, {TEXT} AS text, {LABEL} AS label FROM suspicious"
     ),

@@ -30,9 +30,21 @@ def score_or_zero(score: Column) -> Column:
     return F.coalesce(score, F.lit(0))
 
 
+#: Partition column of stored relations: the day of the event time.
+EVENT_DAY = "event_day"
+
+
+def with_day(df: DataFrame, column: str = "event_time") -> DataFrame:
+    """``df`` with the column that stored relations are partitioned by."""
+    return df.withColumn(EVENT_DAY, F.to_date(column))
+
+
 def time_slice(df: DataFrame, start: str, end: str, column: str = "event_time") -> DataFrame:
-    """Rows with start <= time < end; the bounds are literals, so they reach the scan."""
+    """Rows with start <= time < end. The bounds are literals, so they reach the scan; of a table
+    that is partitioned by day only the days from start to end are listed."""
     moment = F.col(column)
-    return df.filter(
-        (moment >= F.lit(start).cast("timestamp")) & (moment < F.lit(end).cast("timestamp"))
-    )
+    low, high = F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")
+    rows = df.filter((moment >= low) & (moment < high))
+    if EVENT_DAY in df.columns:
+        rows = rows.filter(F.col(EVENT_DAY).between(F.to_date(low), F.to_date(high)))
+    return rows

@@ -110,9 +110,9 @@ def suspicious_merchants(relations: DataFrame, at_least: int = 2) -> DataFrame:
     )
 
 
-def anomaly_components(relations: DataFrame) -> DataFrame:
-    """(node, component): clusters of cards and devices that share alerts."""
-    pairs = (
+def alert_links(relations: DataFrame) -> DataFrame:
+    """(a, b): card and device of each alert, once."""
+    return (
         relations.filter(F.col("risk_score") >= ALERT_SCORE)
         .select(
             F.concat(F.lit("card:"), "card_id").alias("a"),
@@ -121,4 +121,8 @@ def anomaly_components(relations: DataFrame) -> DataFrame:
         .filter("a IS NOT NULL AND b IS NOT NULL")
         .distinct()
     )
-    return connected_components(pairs)
+
+
+def anomaly_components(relations: DataFrame) -> DataFrame:
+    """(node, component): clusters of cards and devices that share alerts."""
+    return connected_components(alert_links(relations))

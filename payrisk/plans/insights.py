@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from payrisk.operators.cleaning import clean_features, clean_payments
 from payrisk.operators.fusion import fuse, suspicious
 from payrisk.schemas import REPORT
+from payrisk.sinks.tables import save_bucketed
 
 
 def with_native_score(gold: DataFrame) -> DataFrame:
@@ -26,6 +27,17 @@ def fused_payments(gold: DataFrame, features: DataFrame, unique: bool = True) ->
     )
 
 
+def store_sides(
+    gold: DataFrame, features: DataFrame, names: tuple[str, str], buckets: int, unique: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """Both cleaned sides of the fusion as tables in the same buckets of the payment id. Reports
+    that fuse them later move no row."""
+    return (
+        save_bucketed(clean_payments(with_native_score(gold), unique=unique), names[0], "payment_id", buckets),
+        save_bucketed(clean_features(features, unique=unique), names[1], "payment_id", buckets),
+    )
+
+
 def as_report(rows: DataFrame) -> DataFrame:
     """The 21 report columns in their declared order and types; absent ones are null."""
     time_text = F.date_format("event_time", "yyyy-MM-dd HH:mm:ss.SSSSSS")

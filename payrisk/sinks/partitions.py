@@ -30,6 +30,10 @@ def bucket_of(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
+def is_bucket(column: str) -> bool:
+    return _BUCKET.fullmatch(column) is not None
+
+
 def buckets_of(table: DataFrame) -> int:
     """The number of buckets of a stored table."""
     found = [m for m in map(_BUCKET.fullmatch, table.columns) if m]

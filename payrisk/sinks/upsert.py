@@ -86,6 +86,12 @@ def read_buckets(spark: SparkSession, path: str) -> DataFrame:
     return table.drop(partitions.bucket_name(partitions.buckets_of(table)))
 
 
+def read_stored(spark: SparkSession, path: str) -> DataFrame:
+    """A feature table on Parquet, in buckets or not."""
+    table = spark.read.parquet(path)
+    return table.select(*[c for c in table.columns if not partitions.is_bucket(c)])
+
+
 def upsert_buckets(
     spark: SparkSession,
     path: str,

@@ -11,7 +11,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from payrisk.operators.device_sharing import cards_per_device
-from payrisk.plans import silver, silver_store
+from payrisk.operators import component_store
+from payrisk.plans import dashboard_store, gold, reports, silver, silver_store
 from payrisk.plans.features import feature_rows
 from payrisk.session import setting
 from payrisk.sinks import aggregates, partitions, upsert
@@ -205,3 +206,119 @@ def test_an_increment_reads_ids_and_reached_days_only(spark, event, tmp_path):
     with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
         ids = plan_of(partitions.read(spark, f"{root}/rows").select("payment_id", "day"))
     assert "ReadSchema: struct<payment_id:string>" in ids
+
+
+# Dashboards from partials.
+
+
+def test_dashboards_follow_the_store(spark, event, tmp_path):
+    """Partials after three increments are those of everything at once, also on days that only a
+    device's new cards have changed."""
+    root, path = str(tmp_path / "store"), str(tmp_path / "partials")
+    feed = _feed(9, 120)
+    # A device that goes over the rule's four cards on the last day, and was used on the first.
+    quiet = [
+        {"payment_id": f"q{i}", "event_time": f"2024-01-{10 + 5 * (i > 2)}T12:0{i}:00", "card_id": f"q{i}", "device_id": "Q"}
+        for i in range(4)
+    ]
+    days = []
+    for part in (feed[:80] + quiet[:3], feed[80:], quiet[3:]):
+        days.append(dashboard_store.follow(spark, path, root, update(spark, root, event(*part))))
+    assert len(days[2]) == 2  # the payment's day, and the day of its device
+    relations = gold.relations(silver.silver(event(*feed, *quiet)))
+    stored = dashboard_store.read(spark, path)
+    assert same(stored.select(sorted(stored.columns)), whole_partials(relations, stored))
+    assert same(dashboard_store.totals(stored), reports.totals(relations))
+    assert same(dashboard_store.timeline(stored), reports.timeline(relations))
+    assert same(dashboard_store.timeline(stored, "1 day"), reports.timeline(relations, "1 day"))
+    for kind, column in (("merchant", "merchant_id"), ("card", "card_id")):
+        top = dashboard_store.top_risk(stored, kind)
+        assert top.collect() == reports.top_risk(relations, column).collect()
+    scored = relations.withColumn("puntuacion_riesgo", F.col("risk_score"))
+    assert same(dashboard_store.activity(stored, "card"), reports.activity(scored, "card_id"))
+
+
+def whole_partials(relations, like):
+    return dashboard_store.partials(relations).select(sorted(like.columns))
+
+
+def test_days_without_change_keep_their_partials(spark, event, tmp_path):
+    root, path = str(tmp_path / "store"), tmp_path / "partials"
+    first = [{"payment_id": f"{d}", "event_time": f"2024-01-0{d}T12:00:00", "device_id": f"D{d}"} for d in range(1, 5)]
+    dashboard_store.follow(spark, str(path), root, update(spark, root, event(*first)))
+    before = files(path)
+    change = update(spark, root, event({"payment_id": "n", "event_time": "2024-01-03T12:30:00", "device_id": "N"}))
+    assert dashboard_store.follow(spark, str(path), root, change) == change.days
+    after = files(path)
+    assert len(set(before.items()) & set(after.items())) == 3
+    assert dashboard_store.follow(spark, str(path), root, update(spark, root, event(*first))) == []
+
+
+def test_dashboards_read_partials_only(spark, event, tmp_path):
+    path = str(tmp_path / "partials")
+    dashboard_store.refresh(spark, path, gold.relations(silver.silver(event({}))), [])
+    plan = plan_of(dashboard_store.top_risk(dashboard_store.read(spark, path), "merchant"))
+    assert "TakeOrderedAndProject" in plan and "payment_id" not in plan
+    assert "EqualTo(kind,merchant)" in plan and "amount_sum" not in plan
+
+
+# Components.
+
+
+def _plain_components(links):
+    name = {x: x for link in links for x in link}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in links:
+            low = min(name[a], name[b])
+            for x in (a, b):
+                if name[x] != low:
+                    name[x], changed = low, True
+    return name
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_links_in_batches_equal_all_at_once(spark, tmp_path, seed):
+    """Chains, a hub with a third of all links, merges of old components, repeated links."""
+    pick = random.Random(seed)
+    links = [(f"n{pick.randrange(90):02d}", f"n{pick.randrange(90):02d}") for _ in range(60)]
+    links += [("hub", f"n{pick.randrange(90):02d}") for _ in range(30)]
+    links = [(a, b) for a, b in links if a != b]
+    path = str(tmp_path / "c")
+    for at in range(0, len(links), 30):
+        batch = [*links[at : at + 30], *links[:2], ("n01", "n01"), (None, "n02")]
+        component_store.add_links(spark, path, spark.createDataFrame(batch, "a string, b string"), 4)
+        known = _plain_components(links[: at + 30])
+        assert {r["node"]: r["component"] for r in component_store.read(spark, path).collect()} == known
+    again = component_store.add_links(spark, path, spark.createDataFrame(links, "a string, b string"), 4)
+    assert again.count() == 0
+
+
+def test_only_buckets_of_renamed_nodes_are_rewritten(spark, tmp_path):
+    path = tmp_path / "c"
+    links = [(f"a{i:02d}", f"b{i:02d}") for i in range(60)]
+    component_store.add_links(spark, str(path), spark.createDataFrame(links, "a string, b string"), 16)
+    before = files(path)
+    more = spark.createDataFrame([("a07", "b03")], "a string, b string")
+    changed = component_store.add_links(spark, str(path), more, 16)
+    assert sorted(map(tuple, changed.collect())) == [("a07", "a03"), ("b07", "a03")]
+    left = set(before.items()) & set(files(path).items())
+    assert len(left) >= len(before) - 2
+
+
+def test_only_roots_are_contracted(spark, tmp_path, monkeypatch):
+    """What goes into the contraction are links between roots: new ones only, none of the old."""
+    path = str(tmp_path / "c")
+    chain = spark.createDataFrame([(f"n{i:03d}", f"n{i + 1:03d}") for i in range(100)], "a string, b string")
+    component_store.add_links(spark, path, chain, 4)
+    seen = []
+    contract = component_store.connected_components
+    monkeypatch.setattr(
+        component_store, "connected_components", lambda pairs: (seen.append(sorted(map(tuple, pairs.collect()))), contract(pairs))[1]
+    )
+    more = spark.createDataFrame([("n050", "x"), ("n070", "n003"), ("y", "z")], "a string, b string")
+    component_store.add_links(spark, path, more, 4)
+    assert seen == [[("x", "n000"), ("z", "y")]]
+    empty = component_store.add_links(spark, str(tmp_path / "none"), more.limit(0), 4)
+    assert empty.count() == 0 and component_store.read(spark, str(tmp_path / "none")).count() == 0

@@ -5,8 +5,10 @@ from __future__ import annotations
 import pytest
 
 from payrisk import fixtures, jobs
+from payrisk.plans import silver_store
+from payrisk.schemas import REPORT
 from payrisk.sinks.tables import create_namespace, replace_table
-from payrisk.sources.tables import EmptySource
+from payrisk.sources.tables import EmptySource, read_csv
 from tests.conftest import SF
 
 
@@ -36,6 +38,23 @@ def test_pipeline_from_bronze_to_model(spark, tmp_path, capsys):
     assert spark.read.parquet(str(tmp_path / "f2")).count() == 950
 
     run("insights", relations="jobs_ns.relations", features_path=tmp_path / "f2", path=tmp_path / "report")
+    run(
+        "fusion-tables", relations="jobs_ns.relations", features_path=tmp_path / "f2", cleaned="jobs_ns.cleaned",
+        features="jobs_ns.features", buckets=4,
+    )
+    run("insights", relations="jobs_ns.cleaned", features_path="jobs_ns.features", path=tmp_path / "report2", fused="yes")
+    reports = [sorted(map(tuple, read_csv(spark, str(tmp_path / r), REPORT).collect())) for r in ("report", "report2")]
+    assert reports[0] == reports[1]
+
+    for _ in range(2):
+        run("silver-increment", source="jobs_ns.bronze", root=tmp_path / "store")
+        run("features-buckets", source="jobs_ns.silver", path=tmp_path / "buckets", buckets=4)
+    said = capsys.readouterr().out
+    assert "store: 1 days replaced" in said and "store: 0 days replaced" in said and "4 buckets replaced" in said
+    assert silver_store.rows(spark, str(tmp_path / "store")).count() == 950
+    run("insights", relations="jobs_ns.relations", features_path=tmp_path / "buckets", path=tmp_path / "report3")
+    assert read_csv(spark, str(tmp_path / "report3"), REPORT).count() == 819
+
     run("report-queries", report_path=tmp_path / "report", path=tmp_path / "results", table="jobs_ns.report")
     assert spark.read.table("jobs_ns.report").count() == 819
     high_risk = spark.read.option("header", True).csv(str(tmp_path / "results" / "high_risk"))
@@ -46,6 +65,9 @@ def test_pipeline_from_bronze_to_model(spark, tmp_path, capsys):
     assert tuple(totals) == (950, 128)
 
     spark.read.table("jobs_ns.relations").repartition(8).write.parquet(str(tmp_path / "many"))
+    run("compact-small", path=tmp_path / "many", target_mb=1)
+    assert spark.read.parquet(str(tmp_path / "many")).count() == 950
+    assert len(list((tmp_path / "many").glob("*.parquet"))) == 1
     run("compact", source_path=tmp_path / "many", new_path=tmp_path / "few", partition_columns="country")
     assert spark.read.parquet(str(tmp_path / "few")).count() == 950
 

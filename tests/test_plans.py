@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 from payrisk import catalog, fixtures
 from payrisk.plans import gold, reports, silver
 from payrisk.plans.features import feature_rows
-from payrisk.plans.insights import as_report, fused_payments, with_native_score
+from payrisk.operators.fusion import fuse
+from payrisk.plans.insights import as_report, fused_payments, store_sides, with_native_score
 from payrisk.session import setting, stage
+from payrisk.sinks.tables import drop_table
 from tests.conftest import SF
 
 LAZY = [
-    "bronze_parse", "publish_json", "silver", "relations", "alerts", "clean", "features_map", "fused_join",
+    "bronze_parse", "publish_json", "silver", "relations", "alerts", "clean", "features_map", "suspicious",
     "customer_activity", "graph_nodes", "graph_edges", "nlp_dataset", "train_val_split", "top_risk_merchants",
 ]
 
@@ -103,3 +105,16 @@ def test_single_features_do_only_their_part(spark):
     assert "lag(" in merchants and "country AS value" not in merchants
     whole = plan_of(silver.card_behaviour(feed))
     assert whole.count("Generate") > merchants.count("Generate") == counts.count("Generate")
+
+
+def test_fusion_of_bucketed_tables_moves_no_row(spark):
+    relations = stage(gold.relations(silver.silver(fixtures.payments(spark, SF))), "relations")
+    loaded = stage(feature_rows(relations), "loaded")
+    sides = store_sides(relations, loaded, ("fusion_gold", "fusion_features"), 4)
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        plan = plan_of(fuse(*sides))
+        assert "SortMergeJoin" in plan and "Exchange" not in plan and "Bucketed: true" in plan
+        assert fuse(*sides).exceptAll(fused_payments(relations, loaded)).count() == 0
+        assert fuse(*sides).count() == fused_payments(relations, loaded).count() > 0
+    for name in ("fusion_gold", "fusion_features"):
+        drop_table(spark, name)

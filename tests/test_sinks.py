@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 from pathlib import Path
 
 import pytest
@@ -226,3 +227,127 @@ def test_scratch_folder_rules(spark, monkeypatch):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.scratch_root(Cluster())
+
+
+# Compaction in place.
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_first_fit_decreasing(seed):
+    pick = random.Random(seed)
+    sizes = [pick.randrange(1, 60) for _ in range(137)]
+    bins = compaction.pack(sizes, 100)
+    plain: list[int] = []
+    for size in sorted(sizes, reverse=True):
+        at = next((i for i, used in enumerate(plain) if used + size <= 100), len(plain))
+        plain[at:] = [size + (plain[at] if at < len(plain) else 0), *plain[at + 1 :]]
+    filled = [sum(s for s, b in zip(sizes, bins) if b == at) for at in range(max(bins) + 1)]
+    assert filled == plain
+    assert compaction.pack([], 10) == [] and compaction.pack([10], 10) == [0]
+
+
+def _small_and_large(spark, path):
+    rows = spark.range(0, 30_000, 1, 6).selectExpr("id", "uuid() as noise", "if(id < 20000, 'a', 'b=c d') as part")
+    rows.filter("id % 3 = 0").repartition(1).write.partitionBy("part").parquet(path)
+    rows.filter("id % 3 > 0").repartition(30, "id").write.mode("append").partitionBy("part").parquet(path)
+    return {p: (p.stat().st_size, p.stat().st_mtime_ns) for p in Path(path).rglob("*.parquet")}
+
+
+def test_small_files_are_merged_and_large_ones_left(spark, tmp_path):
+    path = tmp_path / "t"
+    before = _small_and_large(spark, str(path))
+    rows = set(map(tuple, spark.read.parquet(str(path)).collect()))
+    target = 200_000
+    placed = compaction.compact_small_files(spark, str(path), target)
+    after = {p: (p.stat().st_size, p.stat().st_mtime_ns) for p in path.rglob("*.parquet")}
+    large = {p: s for p, s in before.items() if s[0] >= target / 2}
+    assert large and large.items() <= after.items()
+    new = {p: s for p, s in after.items() if p not in before}
+    assert len(new) == placed and len(after) < len(before) / 3
+    assert all(size <= target for size, _ in new.values())
+    assert set(map(tuple, spark.read.parquet(str(path)).collect())) == rows
+    assert {p.parent.name for p in after} == {p.parent.name for p in before}
+    # What is left are files that fit nowhere; nothing is to be done again.
+    assert compaction.compact_small_files(spark, str(path), target) <= placed
+    assert not list(path.glob("_compact-*"))
+
+
+def test_a_compaction_that_was_cut_off_is_finished(spark, tmp_path, monkeypatch):
+    path = tmp_path / "t"
+    _small_and_large(spark, str(path))
+    rows = sorted(map(tuple, spark.read.parquet(str(path)).collect()))
+    rename, moved = compaction._rename, []
+
+    def once(*files):
+        if moved:
+            raise OSError("cut off")
+        moved.append(files)
+        return rename(*files)
+
+    monkeypatch.setattr(compaction, "_rename", once)
+    with pytest.raises(OSError, match="cut off"):
+        compaction.compact_small_files(spark, str(path), 200_000)
+    monkeypatch.setattr(compaction, "_rename", rename)
+    assert compaction.finish_compaction(spark, str(path)) > 0
+    assert sorted(map(tuple, spark.read.parquet(str(path)).collect())) == rows
+    # One that had not written all its files is dropped.
+    (path / "_compact-begun" / "new").mkdir(parents=True)
+    assert compaction.finish_compaction(spark, str(path)) == 0
+    assert not list(path.glob("_compact-*"))
+
+
+def test_small_files_are_found_by_metadata(spark, tmp_path):
+    from tests.test_plans import plan_of
+
+    rows = spark.range(100).withColumn("text", F.col("id").cast("string"))
+    rows.repartition(5).write.parquet(str(tmp_path / "t"))
+    plan = plan_of(compaction.small_file_groups(spark, str(tmp_path / "t")))
+    assert "ReadSchema: struct<>" in plan and "file_size" in plan
+    assert compaction.compact_small_files(spark, str(tmp_path / "t"), 10) == 0
+
+
+# Versioned tables.
+
+
+def test_readers_meet_old_or_new_rows_at_every_step(spark, monkeypatch):
+    tables.replace_table(spark.range(3), "versioned")
+    open_reader = spark.read.table("versioned")
+    seen, sql = [], type(spark).sql
+
+    def watched(self, text, *a, **k):
+        seen.append((text.split()[0], sql(self, "SELECT count(*) FROM versioned").first()[0]))
+        result = sql(self, text, *a, **k)
+        seen.append((text.split()[0], sql(self, "SELECT count(*) FROM versioned").first()[0]))
+        return result
+
+    with monkeypatch.context() as patched:
+        patched.setattr(type(spark), "sql", watched)
+        tables.replace_table(spark.range(5), "versioned")
+    counts = [n for _, n in seen]
+    assert counts == sorted(counts) and set(counts) == {3, 5} and "CREATE" in dict(seen)
+    assert open_reader.count() == 3  # a reader that had begun
+    for n in (7, 9):
+        tables.replace_table(spark.range(n), "versioned")
+        assert len(tables.versions(spark, "versioned")) == 2
+    tables.drop_table(spark, "versioned")
+    assert tables.versions(spark, "versioned") == [] and not spark.catalog.tableExists("versioned")
+
+
+def test_a_plain_table_becomes_versioned(spark):
+    spark.range(2).write.saveAsTable("plain_once")
+    assert tables.replace_table(spark.read.table("plain_once").limit(1), "plain_once").count() == 1
+    tables.drop_table(spark, "plain_once")
+
+
+def test_partitions_of_a_refreshed_table_prune(spark):
+    from payrisk.plans import gold
+    from tests.test_plans import plan_of
+
+    rows = spark.range(96).selectExpr("timestamp'2024-01-01' + make_interval(0, 0, 0, 0, id) AS event_time", "id")
+    stored = tables.replace_table(gold.with_day(rows), "by_day", partition_by=[gold.EVENT_DAY])
+    sliced = gold.time_slice(stored, "2024-01-02 20:00:00", "2024-01-03 02:00:00")
+    assert sorted(r["id"] for r in sliced.collect()) == list(range(44, 50))
+    plan = plan_of(sliced)
+    assert "PartitionFilters: [isnotnull(event_day" in plan and "event_day#" in plan.split("PartitionFilters")[1]
+    assert "GreaterThanOrEqual(event_time" in plan
+    tables.drop_table(spark, "by_day")
