@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,3 +82,32 @@ def payments_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _base(spark, sf_dir).select(
         "event_id", *[F.expr(columns[c]).alias(c) for c in EVENT_COLUMNS]
     )
+
+
+def write_json_arrays(rows: DataFrame, path: str) -> None:
+    """Rows as other producers hand them over: files that hold one indented array each."""
+
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = "["
+        for batch in batches:
+            out = []
+            for record in batch.column(0).to_pylist():
+                out += [before, "  " + record]
+                before = ","
+            yield pa.RecordBatch.from_pydict({"value": pa.array(out, pa.string())})
+        yield pa.RecordBatch.from_pydict({"value": ["[", "]"] if before == "[" else ["]"]})
+
+    records = rows.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("r"))
+    files = f"{path}/files"
+    records.mapInArrow(lines, "value string").write.text(files)
+    _named_json(rows.sparkSession, files)
+
+
+def _named_json(spark: SparkSession, folder: str) -> None:
+    """Spark's text files end in .txt."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = location.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in files.listStatus(location):
+        name = status.getPath().getName()
+        if name.endswith(".txt"):
+            files.rename(status.getPath(), spark._jvm.org.apache.hadoop.fs.Path(location, name[:-4] + ".json"))

@@ -351,6 +351,10 @@ FROM (SELECT *, CASE WHEN event_type = 'error' THEN ' Declined ' ELSE 'APPROVED'
   card_id, merchant_id, device_id, CASE WHEN status = 'approved' THEN ip END AS ip, country, amount,
   currency, status, mcc FROM feed""",
     ),
+    "json_arrays": f"""SELECT * REPLACE (
+  CASE mcc WHEN '5411' THEN '{{"a": [}}' WHEN '5812' THEN repeat(chr(92), 2) || '"}}{{' ELSE ip END AS ip,
+  CASE WHEN mcc <> '5311' THEN currency END AS currency)
+FROM ({BRONZE})""",
     "clean": _with(BASE + CLEANED, f"SELECT event_us, {EVENT} FROM cleaned"),
     "fused_join": _with(FUSED, "SELECT * FROM fused"),
     "suspicious": _with(FUSED, "SELECT * FROM suspicious"),
@@ -383,9 +387,7 @@ FROM suspicious GROUP BY country ORDER BY capital_en_riesgo DESC, tasa_fraude_pc
     "totals_increments": _with(MONTH_RELATIONS, TOTALS),
     "timeline_increments": _with(MONTH_RELATIONS, TIMELINE),
     "top_merchants_increments": _top_risk("merchant_id", MONTH_RELATIONS),
-    "top_cards_increments": _top_risk("card_id", MONTH_RELATIONS),
     "card_activity_increments": _activity("card_id", MONTH_SCORED, "scored"),
-    "customer_activity_increments": _activity("customer_id", MONTH_SCORED, "scored"),
     "top_risk_merchants": _top_risk("merchant_id"),
     "top_risk_cards": _top_risk("card_id"),
     "graph_nodes": _with(

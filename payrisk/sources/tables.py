@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from payrisk.sources.csv import CSV_OPTIONS, unescaped_lines
+from payrisk.sources.json_arrays import read_json_arrays
 
 
 class EmptySource(ValueError):
@@ -22,15 +23,16 @@ def read_json(
 ) -> DataFrame:
     """All ``.json`` objects below ``prefix``, at any depth.
 
-    JSON Lines, as the exports here write them, is splittable and the default. Use ``whole_files``
-    for objects that hold one array or one record each, as other producers write them; such an
-    object is read by one task.
+    JSON Lines, as the exports here write them, is the default. Use ``whole_files`` for objects that
+    hold one array or one record each, as other producers write them; they are split as well, but
+    read twice.
     """
+    if whole_files:
+        return read_json_arrays(spark, prefix, schema)
     return (
         spark.read.schema(schema)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.json")
-        .option("multiLine", whole_files)
         .json(prefix)
     )
 
