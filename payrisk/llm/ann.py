@@ -197,10 +197,14 @@ def build_index(
     leaf_rows: int = LEAF_ROWS,
     max_leaves: int = MAX_LEAVES,
     block: int = BLOCK,
+    dim: int | None = None,
 ) -> Index | None:
-    """Index of all usable vectors of the commonest length; None if there are none."""
+    """Index of all usable vectors of ``dim`` components, or else of the commonest length; None if
+    there are none. Vectors of different lengths have no distance, so each length has its tree."""
     spark = vectors.sparkSession
     rows = usable(vectors, id_column, vector)
+    if dim is not None:
+        rows = rows.filter(F.size("vec") == dim)
     lengths = rows.groupBy(F.size("vec").alias("dim")).agg(F.count(F.lit(1)).alias("n"))
     common = lengths.orderBy(F.desc("n"), "dim").first()
     if common is None:
@@ -310,11 +314,24 @@ def search(
 
     score is the Euclidean distance in doubles. A row is not its own neighbour; rows that share its
     id are not either. All usable vectors are in the index; with fewer of them, lists are shorter.
+    Vectors of several lengths are searched length by length, those that queries have: a query's
+    neighbours have its length. An id with queries of two lengths has a list for each.
     """
     spark = vectors.sparkSession
-    index = build_index(vectors, id_column, vector, nearest, **build)
-    if index is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    asked = usable(vectors, id_column, vector).filter(is_query)
+    dims = [r["dim"] for r in asked.select(F.size("vec").alias("dim")).distinct().collect()]
+    found = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    for number, dim in enumerate(sorted(dims)):
+        index = build_index(vectors, id_column, vector, nearest, dim=dim, **build)
+        one = _search(index, is_query, nearest, recall, query_block)
+        found = found.unionByName(one) if number else one
+    return found
+
+
+def _search(
+    index: Index, is_query: Column, nearest: int, recall: float, query_block: int
+) -> DataFrame:
+    """The search among the vectors of one length."""
     asked = stage(index.located.filter(is_query).select("vec_id", "raw").distinct(), "queries")
     visits = calibrate(index, asked, recall)
     # ``is_query`` looks at the id, so all vectors of a query's id are here: so many places of its

@@ -113,3 +113,18 @@ def test_other_vectors_of_the_own_id_take_no_places(spark):
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = ann.search(frame, F.col("vec_id") == 0).collect()
     assert len(got) == 5 * ann.NEAREST and {r["vec_id"] for r in got} == set(range(1, 11))
+
+
+def test_vectors_of_other_lengths_have_their_own_neighbours(spark):
+    """Also those of a rare length; queries alone of their length find nobody; clashing names."""
+    pick = np.random.default_rng(4)
+    rows = [(i, pick.normal(size=2 if i % 3 else 3).tolist()) for i in range(0, 620, 10)]
+    rows += [(1000, pick.normal(size=5).tolist()), (1001, pick.normal(size=7).tolist())]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").selectExpr(
+        "*", "1 as dim", "2 as raw", "3 as leaf", "4 as query_id", "5 as rank"
+    )
+    got = ann.search(frame, F.col("vec_id") % 100 == 0).collect()
+    want = {}
+    for size in (2, 3, 5):
+        want |= brute_force([r for r in rows if len(r[1]) == size], lambda i: i % 100 == 0)
+    assert want[1000] == [] and measured(got, want) == 1.0
