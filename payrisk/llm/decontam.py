@@ -146,6 +146,10 @@ class Segment:
         return np.searchsorted(self.doc_ends, place, side="right")
 
 
+#: The owner of windows of rows without an item id.
+NOBODY = -1
+
+
 @dataclass
 class Block:
     """Windows of some test items: word hashes (rows padded), lengths, and the item of each."""
@@ -160,11 +164,12 @@ def item_blocks(
     items: DataFrame, id_column: str, text: str, window: int, block_chars: int = BLOCK_CHARS
 ) -> Iterator[Block]:
     """Blocks of the items' distinct windows. Items are fetched partition by partition; the driver
-    holds one block of about ``block_chars`` characters at a time. Items without an id or without
-    words have no windows; rows of the same id make one item."""
+    holds one block of about ``block_chars`` characters at a time. Items without words have no
+    windows; rows of the same id make one item. Rows without an id are no item that could be named,
+    but their windows hit all the same."""
     rows, size = [], 0
     chosen = items.select(F.col(id_column).cast("string").alias("i"), F.col(text).alias("t"))
-    for row in chosen.filter("i is not null and t is not null").toLocalIterator():
+    for row in chosen.filter("t is not null").toLocalIterator():
         rows.append((row["i"], row["t"]))
         size += len(row["t"])
         if size >= block_chars:
@@ -177,8 +182,8 @@ def item_blocks(
 def _block(rows: list[tuple[str, str]], window: int) -> Block:
     words = Words(pa.array([t for _, t in rows], pa.string()), ALNUM)
     hashes = words.hashes()
-    names = sorted({i for i, _ in rows})
-    number = {name: k for k, name in enumerate(names)}
+    names = sorted({i for i, _ in rows if i is not None})
+    number = {name: k for k, name in enumerate(names)} | {None: NOBODY}
     made: dict[tuple, None] = {}
     for k, (name, _) in enumerate(rows):
         own = hashes[words.rows[k] : words.rows[k + 1]].tolist()
@@ -217,38 +222,50 @@ def phrase_starts(seg: Segment, block: Block) -> tuple[np.ndarray, np.ndarray]:
     return place[ok], alive[owner[ok]]
 
 
-def near_starts(seg: Segment, block: Block, slop: int) -> tuple[np.ndarray, np.ndarray]:
-    """(place, window number) where all words of a window stand, in any order, among the
-    ``length + slop`` words from an occurrence of the rarest one's leftmost reach on."""
+def near_spans(
+    seg: Segment, block: Block, slop: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place, end, window number) of the narrowest runs of ``length + slop`` words at most that
+    hold all words of a window, in any order and as often as the window has them.
+
+    Searched around each occurrence of the window's rarest word: only runs that hold it can match.
+    """
     offsets = np.arange(block.windows.shape[1])
     used = offsets[None, :] < block.lengths[:, None]
     number = np.where(used, seg.lookup(block.windows), -1)
     alive = np.flatnonzero(((number >= 0) | ~used).all(axis=1))
-    found: list[tuple[int, int]] = []
+    found: set[tuple[int, int, int]] = set()
     for k in alive.tolist():
         span = int(block.lengths[k]) + slop
-        terms = np.unique(number[k][used[k]])
+        terms, needed = np.unique(number[k][used[k]], return_counts=True)
         lists = [seg.postings(np.array([t]))[0] for t in terms]
-        lists.sort(key=len)
-        for anchor in lists[0].tolist():
+        for anchor in min(lists, key=len).tolist():
             doc = seg.doc_of(np.array([anchor]))[0]
             low = max(anchor - span + 1, int(seg.doc_ends[doc - 1]) if doc else 0)
             high = min(anchor + span, int(seg.doc_ends[doc]))
             near = [x[np.searchsorted(x, low) : np.searchsorted(x, high)] for x in lists]
-            if any(not len(x) for x in near):
+            if any(len(x) < n for x, n in zip(near, needed)):
                 continue
-            events = sorted((int(p), j) for j, x in enumerate(near) for p in x)
-            last: dict[int, int] = {}
-            for p, j in events:
-                last[j] = p
-                if len(last) == len(near) and p - min(last.values()) < span:
-                    found.append((min(last.values()), k))
-                    break
-    found = sorted(set(found))
-    return (
-        np.array([p for p, _ in found], np.int64),
-        np.array([k for _, k in found], np.int64),
-    )
+            found.update((a, b + 1, k) for a, b in _narrowest(near, needed.tolist(), anchor, span))
+    out = np.array(sorted(found), dtype=np.int64).reshape(-1, 3)
+    return out[:, 0], out[:, 1], out[:, 2]
+
+
+def _narrowest(
+    near: list[np.ndarray], needed: list[int], anchor: int, span: int
+) -> Iterator[tuple[int, int]]:
+    """(first, last) places of the runs around ``anchor`` that cannot lose either end."""
+    events = sorted((int(p), j) for j, x in enumerate(near) for p in x)
+    have, missing, left = [0] * len(near), sum(needed), 0
+    for p, j in events:
+        have[j] += 1
+        missing -= have[j] <= needed[j]
+        while have[events[left][1]] > needed[events[left][1]]:
+            have[events[left][1]] -= 1
+            left += 1
+        first = events[left][0]
+        if not missing and have[j] == needed[j] and p - first < span and first <= anchor <= p:
+            yield first, p
 
 
 def _merged(starts: np.ndarray, ends: np.ndarray) -> list[list[int]]:
@@ -270,8 +287,8 @@ def _match(batches: Iterator[pa.RecordBatch], block: Block, slop: int | None):
                 place, which = phrase_starts(seg, block)
                 reach = block.lengths[which]
             else:
-                place, which = near_starts(seg, block, slop)
-                reach = block.lengths[which] + slop
+                place, end, which = near_spans(seg, block, slop)
+                reach = end - place
             doc = seg.doc_of(place)
             order = np.argsort(doc, kind="stable")
             place, which, reach, doc = place[order], which[order], reach[order], doc[order]
@@ -285,7 +302,8 @@ def _match(batches: Iterator[pa.RecordBatch], block: Block, slop: int | None):
                 out["segment"].append(row["segment"])
                 out["place"].append(d)
                 out["spans"].append(_merged(start, stop))
-                out["items"].append([block.items[i] for i in np.unique(block.owner[which[a:b]])])
+                owners = np.unique(block.owner[which[a:b]])
+                out["items"].append([block.items[i] for i in owners[owners != NOBODY]])
             yield pa.RecordBatch.from_pydict(
                 out,
                 schema=pa.schema(
@@ -311,7 +329,8 @@ def find_items(
     """One row per indexed document: doc_id, n_words, n_hit, items (sorted ids as strings), spans.
 
     A window is ``window`` consecutive item words, or a whole shorter item. Without ``slop`` it has
-    to occur exactly; with it, its words have to stand in any order within that many words more.
+    to occur exactly; with it, its words have to stand in any order, each as often as the window has
+    it, within that many words more.
     ``spans`` are the merged [start, end) word ranges that windows cover, n_hit their total length.
     """
     hits = None

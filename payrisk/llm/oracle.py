@@ -6,7 +6,7 @@ _WORDS = r"""regexp_extract_all(
       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w"""
 DECONTAMINATION = f"""WITH d AS (SELECT doc_id, {_WORDS} FROM documents),
-i AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} FROM benchmark WHERE item_id IS NOT NULL),
+i AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} FROM benchmark),
 windows AS (
   SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(list_slice(w, p, p + 9), ' ') AS g
   FROM (SELECT *, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS p FROM i WHERE len(w) > 0)),
@@ -19,7 +19,7 @@ hit_words AS (
   SELECT doc_id, count(DISTINCT q) AS n_hit
   FROM (SELECT doc_id, unnest(generate_series(p, p + n - 1)) AS q FROM hits) GROUP BY doc_id),
 hit_items AS (
-  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  SELECT doc_id, count(item) AS n_items, string_agg(item, ',' ORDER BY item) AS items
   FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
   CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,

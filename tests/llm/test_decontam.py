@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+from collections import Counter
 
 import pytest
 
@@ -22,8 +24,9 @@ def plain(docs, items, n=10):
     windows: dict[tuple, set] = {}
     for item, text in items:
         own = words(text)
-        for i in range(max(1, len(own) - n + 1) if own and item is not None else 0):
-            windows.setdefault(tuple(own[i : i + n]), set()).add(str(item))
+        for i in range(max(1, len(own) - n + 1) if own else 0):
+            named = {str(item)} if item is not None else set()
+            windows.setdefault(tuple(own[i : i + n]), set()).update(named)
     lengths = {len(w) for w in windows}
     found = []
     for doc, text in docs:
@@ -93,6 +96,63 @@ def test_proximity(spark):
     assert found(slop=6) == {1, 2, 3}
 
 
+def plain_near(docs, items, n, slop):
+    """Words in the narrowest runs that hold a window's words as often as it has them."""
+    out = []
+    for doc, text in docs:
+        own, hit, seen = words(text), set(), set()
+        for item, item_text in items:
+            all_words = words(item_text)
+            for at in range(max(1, len(all_words) - n + 1) if all_words else 0):
+                window = Counter(all_words[at : at + n])
+                size = min(n, len(all_words)) + slop
+
+                def holds(a, b, window=window, own=own):
+                    return not window - Counter(own[a:b])
+
+                for a in range(len(own)):
+                    for b in range(a + 1, min(a + size, len(own)) + 1):
+                        if holds(a, b) and not holds(a + 1, b) and not holds(a, b - 1):
+                            hit.update(range(a, b))
+                            seen |= {str(item)} if item is not None else set()
+        out.append((doc, len(own), len(hit), sorted(seen)))
+    return out
+
+
+@pytest.mark.parametrize("slop", [0, 1, 4])
+def test_proximity_equals_all_runs(spark, slop):
+    """Small alphabets: repeated words in windows and documents, many overlapping runs."""
+    pick = random.Random(slop)
+    text = lambda n, letters: " ".join(pick.choice(letters) for _ in range(n))
+    docs = [(i, text(pick.randrange(25), "abcd")) for i in range(40)]
+    docs += [(100, "a b a b"), (101, "yes no yes"), (102, "no x no x no")]
+    items = [(i, text(pick.randrange(1, 6), "abcde")) for i in range(5)] + [(8, "no no no"), (9, "a b"), (None, "d d")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").coalesce(2)
+    tests = spark.createDataFrame(items, "item_id long, text string")
+    index = decontam.build_index(frame, segment_bytes=60)
+    rows = decontam.find_items(index, tests, window=3, slop=slop).collect()
+    got = sorted((r["doc_id"], r["n_words"], r["n_hit"], list(r["items"])) for r in rows)
+    assert got == sorted(plain_near(docs, items, 3, slop))
+
+
+def test_rows_without_item_id_hit_but_are_no_item(spark):
+    docs = spark.createDataFrame([(1, "one two three four"), (2, "five")], "doc_id long, text string")
+    items = spark.createDataFrame([(None, "two three")], "item_id long, text string")
+    rows = {r["doc_id"]: (r["n_hit"], r["items"]) for r in decontam.contaminated(docs, items).collect()}
+    assert rows == {1: (2, []), 2: (0, [])}
+    assert [r["doc_id"] for r in decontam.keep_clean(docs, items).collect()] == [2]
+
+
+def test_sql_counts_rows_without_item_id():
+    import duckdb
+
+    engine = duckdb.connect()
+    engine.sql("CREATE TABLE documents AS SELECT 1 AS doc_id, 'one two three four' AS text")
+    engine.sql("CREATE TABLE benchmark AS SELECT NULL::BIGINT AS item_id, 'two three' AS text")
+    (row,) = engine.sql(ORACLE["op3_benchmark_decontamination"]).fetchall()
+    assert row == (1, 4, 2, 0, hashlib.sha256(b"").hexdigest(), True)
+
+
 def test_odd_rows(spark, odd_documents, no_documents):
     items = spark.createDataFrame([(1, "text here twice"), (2, None)], "item_id long, text string")
     rows = decontam.contaminated(odd_documents, items).collect()
