@@ -25,6 +25,8 @@ RADIUS = 2
 SIGMA = 1.0
 #: A child element becomes the region if it holds this share of the content's characters.
 HOLDS = 0.7
+#: Text outside of named elements is hardly any below this share of what one of them holds.
+LITTLE = 0.1
 
 #: Elements that can be the content region.
 REGIONS = set(
@@ -49,16 +51,22 @@ ROLES = set(
     "navigation banner contentinfo complementary search form menu menubar dialog alert "
     "alertdialog toolbar tablist note".split()
 )
-#: Words of class and id names that mark boilerplate, compared whole.
+#: Words of class and id names that mark boilerplate, compared whole. What they mark is left out
+#: unless the page's article turns out to be in it.
 NAMES = set(
     "ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs "
     "comment comments disqus cookie cookies consent gdpr notice notices notification alert popup "
-    "modal overlay sidebar sidebars aside widget widgets nav navbar navigation menu menus header "
-    "masthead footer foot promo promotion promoted sponsor sponsored sponsors related "
-    "recommended recommendations share sharing social newsletter subscribe subscription signup "
-    "login search form pagination pager toolbar topbar bottombar copyright disclaimer legal "
-    "replies reply respond discussion rail teaser teasers outbrain taboola skip hidden".split()
+    "modal overlay sidebar sidebars aside widget widgets nav navbar navigation menu menus "
+    "masthead footer foot promo promotion promoted sponsor sponsored sponsors "
+    "recommended recommendations share sharing newsletter subscribe subscription signup "
+    "login search form pagination pager toolbar topbar bottombar copyright disclaimer "
+    "replies reply respond rail teaser teasers outbrain taboola".split()
 )
+#: Words that articles are named by as well: they only lower the ratio of the lines in them.
+HINTS = set("header legal social related discussion skip hidden".split())
+HINT = 0.5
+#: "with-sidebar" says what stands beside an element, not what is in it.
+BESIDE = set("has with no without show hide contains".split())
 _PARTS = re.compile(r"[A-Za-z][a-z]+|[A-Z]+(?![a-z])|[a-z]+")
 CLOSES_P = BLOCKS - {"br", "option", "legend", "caption", "title", "head", "summary"}
 #: An element whose start ends an open one of the second set, up to a parent of the third.
@@ -79,6 +87,9 @@ class Element:
     parent: Element | None
     silent: bool
     boilerplate: bool
+    hard: bool = False  # by its tag, role or state, or by those around it
+    named: bool = False  # by its own class or id
+    hinted: bool = False
     content: int = 0
     titles: int = 0
     inside: bool = False
@@ -97,7 +108,8 @@ class Line:
         self.text = " ".join("".join(self.parts).split())
 
 
-def _says_boilerplate(tag: str, attributes: list[tuple[str, str | None]]) -> bool:
+def _is_aside(tag: str, attributes: list[tuple[str, str | None]]) -> bool:
+    """Whether tag, role or state say that an element is no part of the text."""
     if tag in ASIDE:
         return True
     for name, value in attributes:
@@ -108,15 +120,30 @@ def _says_boilerplate(tag: str, attributes: list[tuple[str, str | None]]) -> boo
             return True
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value.lower()):
             return True
-        if name in ("class", "id") and tag not in ("html", "body", "article", "main", "p"):
-            if any(part.lower() in NAMES for part in _PARTS.findall(value)):
-                return True
+    return False
+
+
+def _name_words(attributes: list[tuple[str, str | None]]) -> set[str]:
+    """The words of class and id names that tell what is in an element."""
+    found = set()
+    for name, value in attributes:
+        if name in ("class", "id"):
+            for single in (value or "").split():
+                parts = [p.lower() for p in _PARTS.findall(single)]
+                if len(parts) < 2 or parts[0] not in BESIDE:
+                    found.update(parts)
+    return found
+
+
+def _says_boilerplate(tag: str, attributes: list[tuple[str, str | None]]) -> bool:
+    """Whether the element's own name says so."""
+    if tag in ("html", "body", "main", "p"):
+        return False
+    words = _name_words(attributes)
     if tag == "article":
         # A reader's comment can be an article of its own.
-        own = " ".join(v or "" for n, v in attributes if n in ("class", "id"))
-        return any(p.lower() in {"comment", "comments", "reply", "ad", "advert", "teaser", "promo"}
-                   for p in _PARTS.findall(own))
-    return False
+        return bool(words & {"comment", "comments", "reply", "ad", "advert", "teaser", "promo"})
+    return bool(words & NAMES)
 
 
 class Lines(HTMLParser):
@@ -155,11 +182,16 @@ class Lines(HTMLParser):
             return
         if tag == "a":
             self.links += 1
+        hard = self.at.hard or _is_aside(tag, attributes)
+        named = _says_boilerplate(tag, attributes)
         element = Element(
             tag,
             self.at,
             self.at.silent or tag in SILENT,
-            self.at.boilerplate or _says_boilerplate(tag, attributes),
+            self.at.boilerplate or hard or named,
+            hard,
+            named,
+            self.at.hinted or bool(_name_words(attributes) & HINTS),
         )
         element.titles = int(tag == "h1" and not element.boilerplate)
         element.heading = self.at.heading or tag in ("h1", "h2", "h3")
@@ -180,7 +212,7 @@ class Lines(HTMLParser):
 
     def leave_boilerplate(self, tag: str, attributes: list[tuple[str, str | None]]) -> None:
         """An article inside a menu or an advert that nobody closed ends it."""
-        if not self.at.boilerplate or _says_boilerplate(tag, attributes):
+        if not self.at.boilerplate or _is_aside(tag, attributes) or _says_boilerplate(tag, attributes):
             return
         outer = self.at
         while outer.parent is not None and outer.parent.boilerplate:
@@ -258,6 +290,7 @@ def _content(lines: list[Line], radius: int, sigma: float) -> np.ndarray:
     linked = np.array([x.linked for x in lines], dtype=np.float64)
     open_ = np.array([not x.element.boilerplate for x in lines])
     ratio = np.where(open_, length / np.array([max(x.tags, 1) for x in lines]), 0.0)
+    ratio *= np.array([HINT if x.element.hinted else 1.0 for x in lines])
     smooth = _smooth(ratio, radius, sigma)
     # The two clusters of the smoothed ratios part where their means are equally far.
     least = smooth.mean()
@@ -272,6 +305,53 @@ def _content(lines: list[Line], radius: int, sigma: float) -> np.ndarray:
     return open_ & (smooth >= min(least, smooth.mean())) & (linked <= 0.5 * length)
 
 
+def _open_wrappers(parser: Lines, lines: list[Line]) -> None:
+    """Take back the verdict of a name where the page's article is in the named element: it holds
+    the page's article, main or h1 while none stands outside of such elements, or there is hardly
+    any text outside and it holds most of what its like holds.
+
+    An element that names itself a comment or an advert stays closed inside of an opened one."""
+    tops = [e for e in parser.elements if e.named and not e.hard and not e.parent.boilerplate]
+    if not tops:
+        return
+    inside: dict[int, Element] = {id(e): e for e in tops}
+    top_of: dict[int, Element | None] = {}
+    for element in parser.elements:  # parents first
+        above = top_of.get(id(element.parent)) if element.parent is not None else None
+        top_of[id(element)] = above or inside.get(id(element))
+    outside, size = 0, {id(e): 0 for e in tops}
+    for line in lines:
+        if line.element.hard or line.linked > 0.5 * len(line.text):
+            continue
+        top = top_of[id(line.element)]
+        if top is None:
+            outside += len(line.text)
+        else:
+            size[id(top)] += len(line.text)
+    anchors = {None: 0} | {id(e): 0 for e in tops}
+    for element in parser.elements:
+        if element.tag in ("article", "main", "h1") and not element.hard and not element.named:
+            top = top_of[id(element)]
+            anchors[id(top) if top is not None else None] += 1
+    total = sum(size.values())
+    for top in tops:
+        held = size[id(top)]
+        anchored = anchors[id(top)] and not anchors[None] and held >= outside
+        alone = outside < held * LITTLE and held > total / 2
+        if held and (anchored or alone):
+            _reopen(top)
+
+
+def _reopen(top: Element) -> None:
+    top.named = False
+    todo = [top]
+    while todo:
+        element = todo.pop()
+        element.boilerplate = element.parent.boilerplate or element.hard or element.named
+        element.titles = int(element.tag == "h1" and not element.boilerplate)
+        todo += element.children
+
+
 def main_text(html: str | None, radius: int = RADIUS, sigma: float = SIGMA) -> str:
     """Text of the page's article: its blocks in order, joined by a blank; "" if there is none."""
     if not html:
@@ -279,6 +359,7 @@ def main_text(html: str | None, radius: int = RADIUS, sigma: float = SIGMA) -> s
     parser = Lines()
     parser.feed(html)
     lines = parser.end()
+    _open_wrappers(parser, lines)
     if not any(not x.element.boilerplate for x in lines):
         return ""
     content = _content(lines, radius, sigma)

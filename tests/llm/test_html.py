@@ -49,6 +49,51 @@ def test_hand_written_pages(page, text):
     assert main_text(page) == text
 
 
+PROSE = f"<p>{LONG}</p><p>{LONG}</p><p>{LONG}</p>"
+TEXT = " ".join([LONG.strip()] * 3)
+SIDE = f"<div class=sidebar><p>{LONG}</p></div>"
+LINKS = "<ul><li><a href=a>One</a><li><a href=b>Two</a><li><a href=c>Three</a></ul>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        # Wrappers that say what stands beside them, or have names that articles have too.
+        f'<div class="content with-sidebar">{PROSE}</div>',
+        f'<div class="content with-sidebar">{PROSE}{SIDE}</div>',
+        f'<section class="has-sidebar"><article>{PROSE}</article>{SIDE}</section>',
+        f'<div class=has-comments>{PROSE}<div class=comments><p>{LONG}</p></div></div>',
+        f"<body>{LINKS}<div class=no-sidebar>{PROSE}</div></body>",
+        f'<div id="legal-news">{PROSE}</div>',
+        f"<div class=related-work>{PROSE}</div>{SIDE}",
+        f"<section id=social-policy>{PROSE}</section><div class=footer>{LONG}</div>",
+        f"<div class=discussion-paper>{PROSE}</div><nav>{LINKS}</nav>",
+        f"<body>{LINKS}<div class=skip-target>{PROSE}</div></body>",
+        # Named wrappers around the article.
+        f"<div class=sidebar-layout><article>{PROSE}</article></div><div class=ad>{LONG}</div>",
+        f"<div class=widget-page><main>{PROSE}</main></div><footer>{LONG}</footer>",
+        f"<div class=modal-open><div class=page>{PROSE}</div></div>",
+        f"<div id=page-banner-wrap>{LINKS}<div>{PROSE}</div><div class=comments><p>{LONG}</div></div>",
+        f"<table class=search-result><tr><td>{PROSE}</td></tr></table>",
+        f"<div class=notice-board><div class=text>{PROSE}</div></div><div class=cookie-notice>{LONG}</div>",
+        # Real ones stay out.
+        f"<div class=post>{PROSE}</div><div class=sidebar>{PROSE}{PROSE}</div>",
+        f"<div class=post>{PROSE}</div><div class=comments>{PROSE}{PROSE}</div>",
+        f"<body>{SIDE}<p>{LONG}</p><p>{LONG}</p><p>{LONG}</p><div class=newsletter>{LONG}</div></body>",
+        f"<main>{PROSE}<div class='ad banner'>{LONG}</div></main><div class=related-widget>{LONG}</div>",
+        f"<header>{LONG}</header><div id=main-text>{PROSE}</div><div class=reply><h1>Re</h1>{LONG}</div>",
+    ],
+)
+def test_pages_without_a_marked_article(page):
+    assert main_text(page) == TEXT
+
+
+def test_a_headed_data_table_stays():
+    table = "<table class=header-table><tr><td>Year and amount of the first row here</td><td>12 and more of it</td></tr></table>"
+    page = f"<main>{PROSE}{table}</main>"
+    assert main_text(page) == f"{TEXT} Year and amount of the first row here 12 and more of it"
+
+
 def test_articles_without_a_name_of_their_own():
     page = (
         "<body><ul><li><a href=a>One</a><li><a href=b>Two</a></ul><h1>Head</h1>"
