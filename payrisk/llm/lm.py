@@ -2,34 +2,40 @@
 
 Unigram probabilities are add-half estimates over all training words. Longer n-grams are discounted
 counts; what the discount leaves goes to the next shorter history, as a weight on a failure arc.
-The automaton's states are histories. A document is read once from left to right: an arc of the
-current state is taken if the word has one, else the failure arc adds its weight and leads to the
-shorter history, down to the root, where every word has its unigram probability.
+States are histories. A text is read from left to right: an arc of the current state is taken if the
+word has one, else the failure arc adds its weight and leads to the shorter history, down to the
+root, where every word has its unigram probability. As an automaton of order n forgets all but n - 1
+words, the state before a token is the longest kept n-gram that ends there; so the states of all
+tokens of a slice of texts are found at once, and then arcs taken and failure weights are added up.
 
-All words and all n-grams that occur at least ``LEAST`` times are kept, so the tables grow with the
-corpus; they are counted, smoothed and met by joins. For that the walk is written as a sum. An n-gram
-that is kept moves the probability of its last word from what the failure arcs give to its own arc,
-and its state's failure weight is what its followers start from; so each kept n-gram has one value,
+All words, and all n-grams that occur ``LEAST`` times, are kept, so the model grows with the corpus
+and is nowhere whole. Texts are stored once, as numbered tokens in slices of bounded size, and a slice
+builds the part of the automaton that its own texts can reach. What it does not know itself it asks,
+in two rounds of messages between slices and hash ranges of n-grams:
 
-    log p(n-gram) - log p(its suffix) - weight(its history) + weight(its own state),
+1. a slice sends each of its different n-grams with its count once; the range adds up and answers with
+   the totals, in the order of the question, and names one of the slices that asked the owner;
+2. the owners of kept n-grams send each one's probabilities to its history, and all slices ask for the
+   weights of their states; the range adds up and answers with the failure weights.
 
-and a text's score is the sum of the values of its words and n-grams, nothing for those that are not
-kept. The most common ones, whose number ``COMMON_WORDS`` and ``COMMON_NGRAMS`` bound, go to all
-executors and are added up in the scan; all others meet their values in a join. ``train`` and
-``Automaton`` are the same model in one process's memory.
+Messages are packed arrays, so an n-gram costs some six bytes a slice instead of a row, and an answer
+about one. No n-gram that a slice meets goes through a join.
 
 Words are identified by 64-bit hashes.
 """
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from payrisk.llm.text import NOT_SPACE, Words, chain, row_slices, row_sums
@@ -41,20 +47,37 @@ WORD_SHARE = 0.0
 NGRAM_SHARE = 0.0
 #: N-grams are kept from this count on, at any size of the corpus.
 LEAST = 2
-#: Words, and n-grams of each order, with these shares go to all executors: 1 / share at most. The
-#: others meet their values in a join; no result depends on it.
-COMMON_WORDS = 1e-6
-COMMON_NGRAMS = 5e-6
 DISCOUNT = 0.5
+#: Text bytes of a slice, but one text at least.
+SLICE_BYTES = 16 << 20
+#: N-grams that a hash range should get from all slices.
+RANGE_KEYS = 2_000_000
 #: Stands for the end of a text; no word has it but by a collision of 64-bit hashes.
 END = np.uint64(0x9AE16A3B2F90404F)
 
+TOKENS = (
+    "slice bigint, ids array<bigint>, held array<boolean>, bounds binary, codes binary,"
+    " vocabulary binary, n_train bigint"
+)
+MESSAGE = "bucket bigint, slice bigint, depth int, keys binary, a binary, b binary"
+ANSWER = "slice bigint, bucket bigint, depth int, answer binary, n_distinct bigint"
 SCORED = (
-    "key bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_common bigint,"
-    " base double, model double, text string"
+    "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base double, score double"
 )
 
 
+def pack(values: np.ndarray) -> bytes:
+    """Compressed array; the bytes of equal significance stand together, as they repeat most."""
+    raw = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize)
+    return zstandard.ZstdCompressor(level=1).compress(raw.T.tobytes())
+
+
+def unpack(blob: bytes, kind: type) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(raw.reshape(size, -1).T).view(kind).ravel()
+
+
 def _tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all tokens of the rows, ends included, and the row bounds in them."""
     words = Words(column, NOT_SPACE)
@@ -68,238 +91,12 @@ def _tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, bounds
 
 
-@dataclass
-class Ngrams:
-    """N-grams of one order, ascending by key: number of the history << 32 | word."""
-
-    keys: np.ndarray
-    counts: np.ndarray
-    logp: np.ndarray = field(default_factory=lambda: np.empty(0))
-    suffix: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
-
-    def number(self, keys: np.ndarray) -> np.ndarray:
-        """1 + place of each key, 0 for those that are not kept."""
-        if not len(self.keys):
-            return np.zeros(len(keys), dtype=np.int64)
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[at] == keys, at + 1, 0)
-
-
-@dataclass
-class Model:
-    """The automaton's tables. ``words`` are the common words' hashes, numbered from 1."""
-
-    total: int
-    distinct: int
-    words: np.ndarray
-    counts: np.ndarray
-    grams: list[Ngrams] = field(default_factory=list)
-
-    @property
-    def size(self) -> float:
-        return self.total + 0.5 * (self.distinct + 1)
-
-    def logp(self, counts: np.ndarray) -> np.ndarray:
-        return np.log10((counts + 0.5) / self.size)
-
-    def number(self, hashes: np.ndarray) -> np.ndarray:
-        if not len(self.words):
-            return np.zeros(len(hashes), dtype=np.int64)
-        at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
-        return np.where(self.words[at] == hashes, at + 1, 0)
-
-    def histories(self, numbers: np.ndarray, inside: np.ndarray) -> list[np.ndarray]:
-        """Per order, the number of the kept n-gram that ends at each token, 0 if there is none.
-
-        ``inside`` tells which tokens have a token of the same text before them."""
-        found = [numbers]
-        for grams in self.grams:
-            found.append(grams.number(_next_keys(found[-1], numbers, inside)))
-        return found
-
-
-def _next_keys(history: np.ndarray, numbers: np.ndarray, inside: np.ndarray) -> np.ndarray:
-    """Key of each token after the history that ends before it; 0 where there is none."""
-    before = np.concatenate(([0], history[:-1])) if len(history) else history
-    return np.where(inside & (before > 0) & (numbers > 0), before << 32 | numbers, 0)
-
-
 def _inside(n: int, bounds: np.ndarray) -> np.ndarray:
     inside = np.ones(n, dtype=bool)
     inside[bounds[:-1][bounds[:-1] < n]] = False
     return inside
 
 
-def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-    keys = np.concatenate([k for k, _ in parts])
-    counts = np.concatenate([n for _, n in parts])
-    keys, of = np.unique(keys, return_inverse=True)
-    sums = np.zeros(len(keys), dtype=np.int64)
-    np.add.at(sums, of, counts)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(keys.view(np.int64)), pa.array(sums)], names=["k", "n"]
-    )
-
-
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        parts = []
-        for a, b in row_slices(batch.column(0)):
-            hashes, _ = _tokens(batch.column(0).slice(a, b - a))
-            parts.append(np.unique(hashes, return_counts=True))
-        if parts:
-            yield _summed(parts)
-
-
-def _count_ngrams(
-    batches: Iterator[pa.RecordBatch], model: Model, least: float
-) -> Iterator[pa.RecordBatch]:
-    """Counts of the n-grams one longer than those of the model, if both parts are kept."""
-    for batch in batches:
-        parts = []
-        for a, b in row_slices(batch.column(0)):
-            hashes, bounds = _tokens(batch.column(0).slice(a, b - a))
-            numbers = model.number(hashes)
-            inside = _inside(len(hashes), bounds)
-            often = np.concatenate(([False], model.counts >= least))
-            numbers = np.where(often[numbers], numbers, 0)
-            longest = model.histories(numbers, inside)[-1]
-            keys = _next_keys(longest, numbers, inside)
-            parts.append(np.unique(keys[(keys > 0) & (longest > 0)], return_counts=True))
-        if parts:
-            yield _summed([(k.view(np.uint64), n) for k, n in parts])
-
-
-def _collect(counted: DataFrame, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """The keys that reach a share of all tokens: a number that the share bounds."""
-    table = counted.filter(F.col("n") >= least).toArrow().combine_chunks()
-    keys = np.array(table.column("k").to_numpy(), dtype=np.int64).view(np.uint64)
-    order = np.argsort(keys, kind="stable")
-    return keys[order], np.array(table.column("n").to_numpy(), dtype=np.int64)[order]
-
-
-def _word_counts(texts: DataFrame) -> tuple[DataFrame, int, int]:
-    """Stored counts (k, n) of all words of the one text column, and the numbers of tokens and of
-    different words."""
-    rows = texts.mapInArrow(_count_words, "k bigint, n bigint")
-    counts = stage(rows.groupBy("k").agg(F.sum("n").alias("n")), "word-counts")
-    row = counts.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("distinct")).first()
-    return counts, row["total"] or 0, row["distinct"]
-
-
-def train(
-    texts: DataFrame, order: int, word_share: float, ngram_share: float
-) -> tuple[Model, DataFrame]:
-    """Model of the one text column of ``texts`` in memory, which the shares must bound, and the
-    stored counts (k, n) of all its words."""
-
-    def counted(run) -> DataFrame:
-        rows = texts.mapInArrow(run, "k bigint, n bigint")
-        return rows.groupBy("k").agg(F.sum("n").alias("n"))
-
-    counts, total, distinct = _word_counts(texts)
-    words, n = _collect(counts, total * word_share)
-    model = Model(total, distinct, words, n)
-    least = max(total * ngram_share, LEAST)
-    for _ in range(1, order):
-        shared = texts.sparkSession.sparkContext.broadcast(model)
-        found = counted(lambda batches, shared=shared: _count_ngrams(batches, shared.value, least))
-        keys, n = _collect(found, least)
-        model.grams.append(Ngrams(keys.view(np.int64), n))
-        shared.unpersist()
-        if not len(keys):
-            break
-    _smooth(model)
-    return model, counts
-
-
-def _smooth(model: Model) -> None:
-    """Probabilities of the kept n-grams, and the number of each one's suffix."""
-    lower_counts = model.counts
-    suffix = np.zeros(len(model.words), dtype=np.int64)  # of the history one order below
-    below: Ngrams | None = None
-    for grams in model.grams:
-        history, word = grams.keys >> 32, grams.keys & 0xFFFFFFFF
-        grams.logp = np.log10((grams.counts - DISCOUNT) / lower_counts[history - 1])
-        if below is None:
-            grams.suffix = word
-        else:
-            grams.suffix = below.number(suffix[history - 1] << 32 | word)
-        suffix, below = grams.suffix, grams
-        lower_counts = grams.counts
-
-
-class Automaton:
-    """States are the root (0), then the common words, then the kept n-grams below the top order."""
-
-    def __init__(self, model: Model):
-        self.model = model
-        n_words = len(model.words)
-        firsts = [1]  # first state of each order
-        for size in [n_words, *(len(g.keys) for g in model.grams[:-1])]:
-            firsts.append(firsts[-1] + size)
-        states = firsts[-1]
-        self.unigram = [0.0, *model.logp(model.counts).tolist()]
-        fail = np.zeros(states, dtype=np.int64)
-        weight = np.zeros(states)
-        arcs: dict[int, tuple[float, int]] = {}
-        lower = model.logp(model.counts)
-        for depth, grams in enumerate(model.grams):
-            history, word = grams.keys >> 32, grams.keys & 0xFFFFFFFF
-            source = firsts[depth] + history - 1
-            shorter = (word if depth == 0 else grams.suffix) - 1
-            left = np.ones(states)
-            rest = np.ones(states)
-            np.subtract.at(left, source, 10.0**grams.logp)
-            np.subtract.at(rest, source, 10.0 ** lower[shorter])
-            own = np.unique(source)
-            weight[own] = np.log10(np.maximum(left[own], 1e-12) / np.maximum(rest[own], 1e-12))
-            top = depth == len(model.grams) - 1
-            if top:
-                target = firsts[depth] + shorter
-            else:
-                target = firsts[depth + 1] + np.arange(len(grams.keys))
-                fail[target] = firsts[depth] + shorter
-            arcs.update(
-                zip(
-                    (source << 32 | word).tolist(),
-                    zip(grams.logp.tolist(), target.tolist()),
-                )
-            )
-            lower = grams.logp
-        self.arcs, self.fail, self.weight = arcs, fail.tolist(), weight.tolist()
-        # A state without arcs is the state it fails to.
-        live = np.zeros(states, dtype=bool)
-        for depth, grams in enumerate(model.grams):
-            live[np.unique(firsts[depth] + (grams.keys >> 32) - 1)] = True
-        to = np.arange(states)
-        for state in range(1, states):  # shorter histories have smaller numbers
-            if not live[state]:
-                to[state] = to[fail[state]]
-        self.arcs = {k: (p, int(to[t])) for k, (p, t) in arcs.items()}
-        self.fail = to[fail].tolist()
-        self.after = to[np.arange(n_words + 1)].tolist()
-
-    def walk(self, numbers: list[int]) -> float:
-        """Log10 probability of the tokens, words outside the automaton (0) left out."""
-        arcs, fail, weight = self.arcs, self.fail, self.weight
-        unigram, after = self.unigram, self.after
-        state, total = 0, 0.0
-        for word in numbers:
-            while state:
-                arc = arcs.get(state << 32 | word)
-                if arc is not None:
-                    total += arc[0]
-                    state = arc[1]
-                    break
-                total += weight[state]
-                state = fail[state]
-            else:
-                total += unigram[word]
-                state = after[word]
-        return total
-
-
 def _grams(
     hashes: np.ndarray, bounds: np.ndarray, order: int
 ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -316,172 +113,290 @@ def _grams(
         yield keys[at], history, suffix, at
 
 
-def _count_grams(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[pa.RecordBatch]:
-    """(history, suffix, n) of all n-grams of one order."""
+def _slices(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    number = TaskContext.get().partitionId() << 32
     for batch in batches:
-        for a, b in row_slices(batch.column(0)):
-            *_, (keys, history, suffix, _) = _grams(*_tokens(batch.column(0).slice(a, b - a)), order)
-            _, first, n = np.unique(keys, return_index=True, return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(history[first].view(np.int64)),
-                    pa.array(suffix[first].view(np.int64)),
-                    pa.array(n.astype(np.int64)),
-                ],
-                names=["history", "suffix", "n"],
+        for a, b in row_slices(batch.column(2), size):
+            hashes, bounds = _tokens(batch.column(2).slice(a, b - a))
+            held = batch.column(1).slice(a, b - a)
+            vocabulary, codes = np.unique(hashes, return_inverse=True)
+            free = ~held.to_numpy(zero_copy_only=False).astype(bool)
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "slice": pa.array([number], pa.int64()),
+                    "ids": pa.array([batch.column(0).slice(a, b - a).to_pylist()], pa.list_(pa.int64())),
+                    "held": pa.array([held.to_pylist()], pa.list_(pa.bool_())),
+                    "bounds": pa.array([pack(bounds.astype(np.int64))], pa.binary()),
+                    "codes": pa.array([pack(codes.astype(np.uint32))], pa.binary()),
+                    "vocabulary": pa.array([pack(vocabulary)], pa.binary()),
+                    "n_train": pa.array([int(np.diff(bounds)[free].sum())], pa.int64()),
+                }
             )
+            number += 1
+
 
+@dataclass
+class Level:
+    """The n-grams of one length in a slice. ``keys`` are the different ones, ascending; ``of`` is
+    the place there of the n-gram that ends at a token, -1 where none does; ``first`` is a token
+    that each one ends at."""
+
+    keys: np.ndarray
+    of: np.ndarray
+    first: np.ndarray
+
+
+class Slice:
+    """Tokens of some texts and their n-grams."""
+
+    def __init__(self, row: dict, order: int):
+        self.ids, self.held = row["ids"], row["held"]
+        self.bounds = unpack(row["bounds"], np.int64)
+        hashes = unpack(row["vocabulary"], np.uint64)[unpack(row["codes"], np.uint32)]
+        self.levels = [self._level(hashes, np.arange(len(hashes)), len(hashes))]
+        for keys, _, _, at in _grams(hashes, self.bounds, order):
+            self.levels.append(self._level(keys, at, len(hashes)))
+
+    @staticmethod
+    def _level(keys: np.ndarray, at: np.ndarray, n: int) -> Level:
+        order = np.argsort(keys)
+        ranked = keys[order]
+        new = np.ones(len(ranked), dtype=bool)
+        new[1:] = ranked[1:] != ranked[:-1]
+        of = np.full(n, -1, dtype=np.int64)
+        of[at[order]] = np.cumsum(new) - 1
+        return Level(ranked[new], of, at[order[new]])
+
+    def train_counts(self, level: Level) -> np.ndarray:
+        """How often each n-gram of the level stands in training texts."""
+        free = np.repeat(~np.array(self.held, dtype=bool), np.diff(self.bounds))
+        return np.bincount(level.of[free & (level.of >= 0)], minlength=len(level.keys))
+
+
+def _rows(table) -> Iterator[dict]:
+    for row in range(table.num_rows):
+        yield {name: table.column(name)[row].as_py() for name in table.schema.names}
+
+
+def _cuts(keys: np.ndarray, bits: int) -> list[tuple[int, int, int]]:
+    """(bucket, begin, end) of the keys of each hash range that has some."""
+    bucket = (keys >> np.uint64(64 - bits)).astype(np.int64)
+    begins = np.flatnonzero(np.diff(bucket, prepend=-1))
+    ends = np.append(begins[1:], len(keys))
+    return list(zip(bucket[begins].tolist(), begins.tolist(), ends.tolist()))
+
+
+def _table(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    kinds = {"bigint": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    fields = [part.split() for part in schema.split(", ")]
+    columns = list(zip(*rows)) if rows else [()] * len(fields)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, kinds[kind]) for c, (_, kind) in zip(columns, fields)],
+        names=[name for name, _ in fields],
+    )
 
-def _key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds the key of each n-gram, as ``_grams`` gives it."""
+
+def _questions(
+    batches: Iterator[pa.RecordBatch], order: int, bits: int
+) -> Iterator[pa.RecordBatch]:
+    """First round: the different n-grams of each slice and their counts in training texts."""
     for batch in batches:
-        history, suffix = (
-            np.array(batch.column(i).to_numpy(), dtype=np.int64).view(np.uint64) for i in (0, 1)
-        )
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(chain(history, suffix).view(np.int64)), *batch.columns],
-            names=["k", "history", "suffix", "n"],
-        )
+        for row in _rows(batch):
+            own = Slice(row, order)
+            for depth, level in enumerate(own.levels):
+                counts = own.train_counts(level).astype(np.uint32)
+                yield _table(
+                    [
+                        (b, row["slice"], depth, pack(level.keys[s:e]), pack(counts[s:e]), None)
+                        for b, s, e in _cuts(level.keys, bits)
+                    ],
+                    MESSAGE,
+                )
 
 
-def values(
-    texts: DataFrame, order: int, word_share: float, ngram_share: float
-) -> tuple[DataFrame, int, float]:
-    """Stored values (k, n, word, base, value) of all words and kept n-grams of the one text column,
-    the number of tokens, and what counts are divided by. ``base`` is a word's own probability."""
-    counts, total, distinct = _word_counts(texts)
-    size = total + 0.5 * (distinct + 1)
-    least = max(total * ngram_share, LEAST)
-    words = counts.withColumn("logp", F.log10((F.col("n") + 0.5) / size))
-    lower = words.filter(F.col("n") >= total * word_share).select("k", "n", "logp")
-    # Per order: its n-grams (k, n, own: value without the weight of the own state).
-    levels = [words.select("k", "n", F.lit(True).alias("word"), "logp", F.col("logp").alias("own"))]
-    weights = []
-    for n in range(2, order + 1):
-        counted = (
-            texts.mapInArrow(
-                lambda batches, n=n: _count_grams(batches, n),
-                "history bigint, suffix bigint, n bigint",
-            )
-            .groupBy("history", "suffix")
-            .agg(F.sum("n").alias("n"))
-            .filter(F.col("n") >= least)
-            .mapInArrow(_key, "k bigint, history bigint, suffix bigint, n bigint")
-        )
-        kept = stage(
-            counted.join(lower.select(F.col("k").alias("history"), F.col("n").alias("of")), "history")
-            .join(lower.select(F.col("k").alias("suffix"), F.col("logp").alias("shorter")), "suffix")
-            .withColumn("logp", F.log10((F.col("n") - DISCOUNT) / F.col("of"))),
-            "ngrams",
+def _by_depth(table: pa.Table) -> Iterator[tuple[int, list[dict], np.ndarray, np.ndarray, np.ndarray]]:
+    """Per length of n-grams: the messages of a range in order, the place of each of their keys in
+    key order, where a new key begins there, and the bounds of the messages."""
+    for depth in sorted(set(table.column("depth").to_pylist())):
+        part = table.filter(pc.equal(table.column("depth"), depth)).sort_by("slice")
+        messages = list(_rows(part))
+        keys = [unpack(m["keys"], np.uint64) for m in messages]
+        bounds = np.concatenate(([0], np.cumsum([len(k) for k in keys])))
+        keys = np.concatenate(keys)
+        ranked = np.argsort(keys, kind="stable")
+        sorted_keys = keys[ranked]
+        new = np.ones(len(keys), dtype=bool)
+        new[1:] = sorted_keys[1:] != sorted_keys[:-1]
+        yield depth, messages, ranked, np.flatnonzero(new), bounds
+
+
+def _totals(table: pa.Table) -> pa.Table:
+    """Answers of one range: twice the total of each n-gram, and 1 more for the slice that owns it."""
+    out = []
+    for depth, messages, ranked, starts, bounds in _by_depth(table):
+        counts = np.concatenate([unpack(m["a"], np.uint32) for m in messages]).astype(np.int64)
+        totals = np.add.reduceat(counts[ranked], starts)
+        answer = np.empty(len(ranked), dtype=np.uint64)
+        answer[ranked] = 2 * np.repeat(totals, np.diff(np.append(starts, len(ranked))))
+        known = answer[ranked[starts]] > 0
+        answer[ranked[starts]] += np.uint64(1)
+        owned = np.zeros(len(ranked), dtype=bool)
+        owned[ranked[starts[known]]] = True
+        for m, s, e in zip(messages, bounds, bounds[1:]):
+            out.append((m["slice"], m["bucket"], depth, pack(answer[s:e]), int(owned[s:e].sum())))
+    return pa.Table.from_batches([_table(out, ANSWER)])
+
+
+def _weights(table: pa.Table) -> pa.Table:
+    """Answers of one range: the failure weight of each state, 0 without kept followers."""
+    out = []
+    for depth, messages, ranked, starts, bounds in _by_depth(table):
+        taken, given = (
+            np.add.reduceat(np.concatenate([unpack(m[c], np.float64) for m in messages])[ranked], starts)
+            for c in ("a", "b")
         )
-        left, rest = (
-            F.greatest(1 - F.sum(F.pow(F.lit(10.0), F.col(c))), F.lit(1e-12))
-            for c in ("logp", "shorter")
+        weight = np.where(
+            taken > 0, np.log10(np.maximum(1 - taken, 1e-12) / np.maximum(1 - given, 1e-12)), 0.0
         )
-        weight = stage(
-            kept.groupBy("history").agg((F.log10(left) - F.log10(rest)).alias("weight")), "weights"
-        )
-        own = F.col("logp") - F.col("shorter") - F.col("weight")
-        levels.append(
-            kept.join(weight, "history").select(
-                "k", "n", F.lit(False).alias("word"), F.lit(0.0).alias("logp"), own.alias("own")
-            )
-        )
-        weights.append(weight.withColumnRenamed("history", "k"))
-        lower = kept.select("k", "n", "logp")
-    out = None
-    for level, weight in zip(levels, [*weights, None]):
-        value = F.col("own")
-        if weight is not None:
-            level = level.join(weight, "k", "left")
-            value = value + F.coalesce("weight", F.lit(0.0))
-        level = level.select("k", "n", "word", F.col("logp").alias("base"), value.alias("value"))
-        out = level if out is None else out.unionByName(level)
-    return stage(out, "ngram-values"), total, size
+        answer = np.empty(len(ranked))
+        answer[ranked] = np.repeat(weight, np.diff(np.append(starts, len(ranked))))
+        for m, s, e in zip(messages, bounds, bounds[1:]):
+            out.append((m["slice"], m["bucket"], depth, pack(answer[s:e]), 0))
+    return pa.Table.from_batches([_table(out, ANSWER)])
 
 
 @dataclass
-class Common:
-    """Values of the most common words and n-grams, ascending by key."""
+class Sizes:
+    """What all slices know of the corpus: training tokens and different words, and the parameters."""
 
-    keys: np.ndarray
-    base: np.ndarray
-    value: np.ndarray
+    total: int
+    distinct: int
     order: int
+    word_share: float
+    ngram_share: float
 
-    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Which keys are here, and their places."""
-        if not len(self.keys):
-            return np.zeros(len(keys), dtype=bool), np.zeros(len(keys), dtype=np.int64)
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return self.keys[at] == keys, at
-
-
-def _common(table: DataFrame, total: int, order: int) -> Common:
-    share = F.when(F.col("word"), COMMON_WORDS).otherwise(COMMON_NGRAMS)
-    found = table.filter(F.col("n") >= share * total).select("k", "base", "value").toArrow()
-    found = found.combine_chunks()
-    keys = np.array(found.column("k").to_numpy(), dtype=np.int64).view(np.uint64)
-    by_key = np.argsort(keys, kind="stable")
-    base, value = (np.array(found.column(c).to_numpy(), dtype=float) for c in ("base", "value"))
-    return Common(keys[by_key], base[by_key], value[by_key], order)
-
-
-def _score(batches: Iterator[pa.RecordBatch], common: Common) -> Iterator[pa.RecordBatch]:
-    """Rows with a key, and the sums over their common words and n-grams."""
-    key = TaskContext.get().partitionId() << 32
-    order = common.order
-    base, value = (np.append(v, 0.0) for v in (common.base, common.value))
-    for batch in batches:
-        for a, b in row_slices(batch.column(2)):
-            text = batch.column(2).slice(a, b - a)
-            hashes, bounds = _tokens(text)
-            here, at = common.find(hashes)
-            at = np.where(here, at, -1)
-            sums = value[at]
-            for keys, _, _, ends in _grams(hashes, bounds, order):
-                known, place = common.find(keys)
-                sums[ends] += np.where(known, value[place], 0.0)
-            yield pa.RecordBatch.from_arrays(
+    @property
+    def size(self) -> float:
+        return self.total + 0.5 * (self.distinct + 1)
+
+
+def _answers(table: pa.Table, depth: int, kind: type) -> np.ndarray:
+    part = table.filter(pc.equal(table.column("depth"), depth)).sort_by("bucket")
+    blobs = [unpack(x, kind) for x in part.column("answer").to_pylist()]
+    return np.concatenate(blobs) if blobs else np.empty(0, kind)
+
+
+class Arcs:
+    """The part of the automaton that a slice can reach: of each n-gram of the slice its count,
+    whether it is kept, and the probability on its arc."""
+
+    def __init__(self, own: Slice, totals: pa.Table, sizes: Sizes):
+        least = max(sizes.total * sizes.ngram_share, LEAST)
+        self.counts, self.owned, self.kept, self.chance = [], [], [], []
+        #: Per n-gram the place of its history and of its suffix one level below.
+        self.history, self.suffix = [], []
+        for depth, level in enumerate(own.levels):
+            answer = _answers(totals, depth, np.uint64)
+            if len(answer) != len(level.keys):
+                raise RuntimeError("answers of a round are missing")
+            counts = (answer >> np.uint64(1)).astype(np.float64)
+            self.counts.append(counts)
+            self.owned.append((answer & np.uint64(1)) > 0)
+            if depth == 0:
+                self.history.append(None)
+                self.suffix.append(None)
+                self.kept.append(counts >= max(sizes.total * sizes.word_share, 1))
+                self.chance.append((counts + 0.5) / sizes.size)
+                continue
+            below = own.levels[depth - 1]
+            history, suffix = below.of[level.first - 1], below.of[level.first]
+            kept = counts >= least
+            kept &= self.kept[-1][history] & self.kept[-1][suffix]
+            self.history.append(history)
+            self.suffix.append(suffix)
+            self.kept.append(kept)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                self.chance.append(np.where(kept, (counts - DISCOUNT) / self.counts[-2][history], 0.0))
+
+    def states(self, depth: int) -> np.ndarray:
+        """The n-grams that can have kept followers: none that was seen once can."""
+        return np.flatnonzero(self.kept[depth] & (self.counts[depth] >= LEAST))
+
+
+def _contributions(left: pa.Table, right: pa.Table, sizes: Sizes, bits: int) -> pa.Table:
+    """Second round: the states of a slice, with the sums over their followers that the slice owns:
+    of the followers' probabilities, and of those of the followers' suffixes."""
+    out = []
+    for row in _rows(left):
+        own = Slice(row, sizes.order)
+        arcs = Arcs(own, right, sizes)
+        for depth in range(sizes.order - 1):
+            mine = np.flatnonzero(arcs.kept[depth + 1] & arcs.owned[depth + 1])
+            history, suffix = arcs.history[depth + 1][mine], arcs.suffix[depth + 1][mine]
+            n = len(own.levels[depth].keys)
+            taken = np.bincount(history, arcs.chance[depth + 1][mine], n)
+            given = np.bincount(history, arcs.chance[depth][suffix], n)
+            states = arcs.states(depth)
+            keys = own.levels[depth].keys[states]
+            out += [
+                (b, row["slice"], depth, pack(keys[s:e]), pack(taken[states[s:e]]), pack(given[states[s:e]]))
+                for b, s, e in _cuts(keys, bits)
+            ]
+    return pa.Table.from_batches([_table(out, MESSAGE)])
+
+
+def _walk(own: Slice, arcs: Arcs, weights: pa.Table, order: int) -> np.ndarray:
+    """Log10 probability of each token, all texts of the slice being read from left to right.
+
+    From the state of the longest history that is kept a token takes its arc, or fails to the next
+    shorter one, which adds the state's weight, until an arc is there; the root has all words."""
+    score = np.log10(arcs.chance[0])[own.levels[0].of]
+    for depth in range(1, order):
+        level, below = own.levels[depth], own.levels[depth - 1]
+        weight = np.zeros(len(below.keys))
+        weight[arcs.states(depth - 1)] = _answers(weights, depth - 1, np.float64)
+        at = np.flatnonzero(level.of >= 0)
+        state, gram = below.of[at - 1], level.of[at]
+        live = arcs.kept[depth - 1][state]
+        at, state, gram = at[live], state[live], gram[live]
+        with np.errstate(divide="ignore"):
+            arc = np.log10(arcs.chance[depth][gram])
+        score[at] = np.where(arcs.kept[depth][gram], arc, weight[state] + score[at])
+    return score
+
+
+def _scores(left: pa.Table, right: pa.Table, sizes: Sizes) -> pa.Table:
+    """Scores of a slice's texts from the answers of both rounds."""
+    first = right.filter(pc.equal(right.column("round"), 1))
+    second = right.filter(pc.equal(right.column("round"), 2))
+    out = []
+    for row in _rows(left):
+        own = Slice(row, sizes.order)
+        arcs = Arcs(own, first, sizes)
+        words = own.levels[0].of
+        base = np.log10(arcs.chance[0])[words]
+        known = (arcs.counts[0] > 0)[words].astype(np.int64)
+        out.append(
+            pa.RecordBatch.from_arrays(
                 [
-                    pa.array(key + np.arange(b - a)),
-                    batch.column(0).slice(a, b - a),
-                    batch.column(1).slice(a, b - a),
-                    pa.array(np.diff(bounds)),
-                    pa.array(row_sums(here.astype(np.int64), bounds)),
-                    pa.array(row_sums(base[at], bounds)),
-                    pa.array(row_sums(sums, bounds)),
-                    text,
+                    pa.array(own.ids, pa.int64()),
+                    pa.array(own.held, pa.bool_()),
+                    pa.array(np.diff(own.bounds)),
+                    pa.array(row_sums(known, own.bounds)),
+                    pa.array(row_sums(base, own.bounds)),
+                    pa.array(row_sums(_walk(own, arcs, second, sizes.order), own.bounds)),
                 ],
                 names=[part.split()[0] for part in SCORED.split(", ")],
             )
-            key += b - a
+        )
+    return pa.Table.from_batches(out)
 
 
-def _others(batches: Iterator[pa.RecordBatch], common: Common) -> Iterator[pa.RecordBatch]:
-    """(key, k, times): the words and n-grams of each row that are not common."""
-    for batch in batches:
-        for a, b in row_slices(batch.column(1)):
-            hashes, bounds = _tokens(batch.column(1).slice(a, b - a))
-            row = np.repeat(batch.column(0).slice(a, b - a).to_numpy(), np.diff(bounds))
-            found = [(hashes, row)]
-            found += [(k, row[ends]) for k, _, _, ends in _grams(hashes, bounds, common.order)]
-            for keys, of in found:
-                rare = ~common.find(keys)[0]
-                keys, of = keys[rare], of[rare]
-                order = np.lexsort((keys, of))
-                keys, of = keys[order], of[order]
-                first = np.ones(len(keys), dtype=bool)
-                first[1:] = (keys[1:] != keys[:-1]) | (of[1:] != of[:-1])
-                at = np.flatnonzero(first)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(of[at]),
-                        pa.array(keys[at].view(np.int64)),
-                        pa.array(np.diff(np.append(at, len(keys))).astype(np.int32)),
-                    ],
-                    names=["key", "k", "times"],
-                )
+def _settle(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete the shuffle files of finished rounds: it acts when the driver
+    collects the plans they belong to."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def score(
@@ -492,46 +407,59 @@ def score(
     order: int = ORDER,
     word_share: float = WORD_SHARE,
     ngram_share: float = NGRAM_SHARE,
+    slice_bytes: int = SLICE_BYTES,
+    range_keys: int = RANGE_KEYS,
 ) -> DataFrame:
     """Train on the rows where ``held_out`` is not true and score all rows: doc_id, held_out,
     n_tokens, n_known, train_tokens, base_score, score.
 
     Null and empty texts are one token, their end. ``held_out`` counts as false where it is null.
-    Rows that repeat each count and each keep a row.
+    Rows that repeat each count and each keep a row. Scores do not depend on ``slice_bytes`` and
+    ``range_keys``, which bound what a task holds.
     """
+    spark = docs.sparkSession
     rows = docs.select(
         F.col(id_column).cast("long").alias("doc_id"),
         F.coalesce(held_out, F.lit(False)).alias("held_out"),
         F.col(text).alias("text"),
     )
-    table, total, size = values(
-        rows.filter(~F.col("held_out")).select("text"), order, word_share, ngram_share
+    tokens = stage(rows.mapInArrow(lambda batches: _slices(batches, slice_bytes), TOKENS), "tokens")
+    seen = tokens.agg(
+        F.sum("n_train").alias("total"), F.sum(F.length("codes")).alias("packed")
+    ).first()
+    total = seen["total"] or 0
+    # A packed token takes two bytes or less; ranges are a power of two.
+    ranges = max(2, order * (seen["packed"] or 0) // range_keys)
+    bits = max(1, (ranges - 1).bit_length())
+    totals = stage(
+        tokens.mapInArrow(lambda batches: _questions(batches, order, bits), MESSAGE)
+        .groupBy("bucket")
+        .applyInArrow(_totals, ANSWER),
+        "totals",
     )
-    common = _common(table, total, order)
-    shared = docs.sparkSession.sparkContext.broadcast(common)
-    scored = stage(
-        rows.mapInArrow(lambda batches: _score(batches, shared.value), SCORED), "scored"
+    _settle(spark)
+    distinct = totals.filter("depth = 0").agg(F.sum("n_distinct").alias("n")).first()["n"] or 0
+    sizes = Sizes(total, distinct, order, word_share, ngram_share)
+    asked = (
+        tokens.groupBy("slice")
+        .cogroup(totals.groupBy("slice"))
+        .applyInArrow(lambda a, b: _contributions(a, b, sizes, bits), MESSAGE)
     )
-    others = scored.select("key", "text").mapInArrow(
-        lambda batches: _others(batches, shared.value), "key bigint, k bigint, times int"
-    )
-    sums = (
-        others.join(table.select("k", "word", "base", "value"), "k")
-        .groupBy("key")
-        .agg(
-            F.sum(F.when(F.col("word"), F.col("times"))).alias("rare_known"),
-            F.sum(F.col("times") * F.col("base")).alias("rare_base"),
-            F.sum(F.col("times") * F.col("value")).alias("rare_value"),
-        )
+    weights = stage(asked.groupBy("bucket").applyInArrow(_weights, ANSWER), "failure-weights")
+    del asked
+    _settle(spark)
+    answers = totals.withColumn("round", F.lit(1)).unionByName(weights.withColumn("round", F.lit(2)))
+    scored = (
+        tokens.groupBy("slice")
+        .cogroup(answers.groupBy("slice"))
+        .applyInArrow(lambda a, b: _scores(a, b, sizes), SCORED)
     )
-    known = F.col("n_common") + F.coalesce("rare_known", F.lit(0))
-    unknown = (F.col("n_tokens") - known) * float(np.log10(0.5 / size))
-    return scored.drop("text").join(sums, "key", "left").select(
+    return scored.select(
         "doc_id",
         "held_out",
         "n_tokens",
-        known.alias("n_known"),
+        "n_known",
         F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("rare_base", F.lit(0.0)) + unknown).alias("base_score"),
-        (F.col("model") + F.coalesce("rare_value", F.lit(0.0)) + unknown).alias("score"),
+        F.col("base").alias("base_score"),
+        "score",
     )

@@ -7,6 +7,9 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import pytest
 from pyspark.sql import functions as F
 
@@ -83,18 +86,71 @@ def test_held_out_texts_gain_from_histories(run_query):
     assert row["n"] == 200 and row["gain"] > 0
 
 
-def test_probabilities_sum_to_one(spark):
-    """Over all known words, the unknown one, after each history of a small corpus."""
+def test_probabilities_sum_to_one(monkeypatch):
+    """Over all known words, the unknown one and the end, after each history of a small corpus: the
+    rounds of messages by hand, token by token."""
+
+    class Context:
+        @staticmethod
+        def get():
+            return Context
+
+        @staticmethod
+        def partitionId():
+            return 0
+
+    monkeypatch.setattr(lm, "TaskContext", Context)
+    histories, words = ["", "a", "b", "a b", "b a", "c", "b c"], ["a", "b", "c", "unknown"]
     texts = ["a b a b c", "a b c", "b a b"] * 5
-    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
-    model, _ = lm.train(docs.select("text"), 3, 1e-6, 1e-6)
-    walk = lm.Automaton(model).walk
-    numbers = range(1, len(model.words) + 1)
-    unknown = 0.5 / model.size
-    for history in ([], [1], [2], [1, 2], [2, 1]):
-        mass = sum(10 ** (walk([*history, w]) - walk(history)) for w in numbers)
-        known_only = 10 ** (walk([*history, 0]) - walk(history))  # the weight of all failure arcs
-        assert mass + known_only * unknown == pytest.approx(1.0, abs=1e-9)
+    texts += [f"{h} {w}" for h in histories for w in words]
+    batch = pa.RecordBatch.from_pydict(
+        {"id": list(range(len(texts))), "held": [i >= 15 for i in range(len(texts))], "text": texts}
+    )
+    tokens = pa.Table.from_batches(lm._slices(iter([batch]), 1 << 24))
+
+    def answered(messages, answer):
+        parts = [messages.filter(pa.compute.equal(messages.column("bucket"), b)) for b in (0, 1)]
+        return pa.concat_tables(answer(t) for t in parts if t.num_rows)
+
+    totals = answered(pa.Table.from_batches(lm._questions(iter(tokens.to_batches()), 3, 1)), lm._totals)
+    sizes = lm.Sizes(tokens.column("n_train")[0].as_py(), 4, 3, 0.0, 0.0)
+    assert sum(totals.filter(pa.compute.equal(totals.column("depth"), 0)).column("n_distinct").to_pylist()) == 4
+    weights = answered(lm._contributions(tokens, totals, sizes, 1), lm._weights)
+    own = lm.Slice(next(lm._rows(tokens)), 3)
+    chance = 10 ** lm._walk(own, lm.Arcs(own, totals, sizes), weights, 3)
+    starts = own.bounds[15:].tolist()
+    for k, history in enumerate(histories):
+        place = len(history.split())
+        mass = sum(chance[starts[4 * k + w] + place] for w in range(4))
+        if history in words:  # its end is seen where the history is a probe itself
+            mass += chance[starts[words.index(history)] + 1]
+        elif history:
+            before, last = history.split()
+            mass += chance[starts[4 * histories.index(before) + words.index(last)] + 2]
+        else:
+            mass += 10 ** np.log10((15 + 0.5) / sizes.size)
+        assert mass == pytest.approx(1.0, abs=1e-9)
+
+
+@pytest.mark.parametrize(("slice_bytes", "range_keys"), [(1, 10**9), (700, 50), (1 << 24, 200)])
+def test_slices_and_ranges_change_nothing(documents, slice_bytes, range_keys):
+    """One slice and many, one hash range and many: the same scores."""
+    docs = documents.filter("n_chars < 3000").limit(60)
+    key = lambda r: r["doc_id"]
+    want = sorted(lm.score(docs, held()).collect(), key=key)
+    got = sorted(lm.score(docs, held(), slice_bytes=slice_bytes, range_keys=range_keys).collect(), key=key)
+    assert len(got) == 60
+    for a, b in zip(got, want):
+        assert tuple(a)[:5] == tuple(b)[:5]
+        assert a["score"] == pytest.approx(b["score"], rel=1e-9)
+        assert a["base_score"] == pytest.approx(b["base_score"], rel=1e-9)
+
+
+def test_packed_arrays():
+    for kind in (np.uint64, np.uint32, np.float64):
+        values = np.arange(300).astype(kind) ** 2
+        assert (lm.unpack(lm.pack(values), kind) == values).all()
+        assert len(lm.unpack(lm.pack(values[:0]), kind)) == 0
 
 
 def test_odd_rows(odd_documents, no_documents):
