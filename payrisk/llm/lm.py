@@ -27,6 +27,7 @@ Words are identified by 64-bit hashes.
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -52,6 +53,8 @@ DISCOUNT = 0.5
 SLICE_BYTES = 16 << 20
 #: N-grams that a hash range should get from all slices.
 RANGE_KEYS = 2_000_000
+#: Seconds that Python gets to let go of the plans of a round.
+SETTLE_S = 1.0
 #: Stands for the end of a text; no word has it but by a collision of 64-bit hashes.
 END = np.uint64(0x9AE16A3B2F90404F)
 
@@ -72,6 +75,15 @@ def pack(values: np.ndarray) -> bytes:
     return zstandard.ZstdCompressor(level=1).compress(raw.T.tobytes())
 
 
+def pack_keys(keys: np.ndarray) -> bytes:
+    """Ascending keys as their differences, whose first bytes are nearly all zero."""
+    return pack(np.diff(keys, prepend=np.uint64(0)))
+
+
+def unpack_keys(blob: bytes) -> np.ndarray:
+    return np.cumsum(unpack(blob, np.uint64), dtype=np.uint64)
+
+
 def unpack(blob: bytes, kind: type) -> np.ndarray:
     raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
     size = np.dtype(kind).itemsize
@@ -128,7 +140,7 @@ def _slices(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordB
                     "held": pa.array([held.to_pylist()], pa.list_(pa.bool_())),
                     "bounds": pa.array([pack(bounds.astype(np.int64))], pa.binary()),
                     "codes": pa.array([pack(codes.astype(np.uint32))], pa.binary()),
-                    "vocabulary": pa.array([pack(vocabulary)], pa.binary()),
+                    "vocabulary": pa.array([pack_keys(vocabulary)], pa.binary()),
                     "n_train": pa.array([int(np.diff(bounds)[free].sum())], pa.int64()),
                 }
             )
@@ -152,7 +164,7 @@ class Slice:
     def __init__(self, row: dict, order: int):
         self.ids, self.held = row["ids"], row["held"]
         self.bounds = unpack(row["bounds"], np.int64)
-        hashes = unpack(row["vocabulary"], np.uint64)[unpack(row["codes"], np.uint32)]
+        hashes = unpack_keys(row["vocabulary"])[unpack(row["codes"], np.uint32)]
         self.levels = [self._level(hashes, np.arange(len(hashes)), len(hashes))]
         for keys, _, _, at in _grams(hashes, self.bounds, order):
             self.levels.append(self._level(keys, at, len(hashes)))
@@ -207,7 +219,7 @@ def _questions(
                 counts = own.train_counts(level).astype(np.uint32)
                 yield _table(
                     [
-                        (b, row["slice"], depth, pack(level.keys[s:e]), pack(counts[s:e]), None)
+                        (b, row["slice"], depth, pack_keys(level.keys[s:e]), pack(counts[s:e]), None)
                         for b, s, e in _cuts(level.keys, bits)
                     ],
                     MESSAGE,
@@ -220,7 +232,7 @@ def _by_depth(table: pa.Table) -> Iterator[tuple[int, list[dict], np.ndarray, np
     for depth in sorted(set(table.column("depth").to_pylist())):
         part = table.filter(pc.equal(table.column("depth"), depth)).sort_by("slice")
         messages = list(_rows(part))
-        keys = [unpack(m["keys"], np.uint64) for m in messages]
+        keys = [unpack_keys(m["keys"]) for m in messages]
         bounds = np.concatenate(([0], np.cumsum([len(k) for k in keys])))
         keys = np.concatenate(keys)
         ranked = np.argsort(keys, kind="stable")
@@ -339,7 +351,7 @@ def _contributions(left: pa.Table, right: pa.Table, sizes: Sizes, bits: int) ->
             states = arcs.states(depth)
             keys = own.levels[depth].keys[states]
             out += [
-                (b, row["slice"], depth, pack(keys[s:e]), pack(taken[states[s:e]]), pack(given[states[s:e]]))
+                (b, row["slice"], depth, pack_keys(keys[s:e]), pack(taken[states[s:e]]), pack(given[states[s:e]]))
                 for b, s, e in _cuts(keys, bits)
             ]
     return pa.Table.from_batches([_table(out, MESSAGE)])
@@ -394,8 +406,10 @@ def _scores(left: pa.Table, right: pa.Table, sizes: Sizes) -> pa.Table:
 
 def _settle(spark: SparkSession) -> None:
     """Let Spark's cleaner delete the shuffle files of finished rounds: it acts when the driver
-    collects the plans they belong to."""
+    collects the plans they belong to. Python tells the JVM from a thread of its own that it has let
+    go of them, so this waits a moment in between."""
     gc.collect()
+    time.sleep(SETTLE_S)
     spark.sparkContext._jvm.System.gc()
 
 

@@ -51,7 +51,7 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _LIKE = re.compile(r"[A-Za-z0-9][A-Za-z0-9._@/+-]*[A-Za-z0-9]")
 _WORD = re.compile(r"[0-9A-Za-z\u0080-\U0010ffff]+")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
-#: Characters before an identifier in which its words are looked for.
+#: Characters before an identifier in which its words are looked for first.
 _REACH = 120
 
 SPAN = T.ArrayType(
@@ -125,12 +125,19 @@ def other_identifiers(text: str, base: list[tuple[str, int, int]]) -> list[tuple
 
 
 def contexts(text: str, start: int) -> list[str]:
-    """The words before a place: the last one, the last two, up to ``LONGEST``."""
-    before = text[max(0, start - _REACH) : start]
-    words = [w.translate(_FOLD) for w in _WORD.findall(before)][-LONGEST:]
-    if len(before) == _REACH and len(words) < LONGEST and words:
-        words = words[1:]  # the first may be cut
-    return [" ".join(words[-n:]) for n in range(1, len(words) + 1)]
+    """The words before a place: the last one, the last two, up to ``LONGEST``. Words are whole
+    however long they are, as ``_occurrences`` counts them."""
+    reach = _REACH
+    while True:
+        low = max(0, start - reach)
+        words = list(_WORD.finditer(text, low, start))
+        if low and words and words[0].start() == low:
+            del words[0]  # it may be cut
+        if not low or len(words) >= LONGEST:
+            break
+        reach *= 4
+    last = [w.group().translate(_FOLD) for w in words[-LONGEST:]]
+    return [" ".join(last[-n:]) for n in range(1, len(last) + 1)]
 
 
 _FOLD = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}

@@ -151,6 +151,8 @@ def test_packed_arrays():
         values = np.arange(300).astype(kind) ** 2
         assert (lm.unpack(lm.pack(values), kind) == values).all()
         assert len(lm.unpack(lm.pack(values[:0]), kind)) == 0
+    keys = np.unique(np.random.default_rng(1).integers(0, 2**64, 999, dtype=np.uint64, endpoint=False))
+    assert (lm.unpack_keys(lm.pack_keys(keys)) == keys).all()
 
 
 def test_odd_rows(odd_documents, no_documents):

@@ -116,3 +116,16 @@ def test_rare_contexts_are_learnt_among_many_numbers(spark):
     spans = {r["doc_id"]: [s["kind"] for s in r["spans"]] for r in pii.find(docs, patterns).collect()}
     assert all(spans[100 + i] == (["email"] if i % 2 else [pii.FOUND]) for i in range(20))
     assert not spans[0]
+
+
+def test_words_of_contexts_are_whole():
+    """However long the words before an identifier and the gaps between them are."""
+    pick = random.Random(8)
+    for _ in range(300):
+        parts = [pick.choice("aBé9") * pick.choice([1, 5, 60, 118, 119, 120, 121, 500]) for _ in range(pick.randrange(6))]
+        before = "".join(p + pick.choice([" ", ", ", "." * 130, "\n" * 700]) for p in parts)
+        words = [w.translate(pii._FOLD) for w in pii._WORD.findall(before)][-3:]
+        want = [" ".join(words[-n:]) for n in range(1, len(words) + 1)]
+        assert pii.contexts(before + "4711-0815", len(before)) == want
+    long = "a" * 60 + " " + "b" * 40 + " " + "c" * 30 + " "
+    assert pii.contexts(long + "4711", len(long))[-1] == long.strip()
