@@ -14,6 +14,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import numpy as np
@@ -123,23 +124,29 @@ def _is_aside(tag: str, attributes: list[tuple[str, str | None]]) -> bool:
     return False
 
 
-def _name_words(attributes: list[tuple[str, str | None]]) -> set[str]:
+_NO_WORDS: frozenset[str] = frozenset()
+
+
+def _name_words(attributes: list[tuple[str, str | None]]) -> frozenset[str]:
     """The words of class and id names that tell what is in an element."""
+    names = [value for name, value in attributes if name in ("class", "id") and value]
+    return _words_of(" ".join(names)) if names else _NO_WORDS
+
+
+@lru_cache(maxsize=4096)
+def _words_of(names: str) -> frozenset[str]:
     found = set()
-    for name, value in attributes:
-        if name in ("class", "id"):
-            for single in (value or "").split():
-                parts = [p.lower() for p in _PARTS.findall(single)]
-                if len(parts) < 2 or parts[0] not in BESIDE:
-                    found.update(parts)
-    return found
+    for single in names.split():
+        parts = [p.lower() for p in _PARTS.findall(single)]
+        if len(parts) < 2 or parts[0] not in BESIDE:
+            found.update(parts)
+    return frozenset(found)
 
 
-def _says_boilerplate(tag: str, attributes: list[tuple[str, str | None]]) -> bool:
-    """Whether the element's own name says so."""
-    if tag in ("html", "body", "main", "p"):
+def _says_boilerplate(tag: str, words: frozenset[str]) -> bool:
+    """Whether the element's own name, in its words, says so."""
+    if not words or tag in ("html", "body", "main", "p"):
         return False
-    words = _name_words(attributes)
     if tag == "article":
         # A reader's comment can be an article of its own.
         return bool(words & {"comment", "comments", "reply", "ad", "advert", "teaser", "promo"})
@@ -183,7 +190,8 @@ class Lines(HTMLParser):
         if tag == "a":
             self.links += 1
         hard = self.at.hard or _is_aside(tag, attributes)
-        named = _says_boilerplate(tag, attributes)
+        words = _name_words(attributes) if attributes else _NO_WORDS
+        named = _says_boilerplate(tag, words)
         element = Element(
             tag,
             self.at,
@@ -191,7 +199,7 @@ class Lines(HTMLParser):
             self.at.boilerplate or hard or named,
             hard,
             named,
-            self.at.hinted or bool(_name_words(attributes) & HINTS),
+            self.at.hinted or bool(words & HINTS),
         )
         element.titles = int(tag == "h1" and not element.boilerplate)
         element.heading = self.at.heading or tag in ("h1", "h2", "h3")
@@ -212,7 +220,9 @@ class Lines(HTMLParser):
 
     def leave_boilerplate(self, tag: str, attributes: list[tuple[str, str | None]]) -> None:
         """An article inside a menu or an advert that nobody closed ends it."""
-        if not self.at.boilerplate or _is_aside(tag, attributes) or _says_boilerplate(tag, attributes):
+        if not self.at.boilerplate or _is_aside(tag, attributes):
+            return
+        if _says_boilerplate(tag, _name_words(attributes)):
             return
         outer = self.at
         while outer.parent is not None and outer.parent.boilerplate:
@@ -312,7 +322,7 @@ def _open_wrappers(parser: Lines, lines: list[Line]) -> None:
 
     An element that names itself a comment or an advert stays closed inside of an opened one."""
     tops = [e for e in parser.elements if e.named and not e.hard and not e.parent.boilerplate]
-    if not tops:
+    if not tops or not lines:
         return
     inside: dict[int, Element] = {id(e): e for e in tops}
     top_of: dict[int, Element | None] = {}
