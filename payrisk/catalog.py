@@ -298,10 +298,6 @@ def _dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dashboard_store.read(spark, path)
 
 
-def totals_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dashboard_store.totals(_dashboard(spark, sf_dir))
-
-
 def timeline_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = dashboard_store.timeline(_dashboard(spark, sf_dir))
     return rows.withColumn("bucket_start", F.unix_micros("bucket_start"))
@@ -520,7 +516,6 @@ QUERIES: dict[str, Query] = {
     "features_upsert_batches": features_upsert_batches,
     "silver_increments": silver_increments,
     "device_counts_increments": device_counts_increments,
-    "totals_increments": totals_increments,
     "timeline_increments": timeline_increments,
     "top_merchants_increments": _top_increments("merchant"),
     "card_activity_increments": _activity_increments("card"),

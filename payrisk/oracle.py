@@ -384,7 +384,6 @@ FROM suspicious GROUP BY country ORDER BY capital_en_riesgo DESC, tasa_fraude_pc
     ),
     "dashboard_totals": _with(RELATIONS, TOTALS),
     "alerts_timeline": _with(RELATIONS, TIMELINE),
-    "totals_increments": _with(MONTH_RELATIONS, TOTALS),
     "timeline_increments": _with(MONTH_RELATIONS, TIMELINE),
     "top_merchants_increments": _top_risk("merchant_id", MONTH_RELATIONS),
     "card_activity_increments": _activity("card_id", MONTH_SCORED, "scored"),
