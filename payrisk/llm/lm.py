@@ -50,7 +50,7 @@ NGRAM_SHARE = 0.0
 LEAST = 2
 DISCOUNT = 0.5
 #: Text bytes of a slice, but one text at least.
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 12 << 20
 #: N-grams that a hash range should get from all slices.
 RANGE_KEYS = 2_000_000
 #: Seconds that Python gets to let go of the plans of a round.
@@ -171,13 +171,15 @@ class Slice:
 
     @staticmethod
     def _level(keys: np.ndarray, at: np.ndarray, n: int) -> Level:
-        order = np.argsort(keys)
+        # Places in a slice take four bytes: the arrays of two tasks share an executor.
+        order = np.argsort(keys).astype(np.int32)
         ranked = keys[order]
         new = np.ones(len(ranked), dtype=bool)
         new[1:] = ranked[1:] != ranked[:-1]
-        of = np.full(n, -1, dtype=np.int64)
-        of[at[order]] = np.cumsum(new) - 1
-        return Level(ranked[new], of, at[order[new]])
+        at = at.astype(np.int32)[order]
+        of = np.full(n, -1, dtype=np.int32)
+        of[at] = np.cumsum(new, dtype=np.int32) - 1
+        return Level(ranked[new], of, at[new])
 
     def train_counts(self, level: Level) -> np.ndarray:
         """How often each n-gram of the level stands in training texts."""
@@ -407,10 +409,12 @@ def _scores(left: pa.Table, right: pa.Table, sizes: Sizes) -> pa.Table:
 def _settle(spark: SparkSession) -> None:
     """Let Spark's cleaner delete the shuffle files of finished rounds: it acts when the driver
     collects the plans they belong to. Python tells the JVM from a thread of its own that it has let
-    go of them, so this waits a moment in between."""
-    gc.collect()
-    time.sleep(SETTLE_S)
-    spark.sparkContext._jvm.System.gc()
+    go of a plan, and what the plan held goes with the collection after that: so twice, with a
+    moment for it."""
+    for _ in range(2):
+        gc.collect()
+        time.sleep(SETTLE_S)
+        spark.sparkContext._jvm.System.gc()
 
 
 def score(
