@@ -15,6 +15,11 @@ from pyspark.sql import functions as F
 
 from payrisk.llm import lm
 
+@pytest.fixture(autouse=True)
+def no_waiting(monkeypatch):
+    monkeypatch.setattr(lm, "SETTLE_S", 0)
+
+
 def held():
     return F.crc32(F.col("doc_id").cast("string")) % 5 == 1
 
