@@ -117,7 +117,7 @@ def compact_small_files(
         _delete(spark, work)
         return 0
     # Folders carry the partition columns' values; files hold the others.
-    held = {p.split("=")[0] for p in first["folder"].split("/") if "=" in p}
+    held = _partition_columns(spark, path, first["folder"])
     columns = [c for c in table.columns if c not in held]
     small = F.col("_metadata.file_size") < int(target_bytes * LARGE)
     rows = table.filter(small).select(F.col("_metadata.file_path").alias("file"), *columns)
@@ -161,6 +161,14 @@ def _path(spark: SparkSession, text: str):
     return location, location.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def _partition_columns(spark: SparkSession, path: str, folder: str) -> set[str]:
+    """The columns that folders below ``path`` name; the path itself may hold = signs."""
+    root, files = _path(spark, path)
+    above = files.makeQualified(root).toUri().getPath().rstrip("/")
+    below = _path(spark, folder)[0].toUri().getPath()[len(above) :]
+    return {p.split("=")[0] for p in below.split("/") if "=" in p}
+
+
 def _exists(spark: SparkSession, text: str) -> bool:
     location, files = _path(spark, text)
     return bool(files.exists(location))
