@@ -14,9 +14,11 @@ builds the part of the automaton that its own texts can reach. What it does not
 in two rounds of messages between slices and hash ranges of n-grams:
 
 1. a slice sends each of its different n-grams with its count once; the range adds up and answers with
-   the totals, in the order of the question, and names one of the slices that asked the owner;
-2. the owners of kept n-grams send each one's probabilities to its history, and all slices ask for the
-   weights of their states; the range adds up and answers with the failure weights.
+   the totals, in the order of the question, and names one of the slices that asked the owner. The
+   longest n-grams go in a message round of their own, so not all are on the way at once;
+2. the owners of kept n-grams add their discounted counts to their history, and all slices ask for the
+   sums of their states; the range adds up and answers, and failure weights come from the sums. They
+   are whole numbers, so nothing depends on the order of addition.
 
 Messages are packed arrays, so an n-gram costs some six bytes a slice instead of a row, and an answer
 about one. No n-gram that a slice meets goes through a join.
@@ -28,7 +30,7 @@ from __future__ import annotations
 
 import gc
 import time
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -161,13 +163,19 @@ class Level:
 class Slice:
     """Tokens of some texts and their n-grams."""
 
-    def __init__(self, row: dict, order: int):
+    def __init__(self, row: dict, order: int, depths: Sequence[int] | None = None):
+        """Only the levels of ``depths`` are made, if given; depth 0 are words."""
         self.ids, self.held = row["ids"], row["held"]
         self.bounds = unpack(row["bounds"], np.int64)
         hashes = unpack_keys(row["vocabulary"])[unpack(row["codes"], np.uint32)]
-        self.levels = [self._level(hashes, np.arange(len(hashes)), len(hashes))]
-        for keys, _, _, at in _grams(hashes, self.bounds, order):
-            self.levels.append(self._level(keys, at, len(hashes)))
+        n = len(hashes)
+        wanted = range(order) if depths is None else depths
+        self.levels = {}
+        if 0 in wanted:
+            self.levels[0] = self._level(hashes, np.arange(n), n)
+        for depth, (keys, _, _, at) in enumerate(_grams(hashes, self.bounds, max(wanted) + 1), 1):
+            if depth in wanted:
+                self.levels[depth] = self._level(keys, at, n)
 
     @staticmethod
     def _level(keys: np.ndarray, at: np.ndarray, n: int) -> Level:
@@ -211,13 +219,14 @@ def _table(rows: list[tuple], schema: str) -> pa.RecordBatch:
 
 
 def _questions(
-    batches: Iterator[pa.RecordBatch], order: int, bits: int
+    batches: Iterator[pa.RecordBatch], depths: Sequence[int], bits: int
 ) -> Iterator[pa.RecordBatch]:
-    """First round: the different n-grams of each slice and their counts in training texts."""
+    """First round: the different n-grams of each slice, of some depths, and their counts in
+    training texts."""
     for batch in batches:
         for row in _rows(batch):
-            own = Slice(row, order)
-            for depth, level in enumerate(own.levels):
+            own = Slice(row, max(depths) + 1, depths)
+            for depth, level in own.levels.items():
                 counts = own.train_counts(level).astype(np.uint32)
                 yield _table(
                     [
@@ -261,21 +270,20 @@ def _totals(table: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_table(out, ANSWER)])
 
 
-def _weights(table: pa.Table) -> pa.Table:
-    """Answers of one range: the failure weight of each state, 0 without kept followers."""
+def _sums(table: pa.Table) -> pa.Table:
+    """Answers of one range: for each state both sums over its kept followers."""
     out = []
     for depth, messages, ranked, starts, bounds in _by_depth(table):
-        taken, given = (
-            np.add.reduceat(np.concatenate([unpack(m[c], np.float64) for m in messages])[ranked], starts)
-            for c in ("a", "b")
-        )
-        weight = np.where(
-            taken > 0, np.log10(np.maximum(1 - taken, 1e-12) / np.maximum(1 - given, 1e-12)), 0.0
-        )
-        answer = np.empty(len(ranked))
-        answer[ranked] = np.repeat(weight, np.diff(np.append(starts, len(ranked))))
+        answers = []
+        for part in ("a", "b"):
+            values = np.concatenate([unpack(m[part], np.int64) for m in messages])
+            totals = np.add.reduceat(values[ranked], starts)
+            answer = np.empty(len(ranked), dtype=np.int64)
+            answer[ranked] = np.repeat(totals, np.diff(np.append(starts, len(ranked))))
+            answers.append(answer)
         for m, s, e in zip(messages, bounds, bounds[1:]):
-            out.append((m["slice"], m["bucket"], depth, pack(answer[s:e]), 0))
+            both = pack(np.concatenate([answer[s:e] for answer in answers]))
+            out.append((m["slice"], m["bucket"], depth, both, 0))
     return pa.Table.from_batches([_table(out, ANSWER)])
 
 
@@ -294,10 +302,11 @@ class Sizes:
         return self.total + 0.5 * (self.distinct + 1)
 
 
-def _answers(table: pa.Table, depth: int, kind: type) -> np.ndarray:
+def _answers(table: pa.Table, depth: int, kind: type, parts: int = 1) -> list[np.ndarray]:
+    """The ranges' answers for the n-grams of a depth on end, for each part of an answer."""
     part = table.filter(pc.equal(table.column("depth"), depth)).sort_by("bucket")
-    blobs = [unpack(x, kind) for x in part.column("answer").to_pylist()]
-    return np.concatenate(blobs) if blobs else np.empty(0, kind)
+    blobs = [np.split(unpack(x, kind), parts) for x in part.column("answer").to_pylist()]
+    return [np.concatenate([b[k] for b in blobs]) if blobs else np.empty(0, kind) for k in range(parts)]
 
 
 class Arcs:
@@ -309,8 +318,8 @@ class Arcs:
         self.counts, self.owned, self.kept, self.chance = [], [], [], []
         #: Per n-gram the place of its history and of its suffix one level below.
         self.history, self.suffix = [], []
-        for depth, level in enumerate(own.levels):
-            answer = _answers(totals, depth, np.uint64)
+        for depth, level in own.levels.items():
+            (answer,) = _answers(totals, depth, np.uint64)
             if len(answer) != len(level.keys):
                 raise RuntimeError("answers of a round are missing")
             counts = (answer >> np.uint64(1)).astype(np.float64)
@@ -337,9 +346,14 @@ class Arcs:
         return np.flatnonzero(self.kept[depth] & (self.counts[depth] >= LEAST))
 
 
+def _twice(counts: np.ndarray, depth: int) -> np.ndarray:
+    """Twice the counts that probabilities are made of: whole numbers."""
+    return 2 * counts + 1 if depth == 0 else 2 * counts - 2 * DISCOUNT
+
+
 def _contributions(left: pa.Table, right: pa.Table, sizes: Sizes, bits: int) -> pa.Table:
     """Second round: the states of a slice, with the sums over their followers that the slice owns:
-    of the followers' probabilities, and of those of the followers' suffixes."""
+    of the followers' counts, and of those of the followers' suffixes."""
     out = []
     for row in _rows(left):
         own = Slice(row, sizes.order)
@@ -348,27 +362,43 @@ def _contributions(left: pa.Table, right: pa.Table, sizes: Sizes, bits: int) ->
             mine = np.flatnonzero(arcs.kept[depth + 1] & arcs.owned[depth + 1])
             history, suffix = arcs.history[depth + 1][mine], arcs.suffix[depth + 1][mine]
             n = len(own.levels[depth].keys)
-            taken = np.bincount(history, arcs.chance[depth + 1][mine], n)
-            given = np.bincount(history, arcs.chance[depth][suffix], n)
             states = arcs.states(depth)
+            taken = np.bincount(history, _twice(arcs.counts[depth + 1][mine], depth + 1), n)[states]
+            given = np.bincount(history, _twice(arcs.counts[depth][suffix], depth), n)[states]
+            taken, given = taken.astype(np.int64), given.astype(np.int64)
             keys = own.levels[depth].keys[states]
             out += [
-                (b, row["slice"], depth, pack_keys(keys[s:e]), pack(taken[states[s:e]]), pack(given[states[s:e]]))
+                (b, row["slice"], depth, pack_keys(keys[s:e]), pack(taken[s:e]), pack(given[s:e]))
                 for b, s, e in _cuts(keys, bits)
             ]
     return pa.Table.from_batches([_table(out, MESSAGE)])
 
 
-def _walk(own: Slice, arcs: Arcs, weights: pa.Table, order: int) -> np.ndarray:
+def _failure_weights(arcs: Arcs, sums: pa.Table, depth: int, sizes: Sizes) -> np.ndarray:
+    """Per n-gram of a depth the weight of its failure arc: what its arcs leave, over what the arcs
+    to the same words would leave at the shorter history. 0 without arcs."""
+    states = arcs.states(depth)
+    taken, given = _answers(sums, depth, np.int64, 2)
+    if len(taken) != len(states):
+        raise RuntimeError("answers of a round are missing")
+    of = arcs.counts[depth][states]
+    below = sizes.size if depth == 0 else arcs.counts[depth - 1][arcs.suffix[depth][states]]
+    left = np.maximum(1 - taken / 2 / of, 1e-12)
+    rest = np.maximum(1 - given / 2 / below, 1e-12)
+    weight = np.zeros(len(arcs.counts[depth]))
+    weight[states] = np.where(taken > 0, np.log10(left / rest), 0.0)
+    return weight
+
+
+def _walk(own: Slice, arcs: Arcs, sums: pa.Table, sizes: Sizes) -> np.ndarray:
     """Log10 probability of each token, all texts of the slice being read from left to right.
 
     From the state of the longest history that is kept a token takes its arc, or fails to the next
     shorter one, which adds the state's weight, until an arc is there; the root has all words."""
     score = np.log10(arcs.chance[0])[own.levels[0].of]
-    for depth in range(1, order):
+    for depth in range(1, sizes.order):
         level, below = own.levels[depth], own.levels[depth - 1]
-        weight = np.zeros(len(below.keys))
-        weight[arcs.states(depth - 1)] = _answers(weights, depth - 1, np.float64)
+        weight = _failure_weights(arcs, sums, depth - 1, sizes)
         at = np.flatnonzero(level.of >= 0)
         state, gram = below.of[at - 1], level.of[at]
         live = arcs.kept[depth - 1][state]
@@ -398,7 +428,7 @@ def _scores(left: pa.Table, right: pa.Table, sizes: Sizes) -> pa.Table:
                     pa.array(np.diff(own.bounds)),
                     pa.array(row_sums(known, own.bounds)),
                     pa.array(row_sums(base, own.bounds)),
-                    pa.array(row_sums(_walk(own, arcs, second, sizes.order), own.bounds)),
+                    pa.array(row_sums(_walk(own, arcs, second, sizes), own.bounds)),
                 ],
                 names=[part.split()[0] for part in SCORED.split(", ")],
             )
@@ -449,13 +479,16 @@ def score(
     # A packed token takes two bytes or less; ranges are a power of two.
     ranges = max(2, order * (seen["packed"] or 0) // range_keys)
     bits = max(1, (ranges - 1).bit_length())
-    totals = stage(
-        tokens.mapInArrow(lambda batches: _questions(batches, order, bits), MESSAGE)
-        .groupBy("bucket")
-        .applyInArrow(_totals, ANSWER),
-        "totals",
-    )
-    _settle(spark)
+    totals = None
+    for depths in (range(min(2, order)), *((d,) for d in range(2, order))):
+        answered = stage(
+            tokens.mapInArrow(lambda batches, d=depths: _questions(batches, d, bits), MESSAGE)
+            .groupBy("bucket")
+            .applyInArrow(_totals, ANSWER),
+            "totals",
+        )
+        totals = answered if totals is None else totals.unionByName(answered)
+        _settle(spark)
     distinct = totals.filter("depth = 0").agg(F.sum("n_distinct").alias("n")).first()["n"] or 0
     sizes = Sizes(total, distinct, order, word_share, ngram_share)
     asked = (
@@ -463,10 +496,10 @@ def score(
         .cogroup(totals.groupBy("slice"))
         .applyInArrow(lambda a, b: _contributions(a, b, sizes, bits), MESSAGE)
     )
-    weights = stage(asked.groupBy("bucket").applyInArrow(_weights, ANSWER), "failure-weights")
+    sums = stage(asked.groupBy("bucket").applyInArrow(_sums, ANSWER), "follower-sums")
     del asked
     _settle(spark)
-    answers = totals.withColumn("round", F.lit(1)).unionByName(weights.withColumn("round", F.lit(2)))
+    answers = totals.withColumn("round", F.lit(1)).unionByName(sums.withColumn("round", F.lit(2)))
     scored = (
         tokens.groupBy("slice")
         .cogroup(answers.groupBy("slice"))

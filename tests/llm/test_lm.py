@@ -117,12 +117,13 @@ def test_probabilities_sum_to_one(monkeypatch):
         parts = [messages.filter(pa.compute.equal(messages.column("bucket"), b)) for b in (0, 1)]
         return pa.concat_tables(answer(t) for t in parts if t.num_rows)
 
-    totals = answered(pa.Table.from_batches(lm._questions(iter(tokens.to_batches()), 3, 1)), lm._totals)
+    asked = [lm._questions(iter(tokens.to_batches()), d, 1) for d in (range(2), (2,))]
+    totals = answered(pa.Table.from_batches(b for part in asked for b in part), lm._totals)
     sizes = lm.Sizes(tokens.column("n_train")[0].as_py(), 4, 3, 0.0, 0.0)
     assert sum(totals.filter(pa.compute.equal(totals.column("depth"), 0)).column("n_distinct").to_pylist()) == 4
-    weights = answered(lm._contributions(tokens, totals, sizes, 1), lm._weights)
+    sums = answered(lm._contributions(tokens, totals, sizes, 1), lm._sums)
     own = lm.Slice(next(lm._rows(tokens)), 3)
-    chance = 10 ** lm._walk(own, lm.Arcs(own, totals, sizes), weights, 3)
+    chance = 10 ** lm._walk(own, lm.Arcs(own, totals, sizes), sums, sizes)
     starts = own.bounds[15:].tolist()
     for k, history in enumerate(histories):
         place = len(history.split())
